@@ -3,7 +3,10 @@
 Every query reads the driver's tables through the adapters in
 ``tessera.sources.testdata`` and runs the library's operators on the whole
 tables.  ``oracle_sql()`` re-states each query independently in DuckDB SQL
-over the same tables; column names and types match the Spark output.
+over the same tables (following the original programs' definitions, e.g. the
+join-then-regroup form of the best answer score, and a chain of k-means steps
+with the original stopping rule); column names and types match the Spark
+output.
 """
 
 from __future__ import annotations
@@ -11,17 +14,164 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.operators import ranking
+from tessera.fixed import DISTANCE_CAP, KMEANS_ETA, KMEANS_MAX_ITERATIONS, SAMPLE_SEED
+from tessera.functions.geometry import centres_literal, squared_distance
+from tessera.operators import columns, kmeans, postings, ranking, report, sampling
+from tessera.plans.posting_clusters import cluster_postings, vectors_from_postings
 from tessera.sources import testdata as td
+from tessera.sources.articles import parse_article_lines
+from tessera.sources.postings import parse_posting_lines
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
+DOC_TERMS = td.DOCUMENT_TERMS
+TAG_TERMS = td.PRIORITY_TERMS
+PARTIAL_TAG_TERMS = td.PRIORITY_TERMS[:3]   # the other two tags become -1
+K = td.ADAPTER_K
+SPREAD = td.ADAPTER_SPREAD
+PER_STRATUM = K // len(TAG_TERMS)
+OCCURRENCE_TERM = "the"
 
-# ------------------------------------------------------------------ queries --
 
-def q_rank_terms_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.rank_terms_combined(td.articles(spark, sf_dir), td.DOCUMENT_TERMS)
+# ---------------------------------------------------------------- articles --
+
+def q_rank_terms_combined(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.rank_terms_combined(td.articles(spark, sf), DOC_TERMS)
+
+
+def q_parse_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_article_lines(td.article_lines(td.articles(spark, sf)))
+
+
+def q_term_occurrences(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.term_occurrences(td.articles(spark, sf), OCCURRENCE_TERM)
+
+
+def q_rank_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.rank_terms(td.articles(spark, sf), DOC_TERMS)
+
+
+def q_inverted_index(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.inverted_index(td.articles(spark, sf), DOC_TERMS)
+
+
+def q_rank_terms_from_index(spark: SparkSession, sf: str) -> DataFrame:
+    index = ranking.inverted_index(td.articles(spark, sf), DOC_TERMS, keep=("title",))
+    return ranking.rank_terms_from_index(index, DOC_TERMS)
+
+
+# ---------------------------------------------------------------- postings --
+
+def q_parse_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_posting_lines(td.posting_lines(td.postings(spark, sf)))
+
+
+def q_questions(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.questions(td.postings(spark, sf))
+
+
+def q_answers(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.answers(td.postings(spark, sf))
+
+
+def q_question_answer_join(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.question_answer_pairs(td.postings(spark, sf))
+
+
+def q_grouped_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.grouped_postings(td.postings(spark, sf))
+
+
+def q_scored_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.scored_postings(td.postings(spark, sf))
+
+
+def q_tag_index(spark: SparkSession, sf: str) -> DataFrame:
+    qs = postings.questions(td.postings(spark, sf)).select("id", "tags")
+    return postings.tag_index(qs, PARTIAL_TAG_TERMS)
+
+
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors_from_postings(td.postings(spark, sf), TAG_TERMS, SPREAD)
+
+
+def q_vector_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return _vectors(spark, sf)
+
+
+# -------------------------------------------------------------- clustering --
+
+def q_sample_stratified(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample_stratified(_vectors(spark, sf), PER_STRATUM).select("cluster", "x", "y")
+
+
+def q_sample_global(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample_global(_vectors(spark, sf), K)
+
+
+def _initial(vectors: DataFrame) -> list[tuple[int, int]]:
+    return sampling.initial_means(vectors, K, TAG_TERMS, SPREAD)
+
+
+def q_assign_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _vectors(spark, sf)
+    return kmeans.assign_clusters(vectors, _initial(vectors), method="least")
+
+
+def q_squared_distance(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _vectors(spark, sf)
+    centres = _initial(vectors)
+    assigned = kmeans.assign_clusters(vectors, centres, method="least")
+    c = F.element_at(centres_literal(centres), F.col("cluster") + 1)
+    return assigned.select("id", "cluster",
+                           squared_distance("x", "y", c["cx"], c["cy"]).alias("distance"))
+
+
+def q_update_means(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _vectors(spark, sf)
+    return kmeans.update_means(kmeans.weighted_points(vectors), _initial(vectors))
+
+
+def q_total_shift(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _vectors(spark, sf)
+    old = sampling.sample_stratified(vectors, PER_STRATUM)
+    new = kmeans.update_means(kmeans.weighted_points(vectors), _initial(vectors))
+    return kmeans.total_shift_frame(old, new).select(
+        "total_shift", (F.col("total_shift") < F.lit(KMEANS_ETA)).alias("converged"))
+
+
+def _cluster_job(spark: SparkSession, sf: str):
+    return cluster_postings(td.postings(spark, sf), TAG_TERMS, SPREAD, K)
+
+
+def q_kmeans(spark: SparkSession, sf: str) -> DataFrame:
+    job = _cluster_job(spark, sf)
+    return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(job.means)],
+                                 "cluster INT, x INT, y INT")
+
+
+def q_kmeans_trace(spark: SparkSession, sf: str) -> DataFrame:
+    return _cluster_job(spark, sf).trace(spark)
+
+
+def q_cluster_results(spark: SparkSession, sf: str) -> DataFrame:
+    return _cluster_job(spark, sf).results
+
+
+def q_cluster_report_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return report.report_lines(_cluster_job(spark, sf).results)
+
+
+# ----------------------------------------------------------------- columns --
+
+def q_column_sum(spark: SparkSession, sf: str) -> DataFrame:
+    return columns.column_sum(td.postings(spark, sf), "score", "total")
+
+
+def q_column_max(spark: SparkSession, sf: str) -> DataFrame:
+    return columns.column_max(td.postings(spark, sf), "score", "maximum")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -32,38 +182,308 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "rank_terms_combined": q_rank_terms_combined,
+        "parse_articles": q_parse_articles,
+        "term_occurrences": q_term_occurrences,
+        "rank_terms": q_rank_terms,
+        "inverted_index": q_inverted_index,
+        "rank_terms_from_index": q_rank_terms_from_index,
+        "parse_postings": q_parse_postings,
+        "questions": q_questions,
+        "answers": q_answers,
+        "question_answer_join": q_question_answer_join,
+        "grouped_postings": q_grouped_postings,
+        "scored_postings": q_scored_postings,
+        "tag_index": q_tag_index,
+        "vector_postings": q_vector_postings,
+        "sample_stratified": q_sample_stratified,
+        "sample_global": q_sample_global,
+        "assign_clusters": q_assign_clusters,
+        "squared_distance": q_squared_distance,
+        "update_means": q_update_means,
+        "total_shift": q_total_shift,
+        "kmeans": q_kmeans,
+        "kmeans_trace": q_kmeans_trace,
+        "cluster_results": q_cluster_results,
+        "cluster_report_lines": q_cluster_report_lines,
+        "column_sum": q_column_sum,
+        "column_max": q_column_max,
     }
 
 
-# ------------------------------------------------------------------ oracles --
+# ================================================================== oracles ==
+
+def _s(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+def _list(terms) -> str:
+    return "[" + ", ".join(_s(t) for t in terms) + "]"
 
 
 def _terms_cte(terms) -> str:
-    rows = ", ".join(f"({i}, {_sql_str(t)})" for i, t in enumerate(terms))
+    rows = ", ".join(f"({i}, {_s(t)})" for i, t in enumerate(terms))
     return f"terms(pos, term) AS (VALUES {rows})"
 
 
-_ARTICLES_CTE = "articles AS (SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents)"
+_ARTICLES = "articles AS (SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents)"
 
-# article x term pairs where the term is one of the article's space tokens
-_MENTIONS_CTE = """mentions AS (
-  SELECT t.pos, t.term, a.title
+# (article, term) pairs where the term is one of the article's space tokens
+_MENTIONS = """mentions AS (
+  SELECT t.pos, t.term, a.title, a.text
   FROM articles a JOIN terms t ON list_contains(string_split(a.text, ' '), t.term))"""
 
+_RANK = "CAST(row_number() OVER (ORDER BY n DESC, pos) AS INTEGER) AS rank"
 
-def _oracle_rank_terms_combined() -> str:
-    return f"""
-WITH {_terms_cte(td.DOCUMENT_TERMS)}, {_ARTICLES_CTE}, {_MENTIONS_CTE},
-counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
-SELECT CAST(row_number() OVER (ORDER BY n DESC, pos) AS INTEGER) AS rank, term,
-       CAST(n AS BIGINT) AS n
-FROM counts ORDER BY rank"""
+_POSTINGS = f"""postings AS (
+  SELECT CAST(1 AS INTEGER) AS posting_type, CAST(o_orderkey AS BIGINT) AS id,
+         CAST(o_orderkey * 8 + 1 AS BIGINT) AS accepted_answer, CAST(NULL AS BIGINT) AS parent_id,
+         CAST(floor(o_totalprice / 1000) AS INTEGER) AS score,
+         CASE WHEN o_orderkey % {td.NULL_TAG_EVERY} <> 0 THEN o_orderpriority END AS tags
+  FROM orders
+  UNION ALL
+  SELECT CAST(2 AS INTEGER), CAST(l_orderkey * 8 + l_linenumber AS BIGINT), CAST(NULL AS BIGINT),
+         CAST(l_orderkey AS BIGINT), CAST(floor(l_extendedprice / 100) AS INTEGER),
+         CAST(NULL AS VARCHAR)
+  FROM lineitem)"""
+
+_POSTING_COLS = ["posting_type", "id", "accepted_answer", "parent_id", "score", "tags"]
+
+_QA = """q AS (SELECT * FROM postings WHERE posting_type = 1),
+a AS (SELECT * FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL)"""
+
+# best answer score the original way: join every pair, regroup by the full question
+_SCORED = f"""{_QA},
+scored AS (
+  SELECT {', '.join('q.' + c for c in _POSTING_COLS)}, max(a.score) AS high_score
+  FROM q JOIN a ON q.id = a.parent_id
+  GROUP BY {', '.join('q.' + c for c in _POSTING_COLS)})"""
+
+_VECTORS = f"""{_SCORED},
+vectors AS (
+  SELECT id,
+         CAST(coalesce(CASE WHEN tags IS NULL THEN NULL
+                            ELSE coalesce(list_position({_list(TAG_TERMS)}, tags), 0) - 1 END, 0)
+              * {SPREAD} AS INTEGER) AS x,
+         high_score AS y
+  FROM scored)"""
+
+_DRAW = f"md5('{SAMPLE_SEED}:' || CAST(id AS VARCHAR)), id, x, y"
+
+_SAMPLE = f"""{_VECTORS},
+ranked AS (SELECT id, x, y, row_number() OVER (PARTITION BY x ORDER BY {_DRAW}) AS rn FROM vectors),
+sample AS (SELECT CAST(row_number() OVER (ORDER BY x, rn) - 1 AS INTEGER) AS cluster, x, y
+           FROM ranked WHERE rn <= {PER_STRATUM})"""
+
+
+def _sq(ax: str, ay: str, bx: str, by: str) -> str:
+    dx = f"CAST(CAST({ax} AS BIGINT) - CAST({bx} AS BIGINT) AS DOUBLE)"
+    dy = f"CAST(CAST({ay} AS BIGINT) - CAST({by} AS BIGINT) AS DOUBLE)"
+    return f"({dx} * {dx} + {dy} * {dy})"
+
+
+def _assign(rows: str, cols: str, means: str, where: str = "") -> str:
+    """Nearest mean of every row: lowest index on ties, cap -> cluster 0."""
+    return f"""SELECT {cols},
+         CAST(coalesce(arg_min(cluster, [d, CAST(cluster AS DOUBLE)])
+                       FILTER (WHERE d < {DISTANCE_CAP}), 0) AS INTEGER) AS cluster
+  FROM (SELECT {', '.join('r.' + c.strip() for c in cols.split(','))}, m.cluster,
+               {_sq('r.x', 'r.y', 'm.mx', 'm.my')} AS d
+        FROM {rows} r CROSS JOIN {means} m {where})
+  GROUP BY {cols}"""
+
+
+def _kmeans_chain(max_iter: int = KMEANS_MAX_ITERATIONS, eta: float = KMEANS_ETA) -> str:
+    """CTEs m0..m{max_iter} (means after each step) and d0.. (stopped yet?).
+
+    A step runs only while no earlier step converged; afterwards the means
+    are carried forward unchanged, so m{max_iter} is the result.
+    """
+    parts = [
+        "points AS MATERIALIZED (SELECT x, y, count(*) AS n FROM vectors GROUP BY x, y)",
+        "m0 AS MATERIALIZED (SELECT cluster, CAST(x AS BIGINT) AS mx, CAST(y AS BIGINT) AS my FROM sample)",
+        "d0 AS MATERIALIZED (SELECT false AS done)",
+    ]
+    for i in range(1, max_iter + 1):
+        p = i - 1
+        parts.append(f"""a{i} AS MATERIALIZED (
+  {_assign('points', 'x, y, n', f'm{p}', f'WHERE NOT (SELECT done FROM d{p})')})""")
+        parts.append(f"""u{i} AS (SELECT cluster, CAST(sum(x * n) // sum(n) AS BIGINT) AS nx,
+              CAST(sum(y * n) // sum(n) AS BIGINT) AS ny FROM a{i} GROUP BY cluster)""")
+        parts.append(f"""m{i} AS MATERIALIZED (
+  SELECT o.cluster,
+         CASE WHEN d.done OR u.cluster IS NULL THEN o.mx ELSE u.nx END AS mx,
+         CASE WHEN d.done OR u.cluster IS NULL THEN o.my ELSE u.ny END AS my
+  FROM m{p} o CROSS JOIN d{p} d LEFT JOIN u{i} u ON u.cluster = o.cluster)""")
+        parts.append(f"""d{i} AS MATERIALIZED (
+  SELECT d.done OR coalesce((SELECT sum({_sq('o.mx', 'o.my', 'n.mx', 'n.my')})
+                             FROM m{p} o JOIN m{i} n USING (cluster)), 0) < {eta} AS done
+  FROM d{p} d)""")
+    return ",\n".join(parts)
+
+
+def _trace_rows(max_iter: int = KMEANS_MAX_ITERATIONS) -> str:
+    steps = []
+    for i in range(1, max_iter + 1):
+        p = i - 1
+        steps.append(f"""SELECT CAST({i} AS INTEGER) AS iter, o.cluster,
+       CAST(o.mx AS INTEGER) AS old_x, CAST(o.my AS INTEGER) AS old_y,
+       CAST(n.mx AS INTEGER) AS new_x, CAST(n.my AS INTEGER) AS new_y,
+       {_sq('o.mx', 'o.my', 'n.mx', 'n.my')} AS shift
+FROM m{p} o JOIN m{i} n USING (cluster) WHERE NOT (SELECT done FROM d{p})""")
+    return "\nUNION ALL\n".join(steps)
+
+
+_FINAL = f"m{KMEANS_MAX_ITERATIONS}"
+
+_RESULTS = f"""fa AS ({_assign('vectors', 'id, x, y', _FINAL)}),
+bylang AS (SELECT cluster, x // {SPREAD} AS lang, count(*) AS cnt FROM fa GROUP BY cluster, x // {SPREAD}),
+top AS (SELECT cluster, arg_max(lang, [cnt, -lang]) AS lang, max(cnt) AS cnt, sum(cnt) AS size
+        FROM bylang GROUP BY cluster),
+ordered AS (SELECT cluster, y, row_number() OVER (PARTITION BY cluster ORDER BY y) - 1 AS i,
+                   count(*) OVER (PARTITION BY cluster) AS sz FROM fa),
+med AS (SELECT cluster,
+               CASE WHEN max(sz) % 2 = 1 THEN max(y) FILTER (WHERE i = sz // 2)
+                    ELSE (max(y) FILTER (WHERE i = sz // 2 - 1) + max(y) FILTER (WHERE i = sz // 2)) // 2
+               END AS median_score
+        FROM ordered GROUP BY cluster),
+results AS (
+  SELECT CAST(row_number() OVER (ORDER BY median_score, cluster) AS INTEGER) AS rank,
+         cluster, list_extract({_list(TAG_TERMS)}, lang + 1) AS label,
+         (CAST(cnt AS DOUBLE) / CAST(size AS DOUBLE)) * 100 AS percent,
+         CAST(size AS BIGINT) AS size, CAST(median_score AS INTEGER) AS median_score
+  FROM top JOIN med USING (cluster))"""
+
+
+def _posting_lines() -> str:
+    fields = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _POSTING_COLS)
+    return f"lines AS (SELECT concat_ws(',', {fields}) AS value FROM postings)"
 
 
 def oracle_sql() -> dict[str, str]:
+    terms = _terms_cte(DOC_TERMS)
+    qcols = ", ".join(f"q.{c} AS q_{c}" for c in _POSTING_COLS)
+    acols = ", ".join(f"a.{c} AS a_{c}" for c in _POSTING_COLS)
+    chain = _kmeans_chain()
     return {
-        "rank_terms_combined": _oracle_rank_terms_combined(),
+        "rank_terms_combined": f"""
+WITH {terms}, {_ARTICLES}, {_MENTIONS},
+counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
+SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank""",
+
+        "parse_articles": f"""
+WITH lines AS (
+  SELECT '{td.ARTICLE_PREFIX}' || CAST(doc_id AS VARCHAR) || '</title><text>' || text
+         || '{td.ARTICLE_SUFFIX}' AS value FROM documents),
+marked AS (SELECT value, instr(value, '</title><text>') - 1 AS i FROM lines)
+SELECT substring(value, 15, i - 14) AS title,
+       substring(value, i + 15, length(value) - 16 - (i + 14)) AS text
+FROM marked""",
+
+        "term_occurrences": f"""
+WITH {_ARTICLES}
+SELECT {_s(OCCURRENCE_TERM)} AS term, CAST(count(*) AS BIGINT) AS n
+FROM articles WHERE list_contains(string_split(text, ' '), {_s(OCCURRENCE_TERM)})""",
+
+        "rank_terms": f"""
+WITH {terms}, {_ARTICLES}, {_MENTIONS},
+counts AS (SELECT t.pos, t.term, count(m.title) AS n
+           FROM terms t LEFT JOIN mentions m ON m.pos = t.pos GROUP BY t.pos, t.term)
+SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank""",
+
+        "inverted_index": f"""
+WITH {terms}, {_ARTICLES}, {_MENTIONS}
+SELECT term, title, text FROM mentions""",
+
+        "rank_terms_from_index": f"""
+WITH {terms}, {_ARTICLES}, {_MENTIONS},
+counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
+SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank""",
+
+        "parse_postings": f"""
+WITH {_POSTINGS}, {_posting_lines()},
+f AS (SELECT string_split(rtrim(value, ','), ',') AS f FROM lines)
+SELECT CAST(f[1] AS INTEGER) AS posting_type, CAST(f[2] AS BIGINT) AS id,
+       CASE WHEN f[3] = '' THEN NULL ELSE CAST(f[3] AS BIGINT) END AS accepted_answer,
+       CASE WHEN f[4] = '' THEN NULL ELSE CAST(f[4] AS BIGINT) END AS parent_id,
+       CAST(f[5] AS INTEGER) AS score,
+       CASE WHEN len(f) >= 6 THEN f[6] END AS tags
+FROM f""",
+
+        "questions": f"WITH {_POSTINGS} SELECT * FROM postings WHERE posting_type = 1",
+
+        "answers": f"""WITH {_POSTINGS}
+SELECT * FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL""",
+
+        "question_answer_join": f"""WITH {_POSTINGS}, {_QA}
+SELECT q.id AS qid, {qcols}, {acols} FROM q JOIN a ON q.id = a.parent_id""",
+
+        "grouped_postings": f"""WITH {_POSTINGS}, {_QA}
+SELECT q.id AS qid, count(*) AS n_pairs FROM q JOIN a ON q.id = a.parent_id GROUP BY q.id""",
+
+        "scored_postings": f"WITH {_POSTINGS}, {_SCORED} SELECT * FROM scored",
+
+        "tag_index": f"""WITH {_POSTINGS}
+SELECT id, tags,
+       CASE WHEN tags IS NULL THEN NULL
+            ELSE CAST(coalesce(list_position({_list(PARTIAL_TAG_TERMS)}, tags), 0) - 1 AS INTEGER)
+       END AS lang_index
+FROM postings WHERE posting_type = 1""",
+
+        "vector_postings": f"WITH {_POSTINGS}, {_VECTORS} SELECT id, x, y FROM vectors",
+
+        "sample_stratified": f"WITH {_POSTINGS}, {_SAMPLE} SELECT cluster, x, y FROM sample",
+
+        "sample_global": f"""WITH {_POSTINGS}, {_VECTORS}
+SELECT CAST(row_number() OVER (ORDER BY {_DRAW}) - 1 AS INTEGER) AS cluster, x, y
+FROM vectors ORDER BY {_DRAW} LIMIT {K}""",
+
+        "assign_clusters": f"""WITH {_POSTINGS}, {_SAMPLE},
+m AS (SELECT cluster, x AS mx, y AS my FROM sample)
+{_assign('vectors', 'id, x, y', 'm')}""",
+
+        "squared_distance": f"""WITH {_POSTINGS}, {_SAMPLE},
+m AS (SELECT cluster, x AS mx, y AS my FROM sample),
+asg AS ({_assign('vectors', 'id, x, y', 'm')})
+SELECT asg.id, asg.cluster, {_sq('asg.x', 'asg.y', 'm.mx', 'm.my')} AS distance
+FROM asg JOIN m USING (cluster)""",
+
+        "update_means": f"""WITH {_POSTINGS}, {_SAMPLE},
+m AS (SELECT cluster, x AS mx, y AS my FROM sample),
+asg AS ({_assign('vectors', 'id, x, y', 'm')})
+SELECT cluster, CAST(sum(CAST(x AS BIGINT)) // count(*) AS INTEGER) AS x,
+       CAST(sum(CAST(y AS BIGINT)) // count(*) AS INTEGER) AS y, CAST(count(*) AS BIGINT) AS size
+FROM asg GROUP BY cluster""",
+
+        "total_shift": f"""WITH {_POSTINGS}, {_SAMPLE},
+m AS (SELECT cluster, x AS mx, y AS my FROM sample),
+asg AS ({_assign('vectors', 'id, x, y', 'm')}),
+upd AS (SELECT cluster, sum(CAST(x AS BIGINT)) // count(*) AS nx,
+               sum(CAST(y AS BIGINT)) // count(*) AS ny FROM asg GROUP BY cluster),
+s AS (SELECT sum({_sq('m.mx', 'm.my', 'upd.nx', 'upd.ny')}) AS total_shift
+      FROM m JOIN upd USING (cluster))
+SELECT total_shift, total_shift < {KMEANS_ETA} AS converged FROM s""",
+
+        "kmeans": f"""WITH {_POSTINGS}, {_SAMPLE},
+{chain}
+SELECT cluster, CAST(mx AS INTEGER) AS x, CAST(my AS INTEGER) AS y FROM {_FINAL}""",
+
+        "kmeans_trace": f"""WITH {_POSTINGS}, {_SAMPLE},
+{chain}
+{_trace_rows()}""",
+
+        "cluster_results": f"""WITH {_POSTINGS}, {_SAMPLE},
+{chain},
+{_RESULTS}
+SELECT * FROM results""",
+
+        "cluster_report_lines": f"""WITH {_POSTINGS}, {_SAMPLE},
+{chain},
+{_RESULTS}
+SELECT rank, printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label, round(percent, 1), size) AS line
+FROM results""",
+
+        "column_sum": f"""WITH {_POSTINGS}
+SELECT CAST(coalesce(sum(CAST(score AS BIGINT)), 0) AS BIGINT) AS total FROM postings""",
+
+        "column_max": f"WITH {_POSTINGS} SELECT max(score) AS maximum FROM postings",
     }
