@@ -29,6 +29,7 @@ def build_session(master: str | None = None, app: str = "tessera",
     spark = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
