@@ -1,0 +1,28 @@
+import pytest
+
+import __spark_entry__ as E
+from tests.oracle import compare, duck_connection
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert df.columns == ["rank", "term", "n"]
+    assert len(rows) > 0
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return duck_connection(SF)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    r = compare(E.queries()[name](spark, SF), duck, E.oracle_sql()[name])
+    assert r["ok"], r
