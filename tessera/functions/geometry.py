@@ -27,18 +27,57 @@ def squared_distance(x1, y1, x2, y2) -> Column:
     return _axis_sq(x1, x2) + _axis_sq(y1, y2)
 
 
+def _check_centres(centres: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    out = [(int(cx), int(cy)) for cx, cy in centres]
+    if not out:
+        raise ValueError("no centres")
+    return out
+
+
 def centres_literal(centres: Sequence[tuple[int, int]]) -> Column:
     """Centres as a literal ``array<struct<cx: bigint, cy: bigint>>``; index = cluster."""
-    if not centres:
-        raise ValueError("no centres")
-    return F.array(*[
-        F.struct(F.lit(int(cx)).cast("bigint").alias("cx"),
-                 F.lit(int(cy)).cast("bigint").alias("cy"))
-        for cx, cy in centres])
+    return F.expr(_centres_sql(_check_centres(centres)))
+
+
+def _centres_sql(centres: list[tuple[int, int]]) -> str:
+    return "array(" + ", ".join(f"named_struct('cx', {cx}L, 'cy', {cy}L)" for cx, cy in centres) + ")"
 
 
-def nearest_centre(x: Column | str, y: Column | str,
-                   centres: Sequence[tuple[int, int]],
+def _sq_sql(x: str, y: str, cx: str, cy: str) -> str:
+    dx = f"CAST(CAST({x} AS BIGINT) - {cx} AS DOUBLE)"
+    dy = f"CAST(CAST({y} AS BIGINT) - {cy} AS DOUBLE)"
+    return f"({dx} * {dx} + {dy} * {dy})"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def nearest_centre_sql(x: str, y: str, centres: Sequence[tuple[int, int]],
+                       method: str = "transform") -> str:
+    """SQL text of :func:`nearest_centre` (``x``, ``y`` are column names)."""
+    centres = _check_centres(centres)
+    x, y = _ident(x), _ident(y)
+    cap = f"{float(DISTANCE_CAP)!r}D"
+    if method == "transform":
+        # candidates below the cap, nearest first by (distance, index); none -> 0
+        pairs = (f"transform({_centres_sql(centres)}, (c, i) -> "
+                 f"named_struct('d', {_sq_sql(x, y, 'c.cx', 'c.cy')}, 'i', i))")
+        return f"coalesce(array_min(filter({pairs}, s -> s.d < {cap})).i, 0)"
+    if method == "least":
+        # unrolled; a capped centre becomes (cap, 0), which sorts after every
+        # uncapped one, so an all-capped point falls to index 0
+        cands = []
+        for i, (cx, cy) in enumerate(centres):
+            d = _sq_sql(x, y, f"{cx}L", f"{cy}L")
+            cands.append(f"named_struct('d', IF({d} < {cap}, {d}, {cap}), "
+                         f"'i', IF({d} < {cap}, {i}, 0))")
+        best = cands[0] if len(cands) == 1 else "least(" + ", ".join(cands) + ")"
+        return f"({best}).i"
+    raise ValueError(f"unknown method {method!r}")
+
+
+def nearest_centre(x: str, y: str, centres: Sequence[tuple[int, int]],
                    method: str = "transform") -> Column:
     """Index of the nearest centre, ties to the lowest index, with the cap rule.
 
@@ -46,23 +85,11 @@ def nearest_centre(x: Column | str, y: Column | str,
     at least that far from every centre gets cluster 0.
 
     ``method='transform'`` evaluates one lambda over the literal centre array:
-    the expression is the same for every centre set, so it suits an
+    the compiled form is the same for every centre set, so it suits an
     iterative loop over pre-aggregated points.  ``method='least'`` unrolls the
-    centres into a ``least(struct(d, i), …)`` that stays inside whole-stage
+    centres into a ``least(struct(…), …)`` that stays inside whole-stage
     codegen; it is faster per row on large uncompressed inputs but compiles
-    anew for each centre set.
+    anew for each centre set.  The expression is emitted as one SQL string so
+    building it costs one call into the JVM, not one per centre.
     """
-    x, y = _c(x), _c(y)
-    if method == "transform":
-        best = F.array_min(F.transform(
-            centres_literal(centres),
-            lambda c, i: F.struct(squared_distance(x, y, c["cx"], c["cy"]).alias("d"),
-                                  i.alias("i"))))
-    elif method == "least":
-        cands = [F.struct(squared_distance(x, y, int(cx), int(cy)).alias("d"),
-                          F.lit(i).alias("i"))
-                 for i, (cx, cy) in enumerate(centres)]
-        best = cands[0] if len(cands) == 1 else F.least(*cands)
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    return F.when(best["d"] < F.lit(float(DISTANCE_CAP)), best["i"]).otherwise(F.lit(0)).cast("int")
+    return F.expr(nearest_centre_sql(x, y, centres, method)).cast("int")

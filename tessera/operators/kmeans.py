@@ -41,19 +41,30 @@ def assign_clusters(points: DataFrame, centres: Centres, method: str = "transfor
     return points.withColumn("cluster", nearest_centre("x", "y", centres, method))
 
 
-def update_means(points: DataFrame, centres: Centres, weight: str | None = "n",
+def cluster_sums(points: DataFrame, centres: Centres, weight: str | None = "n",
                  method: str = "transform") -> DataFrame:
-    """One Lloyd step as a DataFrame: ``(cluster, x, y, size)`` of the new mean
-    of every non-empty cluster (BIGINT sums div counts, truncating)."""
+    """``(cluster, sx, sy, size)``: BIGINT coordinate sums and point count of
+    every non-empty cluster (partial sums combine map-side)."""
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
-    assigned = assign_clusters(points, centres, method)
-    return (assigned.groupBy("cluster")
+    return (points.groupBy(nearest_centre("x", "y", centres, method).alias("cluster"))
             .agg(F.sum(F.col("x").cast("bigint") * w).alias("sx"),
                  F.sum(F.col("y").cast("bigint") * w).alias("sy"),
-                 F.sum(w).alias("size"))
-            .select("cluster", F.expr("sx div size").cast("int").alias("x"),
-                    F.expr("sy div size").cast("int").alias("y"),
-                    F.col("size").cast("bigint").alias("size")))
+                 F.sum(w).cast("bigint").alias("size")))
+
+
+def update_means(points: DataFrame, centres: Centres, weight: str | None = "n",
+                 method: str = "transform") -> DataFrame:
+    """One Lloyd step as a DataFrame: ``(cluster, x, y, size)`` of the new mean
+    of every non-empty cluster (BIGINT sums div counts, truncating)."""
+    return cluster_sums(points, centres, weight, method).select(
+        "cluster", F.expr("sx div size").cast("int").alias("x"),
+        F.expr("sy div size").cast("int").alias("y"), "size")
+
+
+def _tdiv(a: int, b: int) -> int:
+    """Integer division truncating toward zero (as Spark's ``div``)."""
+    q = abs(a) // abs(b)
+    return q if (a >= 0) == (b > 0) else -q
 
 
 def point_distance(a: tuple[int, int], b: tuple[int, int]) -> float:
@@ -97,11 +108,23 @@ class KMeansResult:
 def kmeans_step(points: DataFrame, means: Centres, method: str = "transform") -> list[tuple[int, int]]:
     """New means after one step; clusters without points keep their mean."""
     new = [tuple(m) for m in means]
-    for r in update_means(points, means, "n", method).select("cluster", "x", "y").collect():
-        new[r["cluster"]] = (int(r["x"]), int(r["y"]))
+    for r in cluster_sums(points, means, "n", method).collect():
+        new[r["cluster"]] = (_tdiv(r["sx"], r["size"]), _tdiv(r["sy"], r["size"]))
     return new
 
 
+# Rows of (x, y, n) per task in the iteration: the points are tiny next to the
+# input, so each step should be a handful of tasks, not one per shuffle partition.
+ROWS_PER_TASK = 1_000_000
+
+
+def compact(points: DataFrame) -> DataFrame:
+    """Narrow-coalesce (no shuffle) a cached points frame to ~ROWS_PER_TASK rows per task."""
+    n = points.count()
+    parts = max(1, -(-n // ROWS_PER_TASK))
+    return points.coalesce(parts) if parts < points.rdd.getNumPartitions() else points
+
+
 def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
                   max_iter: int = KMEANS_MAX_ITERATIONS,
                   method: str = "transform") -> KMeansResult:
@@ -111,6 +134,7 @@ def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
         raise ValueError("max_iter must be >= 1")
     means = [(int(x), int(y)) for x, y in initial]
     res = KMeansResult(means=means, iterations=0, converged=False)
+    points = compact(points)
     for it in range(1, max_iter + 1):
         new = kmeans_step(points, means, method)
         shift = total_shift(means, new)
