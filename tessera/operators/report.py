@@ -1,10 +1,10 @@
 """Per-cluster report: dominant term, its share, cluster size, median score.
 
-Runs on the weighted points (x, y, n) — exact for every statistic here — so
-the work after assignment is two small aggregations over k clusters:
-per (cluster, term) sums for the dominant term, and an exact weighted
-``percentile`` per cluster for the median (its state is a count per distinct
-score, combined map-side; no cluster's rows are ever gathered in one task).
+Runs on the weighted points (x, y, n) — exact for every statistic here.  The
+dominant term comes from per (cluster, term) sums (map-side combined); the
+median from an exact distributed selection (``tessera.operators.selection``)
+that refines per-cluster score histograms, so no cluster — however large —
+is gathered into one task and the driver only sees k-sized summaries.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from tessera.fixed import LANG_SPREAD, LANGS
 from tessera.functions.formatting import report_line
 from tessera.functions.text import terms_array
 from tessera.operators.kmeans import Centres, assign_clusters
+from tessera.operators.selection import group_medians
 
 
 def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LANGS,
@@ -39,8 +40,9 @@ def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LA
     top = (by_term.groupBy("cluster")
            .agg(F.max(F.struct(F.col("cnt"), (-F.col("lang")).alias("neg"), F.col("lang"))).alias("top"),
                 F.sum("cnt").alias("size")))
-    medians = (assigned.groupBy("cluster")
-               .agg(F.percentile("y", F.lit(0.5), F.col("n")).alias("med")))
+    med = group_medians(assigned.select("cluster", "y", "n"))      # k values
+    medians = points.sparkSession.createDataFrame(
+        sorted(med.items()), "cluster int, med int")
 
     n_terms = len(terms)
     lang = F.col("top.lang")

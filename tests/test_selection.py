@@ -1,0 +1,36 @@
+import random
+
+import pytest
+
+from tessera.operators.selection import group_medians
+
+
+def brute(rows):
+    out = {}
+    groups = {}
+    for g, v, w in rows:
+        groups.setdefault(g, []).extend([v] * w)
+    for g, vs in groups.items():
+        vs.sort()
+        n = len(vs)
+        left, right = vs[: n // 2], vs[n // 2:]
+        m = right[0] if n % 2 else int((left[-1] + right[0]) / 2)
+        out[g] = m
+    return out
+
+
+@pytest.mark.parametrize("seed,buckets,span", [(1, 2, 10), (2, 3, 2_000_000_000), (3, 256, 50),
+                                               (4, 4, 1000), (5, 7, 1)])
+def test_matches_brute_force(spark, seed, buckets, span):
+    rnd = random.Random(seed)
+    rows = [(rnd.randint(0, 5), rnd.randint(-span, span), rnd.randint(1, 4)) for _ in range(400)]
+    rows += [(9, 7, 3)]                                  # single-value group
+    rows += [(8, -5, 1), (8, 2, 1)]                      # even: (-5 + 2) / 2 -> -1
+    df = spark.createDataFrame(rows, "cluster int, y long, n long")
+    assert group_medians(df, buckets=buckets) == brute(rows)
+
+
+def test_hot_group(spark):
+    rows = [(0, v % 1000, 1) for v in range(30000)] + [(1, 5, 1)]
+    df = spark.createDataFrame(rows, "cluster int, y long, n long")
+    assert group_medians(df, buckets=16) == brute(rows)
