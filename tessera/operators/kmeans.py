@@ -121,8 +121,8 @@ ROWS_PER_TASK = 1_000_000
 def compact(points: DataFrame) -> DataFrame:
     """Narrow-coalesce (no shuffle) a cached points frame to ~ROWS_PER_TASK rows per task."""
     n = points.count()
-    parts = max(1, -(-n // ROWS_PER_TASK))
-    return points.coalesce(parts) if parts < points.rdd.getNumPartitions() else points
+    # coalesce never adds partitions, so this is a no-op when there are fewer
+    return points.coalesce(max(1, -(-n // ROWS_PER_TASK)))
 
 
 def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,

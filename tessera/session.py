@@ -58,7 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     cluster an unset directory is an error, since a machine-local folder would
     not survive the loss of the executor that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
