@@ -51,10 +51,17 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
 
     The pairs themselves are :func:`question_answer_pairs`; they are not
     gathered into one bag per id, which would put a heavily answered
-    question into a single row.
+    question into a single row.  The number of pairs of an id is
+    (#question rows with that id) x (#answers with that parent), so both
+    sides are counted map-side first and the join sees one row per id —
+    a question with a third of all answers costs one partial row per
+    partition.
     """
-    return (question_answer_pairs(postings).groupBy("qid")
-            .agg(F.count(F.lit(1)).alias("n_pairs")))
+    q = questions(postings).groupBy(F.col("id").alias("qid")).agg(F.count(F.lit(1)).alias("_nq"))
+    a = (answers(postings).groupBy(F.col("parent_id").alias("_aid"))
+         .agg(F.count(F.lit(1)).alias("_na")))
+    return q.join(a, F.col("qid") == F.col("_aid"), "inner").select(
+        "qid", (F.col("_nq") * F.col("_na")).alias("n_pairs"))
 
 
 def best_answer_scores(postings: DataFrame) -> DataFrame:

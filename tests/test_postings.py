@@ -95,3 +95,14 @@ def test_vectors_bad_spread(spark):
     scored = spark.createDataFrame([(1, "C++", 7)], "id long, tags string, high_score int")
     with pytest.raises(ValueError):
         P.vector_postings(scored, LANGS, spread=0)
+
+
+def test_grouped_counts_equal_join_pairs(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(1, rnd.randint(1, 20), None, None, 0, None) for _ in range(60)]       # duplicate ids
+    rows += [(2, 1000 + i, None, rnd.choice([None, *range(1, 25)]), i, None) for i in range(200)]
+    df = frame(spark, rows)
+    expect = P.question_answer_pairs(df).groupBy("qid").count().collect()
+    got = P.grouped_postings(df).collect()
+    assert sorted((r["qid"], r["count"]) for r in expect) == sorted((r["qid"], r["n_pairs"]) for r in got)
