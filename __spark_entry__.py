@@ -164,6 +164,20 @@ def q_cluster_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     return report.report_lines(_cluster_job(spark, sf).results)
 
 
+# --------------------------------------------- whole jobs from text lines --
+
+def q_rank_terms_from_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Article job as originally run: dump lines -> parser -> combined ranking."""
+    arts = parse_article_lines(td.article_lines(td.articles(spark, sf)))
+    return ranking.rank_terms_combined(arts, DOC_TERMS)
+
+
+def q_cluster_results_from_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings job as originally run: CSV lines -> parser -> ... -> report."""
+    posts = parse_posting_lines(td.posting_lines(td.postings(spark, sf)))
+    return cluster_postings(posts, TAG_TERMS, SPREAD, K).results
+
+
 # ----------------------------------------------------------------- columns --
 
 def q_column_sum(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,6 +221,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cluster_report_lines": q_cluster_report_lines,
         "column_sum": q_column_sum,
         "column_max": q_column_max,
+        "rank_terms_from_lines": q_rank_terms_from_lines,
+        "cluster_results_from_lines": q_cluster_results_from_lines,
     }
 
 
@@ -364,7 +380,7 @@ def oracle_sql() -> dict[str, str]:
     qcols = ", ".join(f"q.{c} AS q_{c}" for c in _POSTING_COLS)
     acols = ", ".join(f"a.{c} AS a_{c}" for c in _POSTING_COLS)
     chain = _kmeans_chain()
-    return {
+    out = {
         "rank_terms_combined": f"""
 WITH {terms}, {_ARTICLES}, {_MENTIONS},
 counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
@@ -487,3 +503,8 @@ SELECT CAST(coalesce(sum(CAST(score AS BIGINT)), 0) AS BIGINT) AS total FROM pos
 
         "column_max": f"WITH {_POSTINGS} SELECT max(score) AS maximum FROM postings",
     }
+    # the line encodings round-trip exactly, so the whole jobs from lines
+    # answer the same as their table-fed forms
+    out["rank_terms_from_lines"] = out["rank_terms_combined"]
+    out["cluster_results_from_lines"] = out["cluster_results"]
+    return out
