@@ -1,0 +1,86 @@
+"""Randomized checks of the parsers and the mention rule against Python models."""
+
+import random
+import re
+
+import pytest
+
+from tessera.operators import ranking
+from tessera.sources import parse_posting_lines
+
+INT = re.compile(r"^[+-]?[0-9]+$")
+
+
+def java_split_comma(line: str) -> list[str]:
+    """``String.split(",")``: no separator -> [line]; else trailing empties dropped."""
+    if "," not in line:
+        return [line]
+    parts = line.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def parse_int(s: str, bits: int) -> int:
+    if not INT.match(s):
+        raise ValueError(s)
+    v = int(s)
+    if not -(2 ** (bits - 1)) <= v < 2 ** (bits - 1):
+        raise ValueError(s)
+    return v
+
+
+def model_posting(line: str):
+    f = java_split_comma(line)
+    if len(f) < 5:
+        raise ValueError("short")
+    opt = lambda s: None if s == "" else parse_int(s, 64)
+    return (parse_int(f[0], 32), parse_int(f[1], 64), opt(f[2]), opt(f[3]), parse_int(f[4], 32),
+            f[5] if len(f) >= 6 else None)
+
+
+POOL = ["", "", "0", "1", "2", "12", "-3", "+4", "x", " 5", "2147483648", "99999999999",
+        "9223372036854775808", "C++", "Java", "a b", "1.5"]
+
+
+def random_line(rnd: random.Random) -> str:
+    n = rnd.randint(1, 8)
+    fields = [rnd.choice(POOL) for _ in range(n)]
+    if rnd.random() < 0.6:  # mostly numeric heads so many lines parse
+        for i in (0, 1, 4):
+            if i < n:
+                fields[i] = rnd.choice(["1", "2", "7", "-1", "+3", "0"])
+    return ",".join(fields) + "," * rnd.choice([0, 0, 1, 2])
+
+
+def test_posting_parser_matches_model(spark):
+    rnd = random.Random(2024)
+    lines = [random_line(rnd) for _ in range(400)]
+    good, bad = [], []
+    for ln in lines:
+        try:
+            good.append((ln, model_posting(ln)))
+        except ValueError:
+            bad.append(ln)
+    assert len(good) > 50 and len(bad) > 50
+    df = spark.createDataFrame([(ln,) for ln, _ in good], "value string")
+    got = [tuple(r) for r in parse_posting_lines(df).collect()]
+    assert got == [m for _, m in good]
+    for ln in rnd.sample(bad, 8):
+        with pytest.raises(Exception):
+            parse_posting_lines(spark.createDataFrame([(ln,)], "value string")).collect()
+
+
+WORDS = ["Java", "Scala", "java", "Java,", "C++", "C#", "", "x", "Java\n", "JavaScript", "Perl."]
+
+
+def test_mentions_match_model(spark):
+    rnd = random.Random(99)
+    texts = [" ".join(rnd.choice(WORDS) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    arts = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "title string, text string")
+    terms = ["Java", "Scala", "C++", "C#", "JavaScript", "Perl", "Haskell"]
+    expect = {t: sum(1 for x in texts if t in x.split(" ")) for t in terms}
+    got = {r["term"]: r["n"] for r in ranking.rank_terms(arts, terms).collect()}
+    assert got == expect
+    combined = {r["term"]: r["n"] for r in ranking.rank_terms_combined(arts, terms).collect()}
+    assert combined == {t: n for t, n in expect.items() if n > 0}
