@@ -28,7 +28,7 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 DOC_TERMS = td.DOCUMENT_TERMS
 TAG_TERMS = td.PRIORITY_TERMS
-PARTIAL_TAG_TERMS = td.PRIORITY_TERMS[:3]   # the other two tags become -1
+PARTIAL_TAG_TERMS = td.PRIORITY_TERMS[:2]   # the other tags become -1
 K = td.ADAPTER_K
 SPREAD = td.ADAPTER_SPREAD
 PER_STRATUM = K // len(TAG_TERMS)
@@ -254,7 +254,7 @@ _POSTINGS = f"""postings AS (
   SELECT CAST(1 AS INTEGER) AS posting_type, CAST(o_orderkey AS BIGINT) AS id,
          CAST(o_orderkey * 8 + 1 AS BIGINT) AS accepted_answer, CAST(NULL AS BIGINT) AS parent_id,
          CAST(floor(o_totalprice / 1000) AS INTEGER) AS score,
-         CASE WHEN o_orderkey % {td.NULL_TAG_EVERY} <> 0 THEN o_orderpriority END AS tags
+         CASE WHEN o_orderpriority <> {_s(td.UNSPECIFIED_PRIORITY)} THEN o_orderpriority END AS tags
   FROM orders
   UNION ALL
   SELECT CAST(2 AS INTEGER), CAST(l_orderkey * 8 + l_linenumber AS BIGINT), CAST(NULL AS BIGINT),

@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 256
+# The per-pass interval table (<= 2 rows per group) is broadcast and the
+# per-group summaries come to the driver, so the group count must stay small.
+MAX_GROUPS = 100_000
 
 
 def _tdiv(a: int, b: int) -> int:
@@ -27,19 +30,24 @@ def _tdiv(a: int, b: int) -> int:
 
 
 def group_medians(df: DataFrame, group: str = "cluster", value: str = "y",
-                  weight: str = "n", buckets: int = BUCKETS) -> dict[int, int]:
+                  weight: str = "n", buckets: int = BUCKETS,
+                  max_groups: int = MAX_GROUPS) -> dict[int, int]:
     """``{group: median}`` over rows ``(group, value, weight)``.
 
     Odd count: the middle value; even count: the two middle values' sum
-    divided by 2, truncating toward zero.  Groups must be integers.
+    divided by 2, truncating toward zero.  Groups must be integers, and at
+    most ``max_groups`` of them (checked before anything is broadcast).
     """
     if buckets < 2:
         raise ValueError("need at least 2 buckets")
     spark = df.sparkSession
     base = df.select(F.col(group).cast("bigint").alias("g"), F.col(value).cast("bigint").alias("v"),
                      F.col(weight).cast("bigint").alias("w"))
-    stats = base.groupBy("g").agg(F.sum("w").alias("size"), F.min("v").alias("lo"),
-                                  F.max("v").alias("hi")).collect()
+    stats = (base.groupBy("g").agg(F.sum("w").alias("size"), F.min("v").alias("lo"),
+                                   F.max("v").alias("hi"))
+             .limit(max_groups + 1).collect())
+    if len(stats) > max_groups:
+        raise ValueError(f"more than {max_groups} groups; group_medians is for few groups")
     found: dict[tuple[int, int], int] = {}          # (group, rank) -> value
     open_: dict[tuple[int, int], tuple[int, int, int]] = {}   # (group, rank) -> (lo, hi, below)
     sizes = {}

@@ -18,11 +18,14 @@ from tessera.sources.postings import POSTING_COLUMNS
 # prose, plus one term that never occurs (exercises the zero-count rule).
 DOCUMENT_TERMS = ("the", "and", "The", "de", "le", "der", "und", "el", "zzz-absent")
 
-# Tags of the postings adapter are the order priorities; this is their list.
-PRIORITY_TERMS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+# Tags of the postings adapter are the order priorities.  An order whose
+# priority is not specified becomes a question without a tag (which the
+# vectors count as the first term); the other four priorities are the terms.
+UNSPECIFIED_PRIORITY = "4-NOT SPECIFIED"
+PRIORITY_TERMS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
 
 # Clustering parameters for the postings adapter: 3 centres per priority.
-ADAPTER_K = 15
+ADAPTER_K = 12
 ADAPTER_SPREAD = 50000
 
 # Filler around an article line: exactly as long as the parser skips.
@@ -30,9 +33,6 @@ ARTICLE_PREFIX = "<page> <title>"
 ARTICLE_SUFFIX = "</text>  </page>"
 assert len(ARTICLE_PREFIX) == ARTICLE_PREFIX_LEN and len(ARTICLE_SUFFIX) == ARTICLE_SUFFIX_LEN
 
-# Every 97th order gets no tag, so the "missing tag" rule is exercised.
-NULL_TAG_EVERY = 97
-
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -61,8 +61,8 @@ def postings_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Orders become questions, line items their answers.
 
     question: type 1, id = order key, accepted answer = its first line's id,
-              score = total price div 1000, tags = order priority (none for
-              every 97th order)
+              score = total price div 1000, tags = order priority (none when
+              the priority is not specified)
     answer:   type 2, id = 8 * order key + line number, parent = order key,
               score = extended price div 100, no tags
     """
@@ -72,7 +72,8 @@ def postings_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         (F.col("o_orderkey") * 8 + 1).cast("bigint").alias("accepted_answer"),
         F.lit(None).cast("bigint").alias("parent_id"),
         F.floor(F.col("o_totalprice") / 1000).cast("int").alias("score"),
-        F.when(F.col("o_orderkey") % NULL_TAG_EVERY != 0, F.col("o_orderpriority")).alias("tags"),
+        F.when(F.col("o_orderpriority") != F.lit(UNSPECIFIED_PRIORITY),
+               F.col("o_orderpriority")).alias("tags"),
     )
     answers = lineitem.select(
         F.lit(2).alias("posting_type"),
