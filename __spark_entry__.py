@@ -147,9 +147,7 @@ def _cluster_job(spark: SparkSession, sf: str):
 
 
 def q_kmeans(spark: SparkSession, sf: str) -> DataFrame:
-    job = _cluster_job(spark, sf)
-    return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(job.means)],
-                                 "cluster INT, x INT, y INT")
+    return _cluster_job(spark, sf).means_frame(spark)
 
 
 def q_kmeans_trace(spark: SparkSession, sf: str) -> DataFrame:

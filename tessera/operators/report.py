@@ -19,6 +19,7 @@ from tessera.functions.formatting import report_line
 from tessera.functions.text import terms_array
 from tessera.operators.kmeans import Centres, assign_clusters
 from tessera.operators.selection import group_medians
+from tessera.session import local_frame
 
 
 def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LANGS,
@@ -41,8 +42,7 @@ def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LA
            .agg(F.max(F.struct(F.col("cnt"), (-F.col("lang")).alias("neg"), F.col("lang"))).alias("top"),
                 F.sum("cnt").alias("size")))
     med = group_medians(assigned.select("cluster", "y", "n"))      # k values
-    medians = points.sparkSession.createDataFrame(
-        sorted(med.items()), "cluster int, med int")
+    medians = local_frame(points.sparkSession, sorted(med.items()), "cluster INT, med INT")
 
     n_terms = len(terms)
     lang = F.col("top.lang")

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import local_frame
+
 BUCKETS = 256
 # The per-pass interval table (<= 2 rows per group) is broadcast and the
 # per-group summaries come to the driver, so the group count must stay small.
@@ -64,7 +66,7 @@ def group_medians(df: DataFrame, group: str = "cluster", value: str = "y",
         intervals = sorted({(g, lo, hi) for (g, _), (lo, hi, _) in open_.items()})
         ids = {iv: i for i, iv in enumerate(intervals)}
         rows = [(i, g, lo, hi, max(1, -(-(hi - lo + 1) // buckets))) for (g, lo, hi), i in ids.items()]
-        ivs = spark.createDataFrame(rows, "iv int, ig bigint, lo bigint, hi bigint, width bigint")
+        ivs = local_frame(spark, rows, "iv INT, ig BIGINT, lo BIGINT, hi BIGINT, width BIGINT")
         hist = (base.join(F.broadcast(ivs), (F.col("g") == F.col("ig"))
                           & F.col("v").between(F.col("lo"), F.col("hi")))
                 .groupBy("iv", F.expr("(v - lo) div width").alias("b"))

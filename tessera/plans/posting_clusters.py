@@ -15,7 +15,7 @@ from tessera.operators.kmeans import KMeansResult, kmeans_points, weighted_point
 from tessera.operators.postings import scored_postings, vector_postings
 from tessera.operators.report import cluster_results, report_lines
 from tessera.operators.sampling import initial_means
-from tessera.session import materialize, release
+from tessera.session import local_frame, materialize, release
 from tessera.sources.postings import parse_posting_lines
 from tessera.sources.text import read_lines
 
@@ -34,10 +34,15 @@ class ClusterJob:
 
     def trace(self, spark: SparkSession) -> DataFrame:
         """The iteration trace as a DataFrame (k rows per step)."""
-        return spark.createDataFrame(
-            self.kmeans.trace,
+        return local_frame(
+            spark, self.kmeans.trace,
             "iter INT, cluster INT, old_x INT, old_y INT, new_x INT, new_y INT, shift DOUBLE")
 
+    def means_frame(self, spark: SparkSession) -> DataFrame:
+        """The final means as ``(cluster, x, y)`` (k rows)."""
+        return local_frame(spark, [(i, x, y) for i, (x, y) in enumerate(self.means)],
+                           "cluster INT, x INT, y INT")
+
     def report(self) -> DataFrame:
         return report_lines(self.results)
 

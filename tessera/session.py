@@ -26,8 +26,13 @@ def build_session(master: str | None = None, app: str = "tessera",
     if shuffle_partitions is None:
         cores = _cores(master)
         shuffle_partitions = max(8, 2 * cores)
+    builder = SparkSession.builder
+    event_dir = os.environ.get("TESSERA_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings without the UI: see tools/stages.py
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_dir))
     spark = (
-        SparkSession.builder.master(master).appName(app)
+        builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -98,3 +103,31 @@ def release(*frames: DataFrame) -> None:
     for f in frames:
         if f is not None:
             f.unpersist()
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"       # exact round trip, incl. inf/nan
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small DataFrame from driver-side rows, built as a SQL ``VALUES`` relation.
+
+    For the handful of rows the jobs derive on the driver (k means, medians,
+    search intervals): the rows travel inside the plan, so no Python worker
+    is started to decode them.  ``schema`` is ``"name TYPE, …"``.
+    """
+    fields = [f.split() for f in schema.split(",")]
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in fields)
+        return spark.sql(f"SELECT {nulls} WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values}")

@@ -26,3 +26,13 @@ def test_max_empty_fails(spark):
 
 def test_sum_does_not_wrap(spark):
     assert column_sum(ints(spark, [2147483647, 1]), "v").first()[0] == 2147483648
+
+
+def test_local_frame_round_trip(spark):
+    from tessera.session import local_frame
+    rows = [(1, -2.5, "a'b\\c", None, True), (2, float("inf"), "", 7, False), (3, 1e300, "x", -1, None)]
+    df = local_frame(spark, rows, "i INT, d DOUBLE, s STRING, n BIGINT, b BOOLEAN")
+    assert [tuple(r) for r in df.collect()] == rows
+    assert df.schema.simpleString() == "struct<i:int,d:double,s:string,n:bigint,b:boolean>"
+    empty = local_frame(spark, [], "i INT, d DOUBLE")
+    assert empty.collect() == [] and empty.columns == ["i", "d"]
