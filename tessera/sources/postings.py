@@ -36,7 +36,8 @@ def parse_posting_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     ignored.  Any malformed number fails the job.  Ids are read as BIGINT
     (2^31 ids run out long before 100 TB); type and score stay INT.
     """
-    arr = F.split(F.regexp_replace(F.col(value), ",+$", ""), ",")
+    # trailing separators go first (character trim, no regex), then split
+    arr = F.split(F.expr(f"trim(TRAILING ',' FROM `{value}`)"), ",")
     fields = lines.select(arr.alias("f"))
     f = F.col("f")
     short = F.raise_error(F.lit("posting line has fewer than 5 fields"))
