@@ -45,11 +45,12 @@ def cluster_sums(points: DataFrame, centres: Centres, weight: str | None = "n",
                  method: str = "transform") -> DataFrame:
     """``(cluster, sx, sy, size)``: BIGINT coordinate sums and point count of
     every non-empty cluster (partial sums combine map-side)."""
-    w = F.col(weight) if weight else F.lit(1).cast("bigint")
+    # aggregates as SQL text: one JVM call each (this runs once per k-means step)
+    w = f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
     return (points.groupBy(nearest_centre("x", "y", centres, method).alias("cluster"))
-            .agg(F.sum(F.col("x").cast("bigint") * w).alias("sx"),
-                 F.sum(F.col("y").cast("bigint") * w).alias("sy"),
-                 F.sum(w).cast("bigint").alias("size")))
+            .agg(F.expr(f"sum(CAST(x AS BIGINT) * {w}) AS sx"),
+                 F.expr(f"sum(CAST(y AS BIGINT) * {w}) AS sy"),
+                 F.expr(f"CAST(sum({w}) AS BIGINT) AS size")))
 
 
 def update_means(points: DataFrame, centres: Centres, weight: str | None = "n",
