@@ -40,6 +40,8 @@ def build_session(master: str | None = None, app: str = "tessera",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # checkpoint files of frames that are no longer referenced get removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
