@@ -117,13 +117,13 @@ def _initial(vectors: DataFrame) -> list[tuple[int, int]]:
 
 def q_assign_clusters(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
-    return kmeans.assign_clusters(vectors, _initial(vectors), method="least")
+    return kmeans.assign_clusters(vectors, _initial(vectors))
 
 
 def q_squared_distance(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
     centres = _initial(vectors)
-    assigned = kmeans.assign_clusters(vectors, centres, method="least")
+    assigned = kmeans.assign_clusters(vectors, centres)
     c = F.element_at(centres_literal(centres), F.col("cluster") + 1)
     return assigned.select("id", "cluster",
                            squared_distance("x", "y", c["cx"], c["cy"]).alias("distance"))
