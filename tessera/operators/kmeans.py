@@ -116,7 +116,7 @@ def kmeans_step(points: DataFrame, means: Centres, method: str = "transform") ->
 
 # Rows of (x, y, n) per task in the iteration: the points are tiny next to the
 # input, so each step should be a handful of tasks, not one per shuffle partition.
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 100_000
 
 
 def compact(points: DataFrame) -> DataFrame:
