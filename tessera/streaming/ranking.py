@@ -12,7 +12,6 @@ query resumes without recounting.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +41,15 @@ def start_ranking(spark: SparkSession, path: str, terms: Sequence[str] = LANGS,
                   query_name: str = "term_ranking", sink: str = "memory",
                   checkpoint_location: str | None = None, **sink_options) -> StreamingQuery:
     """Start the incremental ranking; with the default memory sink the
-    current ranking is readable as ``spark.table(query_name)``."""
-    location = checkpoint_location or (
-        f"{checkpoint_dir(spark).rstrip('/')}/stream-{query_name}-{uuid.uuid4().hex[:8]}")
+    current ranking is readable as ``spark.table(query_name)``.
+
+    Progress and state go to ``checkpoint_location``, by default
+    ``<checkpoint dir>/stream-<query_name>``: starting the same query name
+    again resumes where it stopped: files already counted are not read again,
+    and the restored running counts are re-emitted in full (complete mode) at
+    the next trigger.
+    """
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/stream-{query_name}"
     writer = (running_mention_counts(article_stream(spark, path), terms).writeStream
               .outputMode("complete").format(sink).queryName(query_name)
               .option("checkpointLocation", location))

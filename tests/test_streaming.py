@@ -16,7 +16,9 @@ def _dump(folder: str, name: str, articles) -> None:
 def test_incremental_ranking(spark):
     folder = tempfile.mkdtemp(prefix="tessera-stream-in-")
     _dump(folder, "a.txt", [("1", "Scala is great"), ("2", "Java is OK, but Scala is cooler")])
-    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test")
+    ckpt = tempfile.mkdtemp(prefix="tessera-stream-ckpt-")
+    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test",
+                      checkpoint_location=ckpt)
     try:
         q.processAllAvailable()
         got = {r["term"]: r["n"] for r in spark.table("rank_stream_test").collect()}
@@ -27,3 +29,13 @@ def test_incremental_ranking(spark):
         assert [(r["term"], r["n"]) for r in rows] == [("Java", 3), ("Scala", 2), ("Haskell", 1)]
     finally:
         q.stop()
+    # restarting from the same checkpoint resumes: old files are not recounted
+    _dump(folder, "c.txt", [("5", "Scala")])
+    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test2",
+                      checkpoint_location=ckpt)
+    try:
+        q.processAllAvailable()
+        rows = spark.table("rank_stream_test2").collect()
+        assert [(r["term"], r["n"]) for r in rows] == [("Java", 3), ("Scala", 3), ("Haskell", 1)]
+    finally:
+        q.stop()
