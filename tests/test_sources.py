@@ -85,3 +85,16 @@ def test_posting_lines_round_trip(spark):
                                      "parent_id long, score int, tags string")
     back = parse_posting_lines(td.posting_lines(df)).collect()
     assert [tuple(r) for r in back] == rows
+
+
+@pytest.mark.parametrize("bad", ["1,2", "1,2,,,x", "1,2,,,99999999999", "1, 2,,,0"])
+def test_posting_errors_do_not_depend_on_ansi(spark, bad):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            parse_posting_lines(lines(spark, [bad])).collect()
+        ok = parse_posting_lines(lines(spark, ["1,2,,,0,x"])).collect()
+        assert [tuple(r) for r in ok] == [(1, 2, None, None, 0, "x")]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
