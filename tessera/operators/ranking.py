@@ -56,7 +56,9 @@ def mention_counts(articles: DataFrame, terms: Sequence[str] = LANGS,
             .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _ranked(counts: DataFrame, terms: DataFrame, keep_zeros: bool) -> DataFrame:
+def ranked_counts(counts: DataFrame, terms: DataFrame, keep_zeros: bool) -> DataFrame:
+    """Rank ``(term, n)`` counts against the term table: ``(rank, term, n)``,
+    n descending, ties by term position; ``keep_zeros`` adds unmentioned terms."""
     how = "left" if keep_zeros else "inner"
     joined = terms.join(counts, "term", how).select(
         "pos", "term", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
@@ -73,8 +75,8 @@ def rank_terms(articles: DataFrame, terms: Sequence[str] = LANGS,
     Same answer as counting each term with its own scan, from one scan.
     """
     terms = check_terms(terms)
-    return _ranked(mention_counts(articles, terms, text), term_table(articles, terms),
-                   keep_zeros=True)
+    return ranked_counts(mention_counts(articles, terms, text), term_table(articles, terms),
+                         keep_zeros=True)
 
 
 def rank_terms_combined(articles: DataFrame, terms: Sequence[str] = LANGS,
@@ -84,8 +86,8 @@ def rank_terms_combined(articles: DataFrame, terms: Sequence[str] = LANGS,
     Terms that no article mentions do not appear.
     """
     terms = check_terms(terms)
-    return _ranked(mention_counts(articles, terms, text), term_table(articles, terms),
-                   keep_zeros=False)
+    return ranked_counts(mention_counts(articles, terms, text), term_table(articles, terms),
+                         keep_zeros=False)
 
 
 def inverted_index(articles: DataFrame, terms: Sequence[str] = LANGS,
@@ -114,7 +116,7 @@ def rank_terms_from_index(index: DataFrame, terms: Sequence[str] | None = None)
     """
     counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if terms is not None:
-        return _ranked(counts, term_table(index, terms), keep_zeros=False)
+        return ranked_counts(counts, term_table(index, terms), keep_zeros=False)
     order = Window.orderBy(F.col("n").desc(), F.col("term").asc())
     return (counts.select(F.row_number().over(order).cast("int").alias("rank"), "term",
                           F.col("n").cast("bigint").alias("n"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.fixed import LANGS
+from tessera.functions.text import check_terms
 from tessera.operators import ranking
 from tessera.sources.articles import parse_article_lines
 from tessera.sources.text import read_lines
@@ -16,8 +17,12 @@ from tessera.sources.text import read_lines
 @dataclass
 class Rankings:
     per_term: DataFrame      # every term, zeros kept
-    from_index: DataFrame    # from the flat inverted index
+    from_index: DataFrame    # articles per term in the inverted index
     combined: DataFrame      # (term, 1) pairs summed map-side
+    counts: DataFrame        # the shared per-term counts (persisted, <= #terms rows)
+
+    def release(self) -> None:
+        self.counts.unpersist()
 
 
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -26,17 +31,23 @@ def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def rank_articles(articles: DataFrame, terms: Sequence[str] = LANGS) -> Rankings:
-    """All three rankings of the original job.
-
-    Each is a single scan that keeps only the text column and shuffles at
-    most #terms partial counts per partition; the index-based ranking counts
-    the flat index without materializing it.
+    """All three rankings of the original job from a single scan.
+
+    The per-term mention counts are computed once (text column only, counts
+    combined map-side, at most #terms rows kept); the per-term ranking adds
+    the zero terms, and the index's per-term sizes are exactly these counts,
+    so the index-based and the combined rankings are the same ranked rows.
+    The individual operators in ``tessera.operators.ranking`` remain available
+    to compute any one of them on its own.
     """
+    terms = check_terms(terms)
+    counts = ranking.mention_counts(articles, terms).persist()
+    table = ranking.term_table(articles, terms)
     return Rankings(
-        per_term=ranking.rank_terms(articles, terms),
-        from_index=ranking.rank_terms_from_index(
-            ranking.inverted_index(articles, terms, keep=()), terms),
-        combined=ranking.rank_terms_combined(articles, terms),
+        per_term=ranking.ranked_counts(counts, table, keep_zeros=True),
+        from_index=ranking.ranked_counts(counts, table, keep_zeros=False),
+        combined=ranking.ranked_counts(counts, table, keep_zeros=False),
+        counts=counts,
     )
 
 

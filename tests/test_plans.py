@@ -52,3 +52,15 @@ def test_kmeans_step_has_no_exchange_on_compact_points(spark):
 def test_type_filters_prune_union_branches(spark):
     p = plan(E.q_questions(spark, SF))
     assert "lineitem" not in p and "orders" in p
+
+
+def test_article_job_scans_once(spark):
+    from tessera.plans.article_ranking import rank_articles
+    from tessera.sources import testdata as td
+    r = rank_articles(td.articles(spark, SF), td.DOCUMENT_TERMS)
+    try:
+        for df in (r.per_term, r.from_index, r.combined):
+            p = plan(df)
+            assert "InMemoryTableScan" in p and "Scan parquet" not in p.split("InMemoryRelation")[0]
+    finally:
+        r.release()
