@@ -27,6 +27,7 @@ class ClusterJob:
     initial: list[tuple[int, int]]
     kmeans: KMeansResult
     results: DataFrame          # (rank, cluster, label, percent, size, median_score)
+    eta: float = KMEANS_ETA
 
     @property
     def means(self) -> list[tuple[int, int]]:
@@ -70,7 +71,7 @@ def cluster_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
     initial = initial_means(vectors, k, terms, spread, seed)
     km = kmeans_points(points, initial, eta, max_iter)
     results = cluster_results(points, km.means, terms, spread)
-    return ClusterJob(vectors, points, initial, km, results)
+    return ClusterJob(vectors, points, initial, km, results, eta)
 
 
 def cluster_posting_file(spark: SparkSession, path: str, **kw) -> ClusterJob:
@@ -92,5 +93,41 @@ def write_report(job: ClusterJob, path: str, mode: str = "overwrite") -> None:
         .write.mode(mode).text(path)
 
 
-__all__ = ["ClusterJob", "cluster_postings", "cluster_posting_file", "print_report",
-           "vectors_from_postings", "write_report"]
+
+
+def print_trace(job: ClusterJob) -> None:
+    """Per step: total shift vs eta, then each mean's move and its shift."""
+    k = len(job.initial)
+    for step, shift in enumerate(job.kmeans.shifts, start=1):
+        print(f"Iteration: {step}\n  * current distance: {shift}\n"
+              f"  * desired distance: {job.eta}\n  * means:")
+        for row in job.kmeans.trace[(step - 1) * k: step * k]:
+            _, _, ox, oy, nx, ny, d = row
+            print(f"   {str((ox, oy)):>20s} ==> {str((nx, ny)):>20s}    distance: {d:8.0f}")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tessera.plans.posting_clusters CSV [--debug] [--master M]``
+
+    Clusters a postings CSV with the original parameters (15 languages,
+    k = 45, spread 50000, eta 20, at most 120 steps) and prints the report.
+    """
+    import argparse
+
+    from tessera.session import build_session
+
+    ap = argparse.ArgumentParser(prog="python -m tessera.plans.posting_clusters")
+    ap.add_argument("path", help="postings CSV file or folder")
+    ap.add_argument("--debug", action="store_true", help="print every k-means step")
+    ap.add_argument("--master", default=None, help="Spark master (default local[$BENCH_CPUS or 8])")
+    args = ap.parse_args(argv)
+    spark = build_session(args.master, app="posting-clusters")
+    job = cluster_posting_file(spark, args.path)
+    if args.debug:
+        print_trace(job)
+    print_report(job)
+    job.release()
+
+
+if __name__ == "__main__":
+    main()

@@ -109,3 +109,19 @@ def test_article_file_rankings(spark):
     assert len(per_term) == len(LANGS)
     assert [(x["term"], x["n"]) for x in r.combined.collect()] == per_term[:4]
     assert [(x["term"], x["n"]) for x in r.from_index.collect()] == per_term[:4]
+
+
+def test_command_lines(spark, capsys):
+    from tessera.plans import article_ranking, posting_clusters
+    folder = _write(_posting_lines())
+    posting_clusters.main([folder, "--debug", "--master", "local[2]"])
+    out = capsys.readouterr().out
+    assert out.startswith("Iteration: 1\n  * current distance: ")
+    assert "  * desired distance: 20.0" in out and REPORT_HEADER[0] in out
+    dump = tempfile.mkdtemp(prefix="tessera-cli-")
+    with open(os.path.join(dump, "d.txt"), "w", encoding="utf-8") as f:
+        f.write(td.ARTICLE_PREFIX + "1</title><text>Scala is great" + td.ARTICLE_SUFFIX + "\n")
+    article_ranking.main([dump, "--terms", "Scala,Java"])
+    out = capsys.readouterr().out.splitlines()
+    assert out[0] == "per-term counts: [('Scala', 1), ('Java', 0)]"
+    assert out[2] == "combined count: [('Scala', 1)]"
