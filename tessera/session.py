@@ -18,10 +18,18 @@ def build_session(master: str | None = None, app: str = "tessera",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """A session configured the way the operators expect to run.
 
+    Under ``spark-submit`` (no explicit ``master``) the submitted session is
+    returned as is; otherwise a local session is built with the settings below.
+
     AQE re-plans joins and coalesces small shuffles at run time, and splits
     skewed join partitions; the shuffle partition count is a starting point
     that AQE coalesces down (on a cluster, size it to input bytes / ~128 MB).
     """
+    if master is None and os.environ.get("PYSPARK_GATEWAY_PORT") and not os.environ.get("TESSERA_LOCAL"):
+        # launched by spark-submit: the submitted master and settings win
+        spark = SparkSession.builder.appName(app).getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+        return spark
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if shuffle_partitions is None:
         cores = _cores(master)
