@@ -11,10 +11,17 @@ output.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+# the package sits next to this file; make it importable however this module is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.fixed import DISTANCE_CAP, KMEANS_ETA, KMEANS_MAX_ITERATIONS, SAMPLE_SEED
 from tessera.functions.geometry import centres_literal, squared_distance
