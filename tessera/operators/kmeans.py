@@ -119,23 +119,24 @@ def kmeans_step(points: DataFrame, means: Centres, method: str = "transform") ->
 ROWS_PER_TASK = 100_000
 
 
-def compact(points: DataFrame) -> DataFrame:
-    """Narrow-coalesce (no shuffle) a cached points frame to ~ROWS_PER_TASK rows per task."""
-    n = points.count()
+def compact(points: DataFrame, n: int | None = None) -> DataFrame:
+    """Narrow-coalesce (no shuffle) a cached points frame to ~ROWS_PER_TASK rows
+    per task (``n``: its row count, if already known)."""
+    n = points.count() if n is None else n
     # coalesce never adds partitions, so this is a no-op when there are fewer
     return points.coalesce(max(1, -(-n // ROWS_PER_TASK)))
 
 
 def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
                   max_iter: int = KMEANS_MAX_ITERATIONS,
-                  method: str = "transform") -> KMeansResult:
-    """Run k-means over weighted points ``(x, y, n)`` (ideally materialized)
-    from ``initial`` until the shift < eta or ``max_iter`` steps."""
+                  method: str = "transform", n_points: int | None = None) -> KMeansResult:
+    """Run k-means over weighted points ``(x, y, n)`` (ideally cached, with a
+    short lineage) from ``initial`` until the shift < eta or ``max_iter`` steps."""
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     means = [(int(x), int(y)) for x, y in initial]
     res = KMeansResult(means=means, iterations=0, converged=False)
-    points = compact(points)
+    points = compact(points, n_points)
     for it in range(1, max_iter + 1):
         new = kmeans_step(points, means, method)
         shift = total_shift(means, new)

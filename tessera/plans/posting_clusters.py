@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.fixed import (
@@ -23,7 +24,7 @@ from tessera.sources.text import read_lines
 @dataclass
 class ClusterJob:
     vectors: DataFrame          # (id, x, y), checkpointed
-    points: DataFrame           # (x, y, n), checkpointed
+    points: DataFrame           # (x, y, n), cached over the checkpointed vectors
     initial: list[tuple[int, int]]
     kmeans: KMeansResult
     results: DataFrame          # (rank, cluster, label, percent, size, median_score)
@@ -63,13 +64,16 @@ def cluster_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
     """The whole clustering job over a postings DataFrame.
 
     The vectors are computed once and checkpointed (sample and k-means both
-    read them); the weighted points derived from them are checkpointed too
-    and serve every k-means step and the report.
+    read them).  The weighted points derived from them serve every k-means
+    step and the report; they are only cached, since their lineage is a
+    single aggregation over the checkpoint files — a lost block is recomputed
+    from those, never from the joins.
     """
     vectors = materialize(vectors_from_postings(postings, terms, spread, unknown))
-    points = materialize(weighted_points(vectors))
+    points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    n_points = points.count()
     initial = initial_means(vectors, k, terms, spread, seed)
-    km = kmeans_points(points, initial, eta, max_iter)
+    km = kmeans_points(points, initial, eta, max_iter, n_points=n_points)
     results = cluster_results(points, km.means, terms, spread)
     return ClusterJob(vectors, points, initial, km, results, eta)
 
