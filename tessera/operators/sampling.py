@@ -37,20 +37,27 @@ def sample_global(vectors: DataFrame, k: int, seed: int = SAMPLE_SEED) -> DataFr
     return picked.select(rank.cast("int").alias("cluster"), "x", "y").orderBy("cluster")
 
 
+def stratum_picks(vectors: DataFrame, per_stratum: int, seed: int = SAMPLE_SEED) -> DataFrame:
+    """The first ``per_stratum`` vectors of every distinct x in draw order:
+    ``(x, y, rn)`` with ``rn`` the draw rank within the stratum (1-based)."""
+    if per_stratum <= 0:
+        raise ValueError("per_stratum must be positive")
+    w = Window.partitionBy("x").orderBy(*draw_order(seed))
+    return (vectors.select("id", "x", "y")
+            .withColumn("rn", F.row_number().over(w))
+            .where(F.col("rn") <= per_stratum)
+            .select("x", "y", "rn"))
+
+
 def sample_stratified(vectors: DataFrame, per_stratum: int, seed: int = SAMPLE_SEED) -> DataFrame:
-    """``per_stratum`` vectors from each distinct x: ``(cluster, x, y)``.
+    """``per_stratum`` vectors from each distinct x: ``(cluster, x, y, rn)``.
 
-    Clusters are numbered by stratum (ascending x), then by draw rank.  A
-    stratum with fewer rows contributes fewer; :func:`initial_means` turns
+    Clusters are numbered by stratum (ascending x), then by draw rank ``rn``.
+    A stratum with fewer rows contributes fewer; :func:`initial_means` turns
     that into an error.
     """
-    if per_stratum <= 0:
-        raise ValueError("per_stratum must be positive")
-    w = Window.partitionBy("x").orderBy(*draw_order(seed))
-    picked = (vectors.select("id", "x", "y")
-              .withColumn("rn", F.row_number().over(w))
-              .where(F.col("rn") <= per_stratum))
-    # global numbering over at most per_stratum x #strata rows
+    picked = stratum_picks(vectors, per_stratum, seed)
+    # global numbering over per_stratum x #strata rows
     cluster = F.row_number().over(Window.orderBy("x", "rn")) - 1
     return picked.select(cluster.cast("int").alias("cluster"), "x", "y", "rn")
 
@@ -69,9 +76,22 @@ def sample_vectors(vectors: DataFrame, k: int, terms: Sequence[str] = LANGS,
 
 def initial_means(vectors: DataFrame, k: int, terms: Sequence[str] = LANGS,
                   spread: int = LANG_SPREAD, seed: int = SAMPLE_SEED) -> list[tuple[int, int]]:
-    """Collect the k sampled centres (k rows) and check the sample's contract:
-    exactly k centres, and, when stratified, ``k / #terms`` in every stratum."""
-    rows = sample_vectors(vectors, k, terms, spread, seed).orderBy("cluster").collect()
+    """Collect the k sampled centres and check the sample's contract: exactly
+    k centres, and, when stratified, ``k / #terms`` in every stratum.
+
+    At most k + 1 rows reach the driver (a bounded top-(k+1) in cluster
+    order), however many strata the vectors have; centre i is the i-th.
+    """
+    terms = check_terms(terms)
+    if spread < GLOBAL_SAMPLE_BELOW_SPREAD:
+        rows = sample_global(vectors, k, seed).collect()
+    else:
+        if k % len(terms) != 0:
+            raise ValueError(f"k={k} is not a multiple of the number of terms ({len(terms)})")
+        rows = (stratum_picks(vectors, k // len(terms), seed)
+                .orderBy("x", "rn").limit(k + 1).collect())
+    if len(rows) > k:
+        raise ValueError(f"sample has more than {k} centres (more strata than terms?)")
     if spread >= GLOBAL_SAMPLE_BELOW_SPREAD:
         per = k // len(terms)
         sizes: dict[int, int] = {}
