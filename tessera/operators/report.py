@@ -32,6 +32,9 @@ def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LA
     the job); percent = its share x 100; median_score = middle score, or the
     two middle scores' sum div 2 (truncating).  Sorted by median score, then
     cluster, with ``rank`` recording that order.
+
+    The medians are found when this is called (a few small Spark jobs, see
+    ``tessera.operators.selection``); everything else is evaluated lazily.
     """
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     assigned = assign_clusters(points.select("x", "y", w.alias("n")), means, method)
