@@ -84,3 +84,39 @@ def test_mentions_match_model(spark):
     assert got == expect
     combined = {r["term"]: r["n"] for r in ranking.rank_terms_combined(arts, terms).collect()}
     assert combined == {t: n for t, n in expect.items() if n > 0}
+
+
+MARK = "</title><text>"
+
+
+def model_article(line: str):
+    i = line.find(MARK)
+    if i < 14 or i + len(MARK) > len(line) - 16:
+        raise ValueError("malformed")
+    return line[14:i], line[i + len(MARK):len(line) - 16]
+
+
+def test_article_parser_matches_model(spark):
+    from tessera.sources import parse_article_lines
+    rnd = random.Random(7)
+    alphabet = ["a", "é", " ", "<", ">", "/", "title", "text", MARK, "ü", "x", "Java"]
+    lines = []
+    for _ in range(300):
+        n = rnd.randint(0, 12)
+        body = "".join(rnd.choice(alphabet) for _ in range(n))
+        cut = rnd.randint(0, len(body))
+        lines.append("".join(rnd.choice("pq") for _ in range(rnd.randint(0, 20)))
+                     + body[:cut] + (MARK if rnd.random() < 0.8 else "") + body[cut:]
+                     + "".join(rnd.choice("rs") for _ in range(rnd.randint(0, 20))))
+    good, bad = [], []
+    for ln in lines:
+        try:
+            good.append((ln, model_article(ln)))
+        except ValueError:
+            bad.append(ln)
+    assert len(good) > 50 and len(bad) > 20
+    df = spark.createDataFrame([(ln,) for ln, _ in good], "value string")
+    assert [tuple(r) for r in parse_article_lines(df).collect()] == [m for _, m in good]
+    for ln in rnd.sample(bad, 5):
+        with pytest.raises(Exception):
+            parse_article_lines(spark.createDataFrame([(ln,)], "value string")).collect()
