@@ -6,8 +6,9 @@ counts the rows of each group's candidate interval per bucket (a grouped
 aggregation, combined map-side), the driver finds the bucket holding the
 wanted rank and narrows the interval to that bucket's observed min..max.
 A group is never brought into one task; each pass returns at most
-(2 x #groups x buckets) small rows, and an interval of width W is resolved in
-about log_buckets(W) passes (a 32-bit range in at most 5 with 256 buckets).
+(2 x #groups x buckets) <= 1M small rows (fewer buckets when there are many
+groups), and an interval of width W is resolved in about log_buckets(W)
+passes (a 32-bit range in at most 5 with 256 buckets).
 
 The intervals of a pass are a DataFrame with at most 2 rows per group; it is
 broadcast, so this is meant for a bounded number of groups (clusters).
@@ -22,8 +23,11 @@ from tessera.session import local_frame
 
 BUCKETS = 256
 # The per-pass interval table (<= 2 rows per group) is broadcast and the
-# per-group summaries come to the driver, so the group count must stay small.
+# per-group summaries come to the driver, so the group count must stay small,
+# and the bucket count shrinks as groups grow so that one pass returns at most
+# MAX_PASS_ROWS rows (more passes instead of bigger ones).
 MAX_GROUPS = 100_000
+MAX_PASS_ROWS = 1_000_000
 
 
 def _tdiv(a: int, b: int) -> int:
@@ -50,6 +54,7 @@ def group_medians(df: DataFrame, group: str = "cluster", value: str = "y",
              .limit(max_groups + 1).collect())
     if len(stats) > max_groups:
         raise ValueError(f"more than {max_groups} groups; group_medians is for few groups")
+    buckets = max(2, min(buckets, MAX_PASS_ROWS // max(1, 2 * len(stats))))
     found: dict[tuple[int, int], int] = {}          # (group, rank) -> value
     open_: dict[tuple[int, int], tuple[int, int, int]] = {}   # (group, rank) -> (lo, hi, below)
     sizes = {}
