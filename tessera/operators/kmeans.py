@@ -41,6 +41,19 @@ def assign_clusters(points: DataFrame, centres: Centres, method: str = "transfor
     return points.withColumn("cluster", nearest_centre("x", "y", centres, method))
 
 
+def average_vectors(vectors: DataFrame, weight: str | None = None) -> DataFrame:
+    """Component-wise integer mean of a set of vectors: one row ``(x, y)``.
+
+    BIGINT sums div the count, truncating toward zero (an empty input gives
+    NULLs).  One global aggregate with map-side partial sums.
+    """
+    w = f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
+    return vectors.agg(F.expr(f"sum(CAST(x AS BIGINT) * {w}) AS sx"),
+                       F.expr(f"sum(CAST(y AS BIGINT) * {w}) AS sy"),
+                       F.expr(f"sum({w}) AS cnt")).select(
+        F.expr("sx div cnt").cast("int").alias("x"), F.expr("sy div cnt").cast("int").alias("y"))
+
+
 def cluster_sums(points: DataFrame, centres: Centres, weight: str | None = "n",
                  method: str = "transform") -> DataFrame:
     """``(cluster, sx, sy, size)``: BIGINT coordinate sums and point count of

@@ -165,3 +165,12 @@ def test_cluster_sizes_sum_to_points(spark):
     res = report.cluster_results(pts, [(0, 0), (LANG_SPREAD, 0), (2 * LANG_SPREAD, 0)],
                                  ["A", "B", "C"], LANG_SPREAD)
     assert res.agg(F.sum("size")).first()[0] == v.count()
+
+
+def test_average_vectors(spark):
+    v = spark.createDataFrame([(1, 1), (2, 3), (8, 9), (4, 9)], "x int, y int")
+    assert tuple(K.average_vectors(v).first()) == (3, 5)
+    neg = spark.createDataFrame([(-7, 0), (0, 0)], "x int, y int")
+    assert tuple(K.average_vectors(neg).first()) == (-3, 0)
+    w = spark.createDataFrame([(1, 1, 3), (10, 4, 1)], "x int, y int, n long")
+    assert tuple(K.average_vectors(w, "n").first()) == (3, 1)
