@@ -500,7 +500,10 @@ SELECT * FROM results""",
         "cluster_report_lines": f"""WITH {_POSTINGS}, {_SAMPLE},
 {chain},
 {_RESULTS}
-SELECT rank, printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label, round(percent, 1), size) AS line
+SELECT rank,
+       printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label,
+              -- like java.util.Formatter: shortest decimal form, then half-up
+              round(CAST(CAST(percent AS VARCHAR) AS DECIMAL(38, 10)), 1), size) AS line
 FROM results""",
 
         "column_sum": f"""WITH {_POSTINGS}
