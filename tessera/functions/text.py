@@ -26,9 +26,21 @@ def check_terms(terms: Sequence[str]) -> list[str]:
     return terms
 
 
+def _sql_string(t: str) -> str:
+    return "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def terms_array(terms: Sequence[str]) -> Column:
-    """The ordered term list as a literal ``array<string>``."""
-    return F.array(*[F.lit(t) for t in check_terms(terms)])
+    """The ordered term list as a literal ``array<string>``.
+
+    Emitted as one SQL expression, so building it costs one JVM call however
+    long the list; terms with quotes or backslashes (whose escaping depends on
+    the parser settings) are passed as individual literals instead.
+    """
+    terms = check_terms(terms)
+    if any("'" in t or "\\" in t for t in terms):
+        return F.array(*[F.lit(t) for t in terms])
+    return F.expr("array(" + ", ".join(_sql_string(t) for t in terms) + ")")
 
 
 def tokens(text: Column | str) -> Column:
