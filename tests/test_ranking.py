@@ -87,3 +87,18 @@ def test_three_strategies_agree(articles):
 def test_term_occurrences_frame(articles):
     row = ranking.term_occurrences(articles(FIVE), "Java").collect()
     assert [(r["term"], r["n"]) for r in row] == [("Java", 3)]
+
+
+def test_write_inverted_index_partitioned_by_term(spark, articles):
+    import os
+    import tempfile
+    idx = ranking.inverted_index(articles(FIVE), ["Scala", "Java", "Cobol"])
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-index-"), "index")
+    ranking.write_inverted_index(idx, out)
+    assert sorted(d for d in os.listdir(out) if d.startswith("term=")) == ["term=Java", "term=Scala"]
+    back = spark.read.parquet(out)
+    java = back.where("term = 'Java'")
+    assert "PartitionFilters: [isnotnull(term" in java._sc._jvm.PythonSQLUtils.explainString(
+        java._jdf.queryExecution(), "formatted")
+    assert sorted(r["title"] for r in java.collect()) == ["2", "4", "5"]
+    assert pairs(ranking.rank_terms_from_index(back, ["Scala", "Java"])) == [("Java", 3), ("Scala", 2)]
