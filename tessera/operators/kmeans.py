@@ -8,8 +8,8 @@ no point keeps its mean; stop when the total squared shift < eta or after
 
 Execution: vectors are first compressed to distinct ``(x, y, n)`` points —
 exact, since sums become sum(x*n) and counts sum(n) — and that small table is
-cut from its lineage (checkpoint in the session's checkpoint folder) and
-cached.  Each step is then one Spark job: assign every point with a literal
+cut from its lineage (``tessera.session.materialize``: a table in the
+session's checkpoint folder) and cached.  Each step is then one Spark job: assign every point with a literal
 centre array, aggregate per cluster with map-side partial sums, and bring
 back k rows.  The driver holds only the k current means; lineage does not
 grow with the number of steps.

@@ -23,8 +23,8 @@ from tessera.sources.text import read_lines
 
 @dataclass
 class ClusterJob:
-    vectors: DataFrame          # (id, x, y), checkpointed
-    points: DataFrame           # (x, y, n), cached over the checkpointed vectors
+    vectors: DataFrame          # (id, x, y), materialized in the checkpoint folder
+    points: DataFrame           # (x, y, n), cached over the materialized vectors
     initial: list[tuple[int, int]]
     kmeans: KMeansResult
     results: DataFrame          # (rank, cluster, label, percent, size, median_score)
@@ -63,11 +63,11 @@ def cluster_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
                      seed: int = SAMPLE_SEED, unknown: str = "keep") -> ClusterJob:
     """The whole clustering job over a postings DataFrame.
 
-    The vectors are computed once and checkpointed (sample and k-means both
-    read them).  The weighted points derived from them serve every k-means
-    step and the report; they are only cached, since their lineage is a
-    single aggregation over the checkpoint files — a lost block is recomputed
-    from those, never from the joins.
+    The vectors are computed once and materialized as a table in the
+    checkpoint folder (sample and k-means both read them).  The weighted
+    points derived from them serve every k-means step and the report; they
+    are only cached, since their lineage is a single aggregation over that
+    table — a lost block is recomputed from it, never from the joins.
     """
     vectors = materialize(vectors_from_postings(postings, terms, spread, unknown))
     points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -93,26 +94,42 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Persist ``df`` and cut its lineage with a reliable checkpoint.
-
-    The data is computed once (the persisted copy feeds the checkpoint write)
-    and the returned DataFrame reads from the checkpoint folder, so losing an
-    executor later costs a re-read of checkpoint files, not a re-run of the
-    joins and aggregations that produced them.  The returned frame is kept
-    persisted for reuse; call :func:`release` on it when done.
+    """Cut ``df``'s lineage: write it as a Parquet table in the checkpoint folder.
+
+    The data is computed once and written (columnar and compressed — a few
+    bytes per row for small integer tuples); the returned frame reads that
+    table and is cached, so losing an executor later costs a re-read of the
+    table, not a re-run of the joins and aggregations that produced it.
+    Call :func:`release` when done: it drops the cache and the table.  On a
+    session without a reachable checkpoint folder path (Spark Connect) this
+    falls back to ``DataFrame.checkpoint``.
     """
-    checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    cut = df.checkpoint(eager=True)
-    cut.persist(StorageLevel.MEMORY_AND_DISK)
-    df.unpersist()
-    return cut
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if not base:
+        return df.checkpoint(eager=True)
+    path = f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    out._tessera_table = path  # noqa: SLF001 - lets release() remove the table
+    return out
 
 
 def release(*frames: DataFrame) -> None:
+    """Unpersist frames; remove the tables :func:`materialize` wrote for them."""
     for f in frames:
-        if f is not None:
-            f.unpersist()
+        if f is None:
+            continue
+        f.unpersist()
+        path = getattr(f, "_tessera_table", None)
+        if path:
+            try:
+                jvm = f.sparkSession.sparkContext._jvm
+                hpath = jvm.org.apache.hadoop.fs.Path(path)
+                fs = hpath.getFileSystem(f.sparkSession.sparkContext._jsc.hadoopConfiguration())
+                fs.delete(hpath, True)
+            except Exception:  # noqa: BLE001 - cleanup is best effort
+                pass
 
 
 def _sql_literal(v) -> str:

@@ -64,3 +64,16 @@ def test_article_job_scans_once(spark):
             assert "InMemoryTableScan" in p and "Scan parquet" not in p.split("InMemoryRelation")[0]
     finally:
         r.release()
+
+
+def test_materialize_cuts_lineage_and_release_removes_table(spark):
+    import os
+    df = E.q_scored_postings(spark, SF)
+    m = materialize(df)
+    path = m._tessera_table
+    local = path.replace("file:", "")
+    assert os.path.isdir(local)
+    p = plan(m)
+    assert "Join" not in p and m.count() == df.count()
+    release(m)
+    assert not os.path.exists(local)
