@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.fixed import LANGS
-from tessera.functions.text import check_terms, mentioned_terms, mentions, terms_array
+from tessera.functions.text import check_terms, mentioned_terms, mentions, terms_array, tokens
 
 
 def term_table(articles: DataFrame, terms: Sequence[str]) -> DataFrame:
@@ -45,8 +45,19 @@ def occurrences_of_term(articles: DataFrame, term: str, text: str = "text") -> i
     return int(term_occurrences(articles, term, text).first()["n"])
 
 
+# Up to this many terms the list is a literal matched inside each row; beyond
+# it, matching each row against the literal (a hash set per row) would cost
+# O(#terms) per article, so tokens are semi-joined with the term table instead.
+INLINE_TERMS_MAX = 256
+
+
 def _mention_rows(articles: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
-    return articles.select(F.explode(mentioned_terms(text, terms)).alias("term"))
+    """One ``term`` row per (article, mentioned term)."""
+    terms = check_terms(terms)
+    if len(terms) <= INLINE_TERMS_MAX:
+        return articles.select(F.explode(mentioned_terms(text, terms)).alias("term"))
+    words = articles.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
+    return words.join(term_table(articles, terms).select("term"), "term", "left_semi")
 
 
 def mention_counts(articles: DataFrame, terms: Sequence[str] = LANGS,

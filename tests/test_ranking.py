@@ -102,3 +102,14 @@ def test_write_inverted_index_partitioned_by_term(spark, articles):
         java._jdf.queryExecution(), "formatted")
     assert sorted(r["title"] for r in java.collect()) == ["2", "4", "5"]
     assert pairs(ranking.rank_terms_from_index(back, ["Scala", "Java"])) == [("Java", 3), ("Scala", 2)]
+
+
+def test_long_term_lists_use_a_join_with_the_same_result(spark, articles):
+    df = articles(FIVE)
+    many = ["Java", "Scala", "Erlang"] + [f"t{i}" for i in range(ranking.INLINE_TERMS_MAX)]
+    got = pairs(ranking.rank_terms(df, many))
+    assert got[:3] == [("Java", 3), ("Scala", 2), ("Erlang", 1)]
+    assert all(n == 0 for _, n in got[3:]) and len(got) == len(many)
+    few = pairs(ranking.rank_terms(df, many[:3]))
+    assert got[:3] == few
+    assert pairs(ranking.rank_terms_combined(df, many)) == few
