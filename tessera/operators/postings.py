@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.fixed import LANG_SPREAD, LANGS
-from tessera.functions.text import check_terms, term_index
+from tessera.functions.text import check_terms, term_index, terms_array
 from tessera.sources.postings import POSTING_COLUMNS
 
 
@@ -89,10 +89,24 @@ def scored_postings(postings: DataFrame) -> DataFrame:
         *POSTING_COLUMNS, "high_score")
 
 
+# Up to this many terms the position is looked up in a literal list inside
+# each row (a linear scan); beyond it, by a join with the term table.
+INLINE_TERMS_MAX = 256
+
+
 def tag_index(scored: DataFrame, terms: Sequence[str] = LANGS, tags: str = "tags") -> DataFrame:
     """Adds ``lang_index``: position of the whole tag in ``terms`` (NULL tag ->
     NULL, unknown tag -> -1)."""
-    return scored.withColumn("lang_index", term_index(tags, terms))
+    terms = check_terms(terms)
+    if len(terms) <= INLINE_TERMS_MAX:
+        return scored.withColumn("lang_index", term_index(tags, terms))
+    table = scored.sparkSession.range(1).select(
+        F.posexplode(terms_array(terms)).alias("_pos", "_term"))
+    joined = scored.join(table, F.col(tags) == F.col("_term"), "left")
+    return joined.withColumn(
+        "lang_index", F.when(F.col(tags).isNull(), F.lit(None).cast("int"))
+                       .otherwise(F.coalesce(F.col("_pos").cast("int"), F.lit(-1)))
+    ).drop("_pos", "_term")
 
 
 def vector_postings(scored: DataFrame, terms: Sequence[str] = LANGS,
@@ -107,10 +121,10 @@ def vector_postings(scored: DataFrame, terms: Sequence[str] = LANGS,
         raise ValueError("spread must be positive to recover the term from x")
     if unknown not in ("keep", "drop"):
         raise ValueError("unknown must be 'keep' or 'drop'")
-    check_terms(terms)
-    idx = term_index("tags", terms)
-    out = scored.select("id", (F.coalesce(idx, F.lit(0)) * F.lit(spread)).cast("int").alias("x"),
-                        F.col("high_score").cast("int").alias("y"))
+    idx = F.col("lang_index")
+    out = tag_index(scored, terms).select(
+        "id", (F.coalesce(idx, F.lit(0)) * F.lit(spread)).cast("int").alias("x"),
+        F.col("high_score").cast("int").alias("y"))
     if unknown == "drop":
         out = out.where(F.col("x") >= 0)
     return out

@@ -106,3 +106,14 @@ def test_grouped_counts_equal_join_pairs(spark):
     expect = P.question_answer_pairs(df).groupBy("qid").count().collect()
     got = P.grouped_postings(df).collect()
     assert sorted((r["qid"], r["count"]) for r in expect) == sorted((r["qid"], r["n_pairs"]) for r in got)
+
+
+def test_tag_index_long_term_lists(spark):
+    many = list(LANGS) + [f"t{i}" for i in range(P.INLINE_TERMS_MAX)]
+    df = spark.createDataFrame([("C++",), (None,), ("Cobol",), ("t7",)], "tags string")
+    got = sorted(((r["tags"] or ""), r["lang_index"]) for r in P.tag_index(df, many).collect())
+    assert got == [("", None), ("C++", 5), ("Cobol", -1), ("t7", len(LANGS) + 7)]
+    scored = spark.createDataFrame([(1, "C++", 7), (2, None, 3), (3, "t0", 4)],
+                                   "id long, tags string, high_score int")
+    got = sorted(tuple(r) for r in P.vector_postings(scored, many, spread=10).collect())
+    assert got == [(1, 50, 7), (2, 0, 3), (3, 10 * len(LANGS), 4)]
