@@ -47,8 +47,10 @@ def group_medians(df: DataFrame, group: str = "cluster", value: str = "y",
     if buckets < 2:
         raise ValueError("need at least 2 buckets")
     spark = df.sparkSession
-    base = df.select(F.col(group).cast("bigint").alias("g"), F.col(value).cast("bigint").alias("v"),
-                     F.col(weight).cast("bigint").alias("w"))
+    # rows without a group or value, or with no weight, take no part
+    base = (df.select(F.col(group).cast("bigint").alias("g"), F.col(value).cast("bigint").alias("v"),
+                      F.col(weight).cast("bigint").alias("w"))
+            .where(F.col("g").isNotNull() & F.col("v").isNotNull() & (F.col("w") > 0)))
     stats = (base.groupBy("g").agg(F.sum("w").alias("size"), F.min("v").alias("lo"),
                                    F.max("v").alias("hi"))
              .limit(max_groups + 1).collect())

@@ -34,3 +34,9 @@ def test_hot_group(spark):
     rows = [(0, v % 1000, 1) for v in range(30000)] + [(1, 5, 1)]
     df = spark.createDataFrame(rows, "cluster int, y long, n long")
     assert group_medians(df, buckets=16) == brute(rows)
+
+
+def test_nulls_and_zero_weights_are_ignored(spark):
+    rows = [(0, 1, 1), (0, None, 5), (0, 9, 0), (0, 3, 1), (None, 100, 1), (1, 4, 2)]
+    df = spark.createDataFrame(rows, "cluster int, y long, n long")
+    assert group_medians(df) == {0: 2, 1: 4}
