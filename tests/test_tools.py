@@ -1,0 +1,39 @@
+import importlib.util
+import json
+import os
+import tempfile
+
+_HERE = os.path.dirname(os.path.abspath(__file__))
+_spec = importlib.util.spec_from_file_location(
+    "stages", os.path.join(os.path.dirname(_HERE), "tools", "stages.py"))
+stages = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(stages)
+
+
+def _events():
+    ev = []
+    for stage, times in ((0, [(0, 100), (0, 300), (5, 105)]), (1, [(10, 20)])):
+        for launch, finish in times:
+            ev.append({"Event": "SparkListenerTaskEnd", "Stage ID": stage, "Stage Attempt ID": 0,
+                       "Task Info": {"Launch Time": launch, "Finish Time": finish},
+                       "Task Metrics": {"Input Metrics": {"Records Read": 10},
+                                        "Shuffle Read Metrics": {"Total Records Read": 1}}})
+        ev.append({"Event": "SparkListenerStageCompleted",
+                   "Stage Info": {"Stage ID": stage, "Stage Attempt ID": 0, "Stage Name": f"s{stage}"}})
+    return "\n".join(json.dumps(e) for e in ev) + "\n"
+
+
+def test_summarise_plain_and_rolling_zstd():
+    import zstandard
+    folder = tempfile.mkdtemp(prefix="tessera-evlog-")
+    plain = os.path.join(folder, "log.json")
+    with open(plain, "w", encoding="utf-8") as f:
+        f.write(_events())
+    rolling = os.path.join(folder, "eventlog_v2_app")
+    os.mkdir(rolling)
+    with open(os.path.join(rolling, "events_1_app.zstd"), "wb") as f:
+        f.write(zstandard.ZstdCompressor().compress(_events().encode()))
+    for path in (plain, rolling):
+        rows = {r["stage"]: r for r in stages.summarise(path)}
+        assert rows[0]["tasks"] == 3 and rows[0]["max_ms"] == 300 and rows[0]["median_ms"] == 100
+        assert rows[0]["records_in"] == 33 and rows[1]["name"] == "s1"
