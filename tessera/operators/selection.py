@@ -6,9 +6,10 @@ counts the rows of each group's candidate interval per bucket (a grouped
 aggregation, combined map-side), the driver finds the bucket holding the
 wanted rank and narrows the interval to that bucket's observed min..max.
 A group is never brought into one task; each pass returns at most
-(2 x #groups x buckets) <= 1M small rows (fewer buckets when there are many
-groups), and an interval of width W is resolved in about log_buckets(W)
-passes (a 32-bit range in at most 5 with 256 buckets).
+(2 x #groups x buckets) <= 1M small rows — in fact one row per non-empty
+bucket — (fewer buckets when there are many groups), and an interval of
+width W is resolved in about log_buckets(W) passes: a range of up to 4096
+distinct scores in one pass, a 32-bit range in at most 3.
 
 The intervals of a pass are a DataFrame with at most 2 rows per group; it is
 broadcast, so this is meant for a bounded number of groups (clusters).
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import local_frame
 
-BUCKETS = 256
+BUCKETS = 4096
 # The per-pass interval table (<= 2 rows per group) is broadcast and the
 # per-group summaries come to the driver, so the group count must stay small,
 # and the bucket count shrinks as groups grow so that one pass returns at most
