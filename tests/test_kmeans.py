@@ -188,3 +188,13 @@ def test_large_strata_use_salted_two_phase(spark):
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", prev)
     plain = sorted(tuple(r) for r in stratum_picks(v, 40).collect())
     assert salted == plain and len(plain) == 80
+
+
+def test_sample_vectors_frame_matches_initial_means(spark):
+    v = vectors_for_sampling(spark)
+    frame = [(r["x"], r["y"]) for r in
+             sampling.sample_vectors(v, 6, ["A", "B", "C"], LANG_SPREAD).orderBy("cluster").collect()]
+    assert frame == sampling.initial_means(v, 6, ["A", "B", "C"], LANG_SPREAD)
+    small = [(r["x"], r["y"]) for r in
+             sampling.sample_vectors(v, 5, ["A", "B", "C"], spread=100).orderBy("cluster").collect()]
+    assert small == sampling.initial_means(v, 5, ["A", "B", "C"], spread=100)
