@@ -37,3 +37,17 @@ def test_summarise_plain_and_rolling_zstd():
         rows = {r["stage"]: r for r in stages.summarise(path)}
         assert rows[0]["tasks"] == 3 and rows[0]["max_ms"] == 300 and rows[0]["median_ms"] == 100
         assert rows[0]["records_in"] == 33 and rows[1]["name"] == "s1"
+
+
+def test_build_session_keeps_submitted_session(spark, monkeypatch):
+    from tessera.session import build_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        monkeypatch.setenv("PYSPARK_GATEWAY_PORT", "1")
+        monkeypatch.delenv("TESSERA_LOCAL", raising=False)
+        s = build_session()
+        assert s is spark or s.sparkContext is spark.sparkContext
+        assert s.conf.get("spark.sql.shuffle.partitions") == "3"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
