@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 POSTING_SCHEMA = T.StructType([
@@ -19,12 +18,24 @@ POSTING_COLUMNS = [f.name for f in POSTING_SCHEMA.fields]
 _INT_PATTERN = r"^[+-]?[0-9]+$"
 
 
-def _strict_int(s: Column, to: str, what: str) -> Column:
-    """Parse a decimal integer exactly: no blanks, no fraction, no overflow —
-    independent of the session's ANSI setting."""
-    parsed = s.try_cast(to)
-    return F.when(s.rlike(_INT_PATTERN) & parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit(f"bad {what} field: '"), s, F.lit("'"))))
+def _strict_int(s: str, to: str, what: str) -> str:
+    """SQL: parse a decimal integer exactly — no blanks, no fraction, no
+    overflow — independent of the session's ANSI setting; else fail the job."""
+    message = f"concat('bad {what} field: <', {s}, '>')"
+    return (f"CASE WHEN {s} RLIKE '{_INT_PATTERN}' AND try_cast({s} AS {to}) IS NOT NULL "
+            f"THEN try_cast({s} AS {to}) ELSE raise_error({message}) END")
+
+
+def _field(i: int) -> str:
+    """SQL: the i-th field of ``f``; fewer than 5 fields fail the job."""
+    return (f"(CASE WHEN size(f) >= 5 THEN f[{i}] "
+            f"ELSE raise_error('posting line has fewer than 5 fields') END)")
+
+
+def _optional_int(i: int, what: str) -> str:
+    """SQL: an empty field is NULL, anything else a strict BIGINT."""
+    return (f"CASE WHEN {_field(i)} = '' THEN CAST(NULL AS BIGINT) "
+            f"ELSE {_strict_int(_field(i), 'BIGINT', what)} END")
 
 
 def parse_posting_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -34,27 +45,16 @@ def parse_posting_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     must exist; ``''`` in fields 2 and 3 means NULL; field 5 is the tag
     string when present (possibly ``''``), NULL otherwise; further fields are
     ignored.  Any malformed number fails the job.  Ids are read as BIGINT
-    (2^31 ids run out long before 100 TB); type and score stay INT.
+    (2^31 ids run out long before 100 TB); type and score stay INT.  The two
+    projections are SQL text, so building the plan takes two JVM calls.
     """
     # trailing separators go first (character trim, no regex), then split
-    arr = F.split(F.expr(f"trim(TRAILING ',' FROM `{value}`)"), ",")
-    fields = lines.select(arr.alias("f"))
-    f = F.col("f")
-    short = F.raise_error(F.lit("posting line has fewer than 5 fields"))
-
-    def req(i: int) -> Column:
-        return F.when(F.size(f) >= 5, f.getItem(i)).otherwise(short)
-
-    def opt_int(i: int, what: str) -> Column:
-        s = req(i)
-        return F.when(s == F.lit(""), F.lit(None).cast("bigint")).otherwise(
-            _strict_int(s, "bigint", what))
-
-    return fields.select(
-        _strict_int(req(0), "int", "posting type").alias("posting_type"),
-        _strict_int(req(1), "bigint", "id").alias("id"),
-        opt_int(2, "accepted answer").alias("accepted_answer"),
-        opt_int(3, "parent id").alias("parent_id"),
-        _strict_int(req(4), "int", "score").alias("score"),
-        F.when(F.size(f) >= 6, f.getItem(5)).alias("tags"),
+    fields = lines.selectExpr(f"split(trim(TRAILING ',' FROM `{value}`), ',', -1) AS f")
+    return fields.selectExpr(
+        f"{_strict_int(_field(0), 'INT', 'posting type')} AS posting_type",
+        f"{_strict_int(_field(1), 'BIGINT', 'id')} AS id",
+        f"{_optional_int(2, 'accepted answer')} AS accepted_answer",
+        f"{_optional_int(3, 'parent id')} AS parent_id",
+        f"{_strict_int(_field(4), 'INT', 'score')} AS score",
+        "CASE WHEN size(f) >= 6 THEN f[5] END AS tags",
     )

@@ -34,15 +34,30 @@ ARTICLE_SUFFIX = "</text>  </page>"
 assert len(ARTICLE_PREFIX) == ARTICLE_PREFIX_LEN and len(ARTICLE_SUFFIX) == ARTICLE_SUFFIX_LEN
 
 
+# Reader schemas of the columns the adapters use: declared rather than
+# inferred, so planning reads no file footers; Parquet maps columns by name.
+ADAPTER_COLUMNS = {
+    "documents": "doc_id BIGINT, text STRING",
+    "orders": "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_linenumber INT, l_extendedprice DOUBLE",
+}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table with all its columns (schema inferred from the files)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def adapter_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table with just the columns the adapters use (declared schema)."""
+    return spark.read.schema(ADAPTER_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 # ---------------------------------------------------------------- articles --
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:
     """``documents`` -> ``(title, text)`` with the doc id as title."""
-    return documents.select(F.col("doc_id").cast("string").alias("title"), F.col("text"))
+    return documents.selectExpr("CAST(doc_id AS STRING) AS title", "text")
 
 
 def article_lines(articles: DataFrame) -> DataFrame:
@@ -52,7 +67,7 @@ def article_lines(articles: DataFrame) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles_from_documents(load_table(spark, sf_dir, "documents"))
+    return articles_from_documents(adapter_table(spark, sf_dir, "documents"))
 
 
 # ---------------------------------------------------------------- postings --
@@ -66,32 +81,31 @@ def postings_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     answer:   type 2, id = 8 * order key + line number, parent = order key,
               score = extended price div 100, no tags
     """
-    questions = orders.select(
-        F.lit(1).alias("posting_type"),
-        F.col("o_orderkey").cast("bigint").alias("id"),
-        (F.col("o_orderkey") * 8 + 1).cast("bigint").alias("accepted_answer"),
-        F.lit(None).cast("bigint").alias("parent_id"),
-        F.floor(F.col("o_totalprice") / 1000).cast("int").alias("score"),
-        F.when(F.col("o_orderpriority") != F.lit(UNSPECIFIED_PRIORITY),
-               F.col("o_orderpriority")).alias("tags"),
+    questions = orders.selectExpr(
+        "1 AS posting_type",
+        "CAST(o_orderkey AS BIGINT) AS id",
+        "CAST(o_orderkey * 8 + 1 AS BIGINT) AS accepted_answer",
+        "CAST(NULL AS BIGINT) AS parent_id",
+        "CAST(floor(o_totalprice / 1000) AS INT) AS score",
+        f"CASE WHEN o_orderpriority <> '{UNSPECIFIED_PRIORITY}' THEN o_orderpriority END AS tags",
     )
-    answers = lineitem.select(
-        F.lit(2).alias("posting_type"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id"),
-        F.lit(None).cast("bigint").alias("accepted_answer"),
-        F.col("l_orderkey").cast("bigint").alias("parent_id"),
-        F.floor(F.col("l_extendedprice") / 100).cast("int").alias("score"),
-        F.lit(None).cast("string").alias("tags"),
+    answers = lineitem.selectExpr(
+        "2 AS posting_type",
+        "CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id",
+        "CAST(NULL AS BIGINT) AS accepted_answer",
+        "CAST(l_orderkey AS BIGINT) AS parent_id",
+        "CAST(floor(l_extendedprice / 100) AS INT) AS score",
+        "CAST(NULL AS STRING) AS tags",
     )
-    return questions.unionByName(answers).select(*POSTING_COLUMNS)
+    return questions.unionByName(answers)
 
 
 def posting_lines(postings: DataFrame) -> DataFrame:
     """Postings -> CSV ``value`` lines, NULL written as an empty field."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in POSTING_COLUMNS]
-    return postings.select(F.concat_ws(",", *fields).alias("value"))
+    fields = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in POSTING_COLUMNS)
+    return postings.selectExpr(f"concat_ws(',', {fields}) AS value")
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings_from_tables(load_table(spark, sf_dir, "orders"),
-                                load_table(spark, sf_dir, "lineitem"))
+    return postings_from_tables(adapter_table(spark, sf_dir, "orders"),
+                                adapter_table(spark, sf_dir, "lineitem"))
