@@ -39,11 +39,10 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     ``q_*`` and the answer's as ``a_*``.  Unanswered questions and orphan
     answers drop out; duplicated rows on either side multiply.
     """
-    q = questions(postings).select(*[F.col(c).alias(f"q_{c}") for c in POSTING_COLUMNS])
-    a = answers(postings).select(*[F.col(c).alias(f"a_{c}") for c in POSTING_COLUMNS])
-    return q.join(a, q["q_id"] == a["a_parent_id"], "inner").select(
-        F.col("q_id").alias("qid"), *[f"q_{c}" for c in POSTING_COLUMNS],
-        *[f"a_{c}" for c in POSTING_COLUMNS])
+    q = questions(postings).selectExpr(*[f"{c} AS q_{c}" for c in POSTING_COLUMNS])
+    a = answers(postings).selectExpr(*[f"{c} AS a_{c}" for c in POSTING_COLUMNS])
+    return q.join(a, F.col("q_id") == F.col("a_parent_id"), "inner").selectExpr(
+        "q_id AS qid", *[f"q_{c}" for c in POSTING_COLUMNS], *[f"a_{c}" for c in POSTING_COLUMNS])
 
 
 def grouped_postings(postings: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def term_table(articles: DataFrame, terms: Sequence[str]) -> DataFrame:
     """
     return (articles.sparkSession.range(1)
             .select(F.posexplode(terms_array(terms)).alias("pos", "term"))
-            .select(F.col("pos").cast("int").alias("pos"), "term"))
+            .selectExpr("CAST(pos AS INT) AS pos", "term"))
 
 
 def term_occurrences(articles: DataFrame, term: str, text: str = "text") -> DataFrame:
