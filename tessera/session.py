@@ -110,7 +110,8 @@ def materialize(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     path = f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    out = spark.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    # the schema is known: no footer reads to infer it again
+    out = spark.read.schema(df.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
     out._tessera_table = path  # noqa: SLF001 - lets release() remove the table
     return out
 
