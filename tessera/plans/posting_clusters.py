@@ -12,7 +12,7 @@ from tessera.fixed import (
     KMEANS_ETA, KMEANS_KERNELS, KMEANS_MAX_ITERATIONS, LANG_SPREAD, LANGS, REPORT_HEADER,
     SAMPLE_SEED,
 )
-from tessera.operators.kmeans import KMeansResult, kmeans_points, weighted_points
+from tessera.operators.kmeans import KMeansResult, compact, kmeans_points, weighted_points
 from tessera.operators.postings import scored_postings, vector_postings
 from tessera.operators.report import cluster_results, report_lines
 from tessera.operators.sampling import initial_means
@@ -72,9 +72,10 @@ def cluster_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
     vectors = materialize(vectors_from_postings(postings, terms, spread, unknown))
     points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     n_points = points.count()
+    compact_points = compact(points, n_points)      # k-means steps and the report
     initial = initial_means(vectors, k, terms, spread, seed)
-    km = kmeans_points(points, initial, eta, max_iter, n_points=n_points)
-    results = cluster_results(points, km.means, terms, spread)
+    km = kmeans_points(compact_points, initial, eta, max_iter, n_points=n_points)
+    results = cluster_results(compact_points, km.means, terms, spread)
     return ClusterJob(vectors, points, initial, km, results, eta)
 
 
