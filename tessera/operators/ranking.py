@@ -115,8 +115,22 @@ def inverted_index(articles: DataFrame, terms: Sequence[str] = LANGS,
                            *[F.col(c) for c in keep])
 
 
-def write_inverted_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Persist the flat index as a term-partitioned Parquet table."""
+def write_inverted_index(index: DataFrame, path: str, mode: str = "overwrite",
+                         files_per_term: int | None = None, salt_column: str = "title") -> None:
+    """Persist the flat index as a term-partitioned Parquet table.
+
+    By default every task writes its own file for each term it holds (no
+    shuffle; the file count grows with the number of input tasks).  With
+    ``files_per_term`` the rows are first shuffled by (term, a hash of
+    ``salt_column`` modulo ``files_per_term``): each term gets at most that
+    many files, and a term found in most articles is spread over that many
+    writer tasks instead of landing in one.
+    """
+    if files_per_term is not None:
+        if files_per_term < 1:
+            raise ValueError("files_per_term must be >= 1")
+        salt = F.pmod(F.xxhash64(salt_column), F.lit(files_per_term))
+        index = index.repartition(F.col("term"), salt)
     index.write.mode(mode).partitionBy("term").parquet(path)
 
 

@@ -113,3 +113,16 @@ def test_long_term_lists_use_a_join_with_the_same_result(spark, articles):
     few = pairs(ranking.rank_terms(df, many[:3]))
     assert got[:3] == few
     assert pairs(ranking.rank_terms_combined(df, many)) == few
+
+
+def test_write_inverted_index_bounded_files(spark, articles):
+    import os
+    import tempfile
+    rows = [(str(i), "Java and Scala" if i % 2 else "Java") for i in range(400)]
+    idx = ranking.inverted_index(articles(rows).repartition(16), ["Scala", "Java"])
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-index-"), "index")
+    ranking.write_inverted_index(idx, out, files_per_term=3)
+    for term, n in (("Java", 400), ("Scala", 200)):
+        files = [f for f in os.listdir(os.path.join(out, f"term={term}")) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 3
+        assert spark.read.parquet(out).where(f"term = '{term}'").count() == n
