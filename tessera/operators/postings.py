@@ -120,6 +120,8 @@ def vector_postings(scored: DataFrame, terms: Sequence[str] = LANGS,
         raise ValueError("spread must be positive to recover the term from x")
     if unknown not in ("keep", "drop"):
         raise ValueError("unknown must be 'keep' or 'drop'")
+    if (len(check_terms(terms)) - 1) * spread > 2**31 - 1:
+        raise ValueError("term index x spread does not fit the INT x coordinate")
     idx = F.col("lang_index")
     out = tag_index(scored, terms).select(
         "id", (F.coalesce(idx, F.lit(0)) * F.lit(spread)).cast("int").alias("x"),

@@ -117,3 +117,9 @@ def test_tag_index_long_term_lists(spark):
                                    "id long, tags string, high_score int")
     got = sorted(tuple(r) for r in P.vector_postings(scored, many, spread=10).collect())
     assert got == [(1, 50, 7), (2, 0, 3), (3, 10 * len(LANGS), 4)]
+
+
+def test_vectors_reject_overflowing_spread(spark):
+    scored = spark.createDataFrame([(1, "t1", 7)], "id long, tags string, high_score int")
+    with pytest.raises(ValueError):
+        P.vector_postings(scored, [f"t{i}" for i in range(50_000)], spread=50_000)
