@@ -36,10 +36,9 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
+    # floats compare exactly: both engines apply the same IEEE operations
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return float(f"{v:.10g}")
+        return "nan" if math.isnan(v) else v
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if isinstance(v, dict):
