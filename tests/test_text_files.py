@@ -1,0 +1,40 @@
+"""A1 on the driver's data: both jobs read real text files written from the tables."""
+
+import os
+import tempfile
+
+import __spark_entry__ as E
+from tessera.plans.article_ranking import rank_article_file
+from tessera.plans.posting_clusters import cluster_posting_file
+from tessera.sources import testdata as td
+
+SF = "/root/testdata/sf0.001"
+
+
+def _rows(df, cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_article_dump_files(spark):
+    # newlines inside a text would split an article across lines in a dump
+    arts = td.articles(spark, SF).selectExpr("title", "regexp_replace(text, '\\n', ' ') AS text")
+    folder = os.path.join(tempfile.mkdtemp(prefix="tessera-dump-"), "dump")
+    td.article_lines(arts).write.text(folder)
+    r = rank_article_file(spark, folder, td.DOCUMENT_TERMS)
+    try:
+        expect = E.ranking.rank_terms_combined(arts, td.DOCUMENT_TERMS)
+        assert _rows(r.combined, ["rank", "term", "n"]) == _rows(expect, ["rank", "term", "n"])
+    finally:
+        r.release()
+
+
+def test_posting_csv_files(spark):
+    folder = os.path.join(tempfile.mkdtemp(prefix="tessera-csv-"), "postings")
+    td.posting_lines(td.postings(spark, SF)).write.text(folder)
+    job = cluster_posting_file(spark, folder, terms=td.PRIORITY_TERMS, spread=td.ADAPTER_SPREAD,
+                               k=td.ADAPTER_K)
+    try:
+        cols = ["rank", "cluster", "label", "percent", "size", "median_score"]
+        assert _rows(job.results, cols) == _rows(E.q_cluster_results(spark, SF), cols)
+    finally:
+        job.release()
