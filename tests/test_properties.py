@@ -120,3 +120,20 @@ def test_article_parser_matches_model(spark):
     for ln in rnd.sample(bad, 5):
         with pytest.raises(Exception):
             parse_article_lines(spark.createDataFrame([(ln,)], "value string")).collect()
+
+
+def test_inverted_index_matches_model(spark):
+    rnd = random.Random(5)
+    words = ["Java", "Scala", "Java,", "scala", "Go", "x", "", "Go\nGo"]
+    arts = [(f"t{rnd.randint(0, 60)}", " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9))))
+            for _ in range(250)]                                    # titles repeat on purpose
+    terms = ["Java", "Scala", "Go", "Rust"]
+    df = spark.createDataFrame(arts, "title string, text string")
+    expect = sorted((t, title, text) for title, text in arts for t in terms if t in text.split(" "))
+    idx = ranking.inverted_index(df, terms)
+    assert sorted(tuple(r) for r in idx.select("term", "title", "text").collect()) == expect
+    counts = {}
+    for t, _, _ in expect:
+        counts[t] = counts.get(t, 0) + 1
+    ranked = [(r["term"], r["n"]) for r in ranking.rank_terms_from_index(idx, terms).collect()]
+    assert ranked == sorted(counts.items(), key=lambda kv: (-kv[1], terms.index(kv[0])))
