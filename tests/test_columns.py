@@ -36,3 +36,13 @@ def test_local_frame_round_trip(spark):
     assert df.schema.simpleString() == "struct<i:int,d:double,s:string,n:bigint,b:boolean>"
     empty = local_frame(spark, [], "i INT, d DOUBLE")
     assert empty.collect() == [] and empty.columns == ["i", "d"]
+
+
+def test_sum_and_max_match_python(spark):
+    import random
+    rnd = random.Random(17)
+    for _ in range(3):
+        values = [rnd.randint(-1000, 1000) for _ in range(rnd.randint(1, 300))]
+        df = ints(spark, values + [None])              # NULLs take no part
+        assert column_sum(df, "v").first()[0] == sum(values)
+        assert column_max(df, "v").first()[0] == max(values)
