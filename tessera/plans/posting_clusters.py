@@ -71,11 +71,15 @@ def cluster_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
     """
     vectors = materialize(vectors_from_postings(postings, terms, spread, unknown))
     points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
-    n_points = points.count()
-    compact_points = compact(points, n_points)      # k-means steps and the report
-    initial = initial_means(vectors, k, terms, spread, seed)
-    km = kmeans_points(compact_points, initial, eta, max_iter, n_points=n_points)
-    results = cluster_results(compact_points, km.means, terms, spread)
+    try:
+        n_points = points.count()
+        compact_points = compact(points, n_points)      # k-means steps and the report
+        initial = initial_means(vectors, k, terms, spread, seed)
+        km = kmeans_points(compact_points, initial, eta, max_iter, n_points=n_points)
+        results = cluster_results(compact_points, km.means, terms, spread)
+    except BaseException:
+        release(vectors, points)          # nothing of a failed job stays cached or written
+        raise
     return ClusterJob(vectors, points, initial, km, results, eta)
 
 
