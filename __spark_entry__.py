@@ -41,6 +41,16 @@ SPREAD = td.ADAPTER_SPREAD
 PER_STRATUM = K // len(TAG_TERMS)
 OCCURRENCE_TERM = "the"
 
+# the training-data subpackage and its pipeline are optional: without them the
+# other queries still work; an import error of anything else is not hidden
+try:
+    import corpus_pipeline
+    from tessera.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("tessera.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline = llm_queries = None
+
 
 # ---------------------------------------------------------------- articles --
 
@@ -199,7 +209,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    out = {
         "rank_terms_combined": q_rank_terms_combined,
         "parse_articles": q_parse_articles,
         "term_occurrences": q_term_occurrences,
@@ -229,6 +239,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_terms_from_lines": q_rank_terms_from_lines,
         "cluster_results_from_lines": q_cluster_results_from_lines,
     }
+    if llm_queries is not None:
+        out |= llm_queries.queries()
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 # ================================================================== oracles ==
@@ -515,4 +529,8 @@ SELECT CAST(coalesce(sum(CAST(score AS BIGINT)), 0) AS BIGINT) AS total FROM pos
     # answer the same as their table-fed forms
     out["rank_terms_from_lines"] = out["rank_terms_combined"]
     out["cluster_results_from_lines"] = out["cluster_results"]
+    if llm_queries is not None:
+        out |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
