@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import pieces, secrets, simhash
+from tessera.llm import multiset, pieces, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset-hash fingerprints of all documents and of their edited texts."""
+    rows = multiset.compare_edits(_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
+                       F.sha2("edited", 256).alias("edited_sha256"), multiset.to_hex(F.col("vec")).alias("fingerprint"),
+                       multiset.to_hex(F.col("edited_vec")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents: the fixed kinds and the randomness battery's."""
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
@@ -42,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op4_sentencepiece": op4_sentencepiece,
+        "op6_fingerprints": op6_fingerprints,
         "op7_secrets": op7_secrets,
     }
 
