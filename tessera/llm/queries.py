@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import multiset, pieces, secrets, simhash
+from tessera.llm import licenses, mixture, multiset, pieces, secrets, simhash, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,24 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and verified licence templates of all documents."""
+    found = licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    base = F.transform("base", lambda p: p["label"])
+    at = F.transform("base", lambda p: p["at"])
+    scores = F.transform("aligned", lambda a: a["score"])
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"), joined(base).alias("base_labels"),
+        joined(F.concat(base, F.transform("aligned", lambda a: a["label"]))).alias("labels"),
+        F.greatest(F.coalesce(F.array_max(scores), F.lit(0.0)),
+                   F.when(F.size("base") > 0, licenses.BASE_SCORE).otherwise(0.0)).alias("score"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset-hash fingerprints of all documents and of their edited texts."""
     rows = multiset.compare_edits(_table(spark, sf_dir, "documents"))
@@ -46,14 +64,21 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.digest(F.col("spans")).alias("spans"))
 
 
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of every document."""
+    return mixture.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op4_sentencepiece": op4_sentencepiece,
+        "op5_licenses": op5_licenses,
         "op6_fingerprints": op6_fingerprints,
         "op7_secrets": op7_secrets,
+        "op8_mixture": op8_mixture,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_mixture": sql.MIXTURE}
