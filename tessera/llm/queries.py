@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licenses, mixture, multiset, pieces, secrets, simhash, sql
+from tessera.llm import licenses, mixture, multiset, pieces, secrets, simhash, sql, toxicity
+from tessera.llm.common import crc_mod
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +70,15 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labels of three folds of four."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), keep=crc_mod(F.col("doc_id"), 4) != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -77,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_fingerprints": op6_fingerprints,
         "op7_secrets": op7_secrets,
         "op8_mixture": op8_mixture,
+        "op10_toxicity": op10_toxicity,
     }
 
 
