@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licenses, mixture, multiset, pieces, secrets, simhash, sql, toxicity
+from tessera.llm import langid, licenses, mixture, multiset, pieces, secrets, simhash, sql, toxicity
 from tessera.llm.common import crc_mod
 
 
@@ -70,6 +70,14 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from two folds of three."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs, keep=crc_mod(F.col("doc_id"), 3) != 1)
+    return langid.predict(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learned from the labels of three folds of four."""
     docs = _table(spark, sf_dir, "documents")
@@ -87,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_fingerprints": op6_fingerprints,
         "op7_secrets": op7_secrets,
         "op8_mixture": op8_mixture,
+        "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
     }
 
