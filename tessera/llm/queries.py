@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, mixture, multiset, pieces, secrets, simhash, sql, toxicity
+from tessera.llm import langid, licenses, mixture, multiset, pieces, secrets, simhash, sql, topk, toxicity
 from tessera.llm.common import crc_mod
 
 
@@ -22,6 +22,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten highest integer inner products of every hundredth vector with all others."""
+    found = topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text by Viterbi search, decoded again and compared."""
     return pieces.encode(_table(spark, sf_dir, "documents"))
@@ -90,6 +96,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_topk": op2_topk,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_licenses": op5_licenses,
         "op6_fingerprints": op6_fingerprints,
@@ -101,4 +108,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixture": sql.MIXTURE}
+    return {"op2_topk": sql.TOP_K, "op8_mixture": sql.MIXTURE}

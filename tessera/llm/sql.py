@@ -27,3 +27,20 @@ SELECT p.doc_id, p.size, CAST(t.s AS BIGINT) AS source_size, CAST(t.target AS DO
      + greatest(0, least(p.size, floor(t.target) - p.at - 2 * t.s)) AS BIGINT) AS taken
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 """
+
+TOP_K = """
+WITH parts AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS term, unnest(embedding) AS x FROM embeddings WHERE vec_id IS NOT NULL),
+bad AS (SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)),
+weights AS (
+  SELECT vec_id, term, CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) AS w FROM parts
+  WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM weights q JOIN weights c ON q.term = c.term AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+  GROUP BY q.vec_id, c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
