@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, mixture, multiset, pieces, secrets, simhash, sql, topk, toxicity
+from tessera.llm import langid, licenses, lm, mixture, multiset, pieces, secrets, simhash, sql, topk, toxicity
 from tessera.llm.common import crc_mod
 
 
@@ -28,6 +28,15 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's probability under the bit mixture, learned from nine folds of ten."""
+    docs = _table(spark, sf_dir, "documents")
+    train = crc_mod(F.col("doc_id"), 10) != 0
+    return lm.score(docs, train).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score", "bits_per_byte")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text by Viterbi search, decoded again and compared."""
     return pieces.encode(_table(spark, sf_dir, "documents"))
@@ -97,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_topk": op2_topk,
+        "op3_lm": op3_lm,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_licenses": op5_licenses,
         "op6_fingerprints": op6_fingerprints,
