@@ -11,28 +11,58 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import mixture, pieces, secrets, simhash, toxicity
+from tessera.llm.common import crc_mod
 from tessera.session import checkpoint_dir
 
 
+def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go; learned from the labels outside the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, keep=crc_mod(F.col("doc_id"), 4) != 2)
+    return toxicity.drop_toxic(docs, model)
+
+
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (3-word shingles, 2 bits)."""
     return simhash.keep_one(docs)
 
 
+def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; every document stays."""
+    return secrets.redact(docs)
+
+
+def stage_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are mixed to their target weights, in the order of training."""
+    return mixture.mix(docs)
+
+
+def stage_sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document that the mix takes, in its order."""
+    return pieces.encode(docs)
+
+
 STAGES = [
+    ("toxicity", stage_toxicity),
     ("simhash_near_dedup", stage_simhash),
+    ("secret_scans", stage_secrets),
+    ("source_mixture", stage_mixture),
+    ("sentencepiece", stage_sentencepiece),
 ]
 
-# no stage of this pipeline can be told in SQL as a whole; tests/llm compares
-# run() with a brute-force version
+# SQL cannot express a trained model, a randomness battery or a Viterbi search;
+# tests/llm/test_pipeline.py compares run() with a brute-force version
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``{sf_dir}/documents.parquet``; intermediate tables are
-    written in the shared checkpoint folder."""
+    """All stages over ``{sf_dir}/documents.parquet``.
+
+    The tables between the stages are written in the shared checkpoint folder.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):

@@ -30,3 +30,13 @@ def ascii_lower(c: Column) -> Column:
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (the folds of the contracts)."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
+
+
+def packed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of ``docs`` as one struct ``doc`` beside the given ones.
+
+    ``select("doc.*")`` gives the rows back, so no name of ``docs`` can clash
+    with a column that an operator adds.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return docs.select(whole, *[c.alias(name) for name, c in extra.items()])

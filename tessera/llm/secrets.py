@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut
+from tessera.llm.common import cut, packed
 from tessera.llm.spans import match_spans
 
 # fixed values of the task: kinds in order, their patterns and least lengths
@@ -135,10 +135,10 @@ def tested_tokens(text: Column) -> Column:
     return F.filter(F.transform(match_spans(text, TOKEN), test), lambda t: t["p"].isNotNull())
 
 
-def mark(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with columns ``base`` and ``tested``; a null text is an empty one."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns({"base": base_spans(text), "tested": tested_tokens(text)})
+def mark(rows: DataFrame) -> DataFrame:
+    """``rows`` with columns ``base`` and ``tested`` from ``text``; a null text is an empty one."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return rows.withColumns({"base": base_spans(text), "tested": tested_tokens(text)})
 
 
 def cutoffs(tested: DataFrame, false_rate: float = FALSE_RATE) -> dict[tuple[int, int], float]:
@@ -208,9 +208,9 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     null.  Overlapping spans are masked together.  ``length_col``, if the table
     has it, is set to the new number of code points where a text changed.
     """
-    limits = cutoffs(mark(docs.select(text_col), text_col), false_rate)
-    marked = mark(docs, text_col)
-    text = F.col(text_col)
+    limits = cutoffs(mark(docs.select(F.col(text_col).alias("text"))), false_rate)
+    marked = mark(packed(docs, text=F.col(text_col)))
+    text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
@@ -222,11 +222,12 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     rest = F.aggregate(F.col("spans"), start, step, lambda acc: F.concat(
         acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
     done = marked.withColumn("spans", all_spans(limits)).withColumn("changed", (F.size("spans") > 0) & text.isNotNull())
-    done = done.withColumn(text_col, F.when(F.col("changed"), rest).otherwise(text))
+    done = done.withColumn("text", F.when(F.col("changed"), rest).otherwise(text))
+    doc = F.col("doc").withField(f"`{text_col}`", F.col("text"))
     if length_col and length_col in docs.columns:
-        done = done.withColumn(length_col, F.when(F.col("changed"), F.length(text_col)).otherwise(F.col(length_col)).cast(
-            docs.schema[length_col].dataType))
-    return done.select(*docs.columns)
+        length = F.when(F.col("changed"), F.length("text")).otherwise(F.col(f"doc.`{length_col}`"))
+        doc = doc.withField(f"`{length_col}`", length.cast(docs.schema[length_col].dataType))
+    return done.select(doc.alias("doc")).select("doc.*")
 
 
 def digest(spans: Column) -> Column:

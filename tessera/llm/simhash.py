@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut
+from tessera.llm.common import cut, packed
 from tessera.llm.components import connected_components
 
 SHINGLE = 3
@@ -185,9 +185,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = cut(fingerprints(plain.select(row.alias("id"), "text"), "id", "text", shingle))
     kept = (_grouped(marked, max_bits).groupBy("root").agg(F.min("least").alias("k"))
             .select(F.col("k.id").alias("k_id"), F.col("k.text_hash").alias("k_hash")))
-    hashed = docs.withColumn("k_hash", F.xxhash64(text_col)).withColumn("k_id", F.col(id_col))
-    same = hashed["k_id"].eqNullSafe(kept["k_id"]) & (hashed["k_hash"] == kept["k_hash"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["k_id", "k_hash"]).select(*docs.columns)
+    hashed = packed(docs, id=F.col(id_col), text_hash=F.xxhash64(text_col))
+    same = hashed["id"].eqNullSafe(kept["k_id"]) & (hashed["text_hash"] == kept["k_hash"])
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"]).select("doc.*")
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import packed
+
 WINDOW = 6              # characters that a subsequence of three may span
 DECAY = 0.6
 TABLE_BITS = 20         # hashed subsequences
@@ -383,6 +385,6 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", th
 
     Null and wordless texts are not toxic by any word and stay.
     """
-    scored = score(docs.withColumn("_row", F.struct(*docs.columns)), model, "_row", text_col)
-    blank = F.trim(F.coalesce(F.col(f"_row.`{text_col}`"), F.lit(""))) == ""
-    return scored.where((F.col("score") < threshold) | blank).select("_row.*")
+    scored = score(packed(docs, text=F.col(text_col)), model, "doc", "text")
+    wordless = ~F.coalesce(F.col(f"doc.`{text_col}`"), F.lit("")).rlike(r"\S")
+    return scored.where((F.col("score") < threshold) | wordless).select("doc.*")
