@@ -1,0 +1,46 @@
+import zlib
+
+from pyspark.sql import functions as F
+
+from tessera.llm import langid, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op9_language(spark, SF).collect()
+    assert len(rows) == len(docs)
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert {r.lang_pred for r in rows} <= {d.lang for d in docs.values()} | {"und"}
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.98 * len(held)
+
+
+def test_edges(spark):
+    en = "the cat sat on the mat and the dog was with them "
+    de = "der hund und die katze sind nicht auf dem tisch "
+    rows = [(i, en * (1 + i % 3), "en") for i in range(20)] + [(i, de * (1 + i % 2), "de") for i in range(20, 40)]
+    rows += [(40, en, None), (41, None, "en"), (42, "", "de"), (43, "123 ... !", "fr"), (44, "the dog " * 20000, "en"), (45, de, "de"), (45, de, "de")]
+    docs = spark.createDataFrame([(*r, "x", 0.5) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double")
+    model = langid.train(docs)
+    assert set(model.languages) == {"en", "de"}
+    got = {}
+    for r in langid.predict(docs, model).collect():
+        got.setdefault(r.doc_id, []).append((r.lang_pred, r.score))
+    assert got[40][0][0] == got[44][0][0] == got[0][0][0] == "en" and [p for p, _ in got[45]] == ["de", "de"]
+    assert got[41] == got[42] == got[43] == [("und", 0.0)]
+    # without anything to learn from, every text stays undetermined
+    nothing = langid.train(docs, keep=F.lit(False))
+    assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
+    assert langid.predict(docs.limit(0), model).count() == 0
+
+
+def test_distant_text_is_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+    own = langid.predict(docs, model)
+    assert own.where("rejected").count() <= 0.02 * own.count()
+    far = spark.createDataFrame([(1, "πολύ μακριά από όλα τα άλλα κείμενα"), (2, "zxq qzx xqz zzq")], "doc_id long, text string")
+    assert all(r.rejected for r in langid.predict(far, model).collect())

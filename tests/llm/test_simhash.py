@@ -1,0 +1,103 @@
+import random
+import re
+from collections import defaultdict
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tessera.llm import queries, simhash
+from tessera.llm.components import connected_components
+
+
+def brute_print(text, n=3):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    ws = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not ws:
+        return 0
+    shingles = [" ".join(ws[i:i + n]) for i in range(len(ws) - n + 1)] or [" ".join(ws)]
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_groups(prints, bits=2):
+    """Row number -> component, by comparing all pairs of fingerprints."""
+    parent = list(range(len(prints)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= bits:
+                parent[find(i)] = find(j)
+    return [find(i) for i in range(len(prints))]
+
+
+def brute(rows):
+    prints = [brute_print(t) for _, t in rows]
+    groups = brute_groups(prints)
+    least = defaultdict(lambda: None)
+    for (i, _), g in zip(rows, groups):
+        if i is not None and (least[g] is None or i < least[g]):
+            least[g] = i
+    return sorted(((str(i), f"{p:016x}", str(least[g])) for (i, _), p, g in zip(rows, prints, groups)))
+
+
+def test_whole_table_against_all_pairs(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.op1_simhash(spark, "/root/testdata/sf0.01").collect()
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == brute(rows)
+
+
+EDGES = [(5, "a b c d"), (3, "A  B\tc\nd"), (9, None), (8, ""), (7, " \x0b "), (1, "one"), (1, "one"), (None, "a b c d"), (None, "only null id"),
+         (20, "é É x y z"), (21, "word " * 5000), (22, "word " * 5001), (2, "two words")]
+
+
+@pytest.fixture()
+def edges(spark):
+    return spark.createDataFrame([(*r, 1, "n") for r in EDGES], "doc_id long, text string, fp int, node string")
+
+
+def test_edges(edges):
+    got = simhash.near_duplicates(edges).select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("f"), "component").collect()
+    assert sorted((str(r.doc_id), r.f, str(r.component)) for r in got) == brute(EDGES)
+
+
+def test_keep_one_of_each_group(spark, edges):
+    kept = simhash.keep_one(edges)
+    assert kept.columns == edges.columns
+    want = {c for *_, c in brute(EDGES)}
+    rows = kept.collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(want)
+    assert len(rows) == len(set(brute_groups([brute_print(t) for _, t in EDGES])))
+    empty = edges.limit(0)
+    assert simhash.keep_one(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0
+
+
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_links_are_all_pairs_within_two_bits_even_in_crowded_buckets(spark, limit):
+    rng = random.Random(3)
+    prints = {0, (1 << 64) - 1}
+    for _ in range(12):
+        base = rng.getrandbits(64)
+        for _ in range(40):     # a cloud of near fingerprints: crowded buckets
+            x = base
+            for b in rng.sample(range(64), rng.randrange(0, 5)):
+                x ^= 1 << b
+            prints.add(x)
+    signed = sorted(simhash._signed(p) for p in prints)
+    df = spark.createDataFrame([(p,) for p in signed], "fp long")
+    got = {(r.u, r.v) for r in simhash.links(df, limit=limit).collect()}
+    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert got == want
+
+
+def test_components_of_long_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (None, 3), (900, 899)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
+    want = {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in range(500, 560)}, 899: 899, 900: 899}
+    assert got == want
