@@ -25,8 +25,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.fixed import DISTANCE_CAP, KMEANS_ETA, KMEANS_MAX_ITERATIONS, SAMPLE_SEED
 from tessera.functions.geometry import centres_literal, squared_distance
-from tessera.operators import columns, kmeans, postings, ranking, report, sampling
+from tessera.operators import columns, kmeans, postings, ranking, sampling
 from tessera.plans.posting_clusters import cluster_postings, vectors_from_postings
+from tessera.session import cut_lineage, local_frame
 from tessera.sources import testdata as td
 from tessera.sources.articles import parse_article_lines
 from tessera.sources.postings import parse_posting_lines
@@ -40,6 +41,7 @@ K = td.ADAPTER_K
 SPREAD = td.ADAPTER_SPREAD
 PER_STRATUM = K // len(TAG_TERMS)
 OCCURRENCE_TERM = "the"
+PAIRS_PER_CHUNK = 3      # small, so that the tables' questions have several groups
 
 # the training-data subpackage and its pipeline are optional: without them the
 # other queries still work; an import error of anything else is not hidden
@@ -97,8 +99,16 @@ def q_question_answer_join(spark: SparkSession, sf: str) -> DataFrame:
     return postings.question_answer_pairs(td.postings(spark, sf))
 
 
+def q_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.pair_counts(td.postings(spark, sf))
+
+
 def q_grouped_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return postings.grouped_postings(td.postings(spark, sf))
+    """The pairs of every question, a few to a group; each pair written as text."""
+    groups = postings.grouped_postings(td.postings(spark, sf), PAIRS_PER_CHUNK)
+    side = "concat_ws('|', {0}.id, {0}.score, coalesce({0}.tags, '-'), coalesce({0}.accepted_answer, -1), coalesce({0}.parent_id, -1))"
+    pair = f"concat_ws('>', {side.format('p.question')}, {side.format('p.answer')}, p.n)"
+    return groups.selectExpr("qid", "chunk", f"array_join(array_sort(transform(pairs, p -> {pair})), ';') AS pairs")
 
 
 def q_scored_postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,18 +138,18 @@ def q_sample_global(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.sample_global(_vectors(spark, sf), K)
 
 
-def _initial(vectors: DataFrame) -> list[tuple[int, int]]:
-    return sampling.initial_means(vectors, K, TAG_TERMS, SPREAD)
+def _sampled(spark: SparkSession, sf: str) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The vectors, computed once, and the initial means drawn from them."""
+    vectors = cut_lineage(_vectors(spark, sf))
+    return vectors, sampling.initial_means(vectors, K, TAG_TERMS, SPREAD)
 
 
 def q_assign_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _vectors(spark, sf)
-    return kmeans.assign_clusters(vectors, _initial(vectors))
+    return kmeans.assign_clusters(*_sampled(spark, sf))
 
 
 def q_squared_distance(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _vectors(spark, sf)
-    centres = _initial(vectors)
+    vectors, centres = _sampled(spark, sf)
     assigned = kmeans.assign_clusters(vectors, centres)
     c = F.element_at(centres_literal(centres), F.col("cluster") + 1)
     return assigned.select("id", "cluster",
@@ -147,15 +157,18 @@ def q_squared_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_update_means(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _vectors(spark, sf)
-    return kmeans.update_means(kmeans.weighted_points(vectors), _initial(vectors))
+    vectors, centres = _sampled(spark, sf)
+    return kmeans.update_means(kmeans.weighted_points(vectors), centres)
 
 
 def q_total_shift(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _vectors(spark, sf)
-    old = sampling.sample_stratified(vectors, PER_STRATUM)
-    new = kmeans.update_means(kmeans.weighted_points(vectors), _initial(vectors))
-    return kmeans.total_shift_frame(old, new).select(
+    vectors, centres = _sampled(spark, sf)
+    new = kmeans.update_means(kmeans.weighted_points(vectors), centres).select("cluster", "x", "y")
+    old = local_frame(spark, [(i, x, y) for i, (x, y) in enumerate(centres)], "cluster INT, x INT, y INT")
+    # a cluster without points keeps its mean
+    moved = old.join(new.select("cluster", F.struct("x", "y").alias("m")), "cluster", "left").select(
+        "cluster", F.coalesce("m.x", "x").alias("x"), F.coalesce("m.y", "y").alias("y"))
+    return kmeans.total_shift_frame(old, moved).select(
         "total_shift", (F.col("total_shift") < F.lit(KMEANS_ETA)).alias("converged"))
 
 
@@ -172,11 +185,11 @@ def q_kmeans_trace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_cluster_results(spark: SparkSession, sf: str) -> DataFrame:
-    return _cluster_job(spark, sf).results
+    return _cluster_job(spark, sf).results(spark)
 
 
 def q_cluster_report_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return report.report_lines(_cluster_job(spark, sf).results)
+    return _cluster_job(spark, sf).report(spark)
 
 
 # --------------------------------------------- whole jobs from text lines --
@@ -190,7 +203,7 @@ def q_rank_terms_from_lines(spark: SparkSession, sf: str) -> DataFrame:
 def q_cluster_results_from_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Postings job as originally run: CSV lines -> parser -> ... -> report."""
     posts = parse_posting_lines(td.posting_lines(td.postings(spark, sf)))
-    return cluster_postings(posts, TAG_TERMS, SPREAD, K).results
+    return cluster_postings(posts, TAG_TERMS, SPREAD, K).results(spark)
 
 
 # ----------------------------------------------------------------- columns --
@@ -220,6 +233,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "questions": q_questions,
         "answers": q_answers,
         "question_answer_join": q_question_answer_join,
+        "pair_counts": q_pair_counts,
         "grouped_postings": q_grouped_postings,
         "scored_postings": q_scored_postings,
         "tag_index": q_tag_index,
@@ -283,6 +297,19 @@ _POSTINGS = f"""postings AS (
 
 _POSTING_COLS = ["posting_type", "id", "accepted_answer", "parent_id", "score", "tags"]
 
+# the same two sides straight from their tables
+_Q_A = f"""q AS (
+  SELECT CAST(1 AS INTEGER) AS posting_type, CAST(o_orderkey AS BIGINT) AS id,
+         CAST(o_orderkey * 8 + 1 AS BIGINT) AS accepted_answer, CAST(NULL AS BIGINT) AS parent_id,
+         CAST(floor(o_totalprice / 1000) AS INTEGER) AS score,
+         CASE WHEN o_orderpriority <> {_s(td.UNSPECIFIED_PRIORITY)} THEN o_orderpriority END AS tags
+  FROM orders),
+a AS (
+  SELECT CAST(2 AS INTEGER) AS posting_type, CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id,
+         CAST(NULL AS BIGINT) AS accepted_answer, CAST(l_orderkey AS BIGINT) AS parent_id,
+         CAST(floor(l_extendedprice / 100) AS INTEGER) AS score, CAST(NULL AS VARCHAR) AS tags
+  FROM lineitem)"""
+
 _QA = """q AS (SELECT * FROM postings WHERE posting_type = 1),
 a AS (SELECT * FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL)"""
 
@@ -394,6 +421,14 @@ def _posting_lines() -> str:
     return f"lines AS (SELECT concat_ws(',', {fields}) AS value FROM postings)"
 
 
+_PARSED_FIELDS = """SELECT CAST(f[1] AS INTEGER) AS posting_type, CAST(f[2] AS BIGINT) AS id,
+       CASE WHEN f[3] = '' THEN NULL ELSE CAST(f[3] AS BIGINT) END AS accepted_answer,
+       CASE WHEN f[4] = '' THEN NULL ELSE CAST(f[4] AS BIGINT) END AS parent_id,
+       CAST(f[5] AS INTEGER) AS score,
+       CASE WHEN len(f) >= 6 THEN f[6] END AS tags
+FROM fields"""
+
+
 def oracle_sql() -> dict[str, str]:
     terms = _terms_cte(DOC_TERMS)
     qcols = ", ".join(f"q.{c} AS q_{c}" for c in _POSTING_COLS)
@@ -436,25 +471,32 @@ SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank""",
 
         "parse_postings": f"""
 WITH {_POSTINGS}, {_posting_lines()},
-f AS (SELECT string_split(rtrim(value, ','), ',') AS f FROM lines)
-SELECT CAST(f[1] AS INTEGER) AS posting_type, CAST(f[2] AS BIGINT) AS id,
-       CASE WHEN f[3] = '' THEN NULL ELSE CAST(f[3] AS BIGINT) END AS accepted_answer,
-       CASE WHEN f[4] = '' THEN NULL ELSE CAST(f[4] AS BIGINT) END AS parent_id,
-       CAST(f[5] AS INTEGER) AS score,
-       CASE WHEN len(f) >= 6 THEN f[6] END AS tags
-FROM f""",
+fields AS (SELECT string_split(rtrim(value, ','), ',') AS f FROM lines)
+{_PARSED_FIELDS}""",
 
         "questions": f"WITH {_POSTINGS} SELECT * FROM postings WHERE posting_type = 1",
 
         "answers": f"""WITH {_POSTINGS}
 SELECT * FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL""",
 
-        "question_answer_join": f"""WITH {_POSTINGS}, {_QA}
+        "question_answer_join": f"""WITH {_Q_A}
 SELECT q.id AS qid, {qcols}, {acols} FROM q JOIN a ON q.id = a.parent_id""",
 
-        "grouped_postings": f"""WITH {_POSTINGS}, {_QA}
+        "pair_counts": f"""WITH {_POSTINGS}, {_QA}
 SELECT q.id AS qid, count(*) AS n_pairs FROM q JOIN a ON q.id = a.parent_id GROUP BY q.id""",
 
+        "grouped_postings": f"""WITH {_Q_A},
+pairs AS (
+  SELECT q.id AS qid, a.id AS a_id,
+         concat_ws('|', q.id, q.score, coalesce(q.tags, '-'), coalesce(q.accepted_answer, -1), coalesce(q.parent_id, -1)) AS qs,
+         concat_ws('|', a.id, a.score, coalesce(a.tags, '-'), coalesce(a.accepted_answer, -1), coalesce(a.parent_id, -1)) AS as_,
+         count(*) AS n
+  FROM q JOIN a ON q.id = a.parent_id GROUP BY ALL),
+sized AS (SELECT *, CAST(ceil(sum(n) OVER (PARTITION BY qid) / {PAIRS_PER_CHUNK}) AS BIGINT) AS chunks FROM pairs)
+SELECT qid, CAST('0x' || substr(md5(CAST(a_id AS VARCHAR)), 1, 8) AS BIGINT) % chunks AS chunk,
+       string_agg(concat_ws('>', qs, as_, n), ';' ORDER BY concat_ws('>', qs, as_, n)) AS pairs
+FROM sized GROUP BY 1, 2""",
+
         "scored_postings": f"WITH {_POSTINGS}, {_SCORED} SELECT * FROM scored",
 
         "tag_index": f"""WITH {_POSTINGS}
@@ -525,10 +567,28 @@ SELECT CAST(coalesce(sum(CAST(score AS BIGINT)), 0) AS BIGINT) AS total FROM pos
 
         "column_max": f"WITH {_POSTINGS} SELECT max(score) AS maximum FROM postings",
     }
-    # the line encodings round-trip exactly, so the whole jobs from lines
-    # answer the same as their table-fed forms
-    out["rank_terms_from_lines"] = out["rank_terms_combined"]
-    out["cluster_results_from_lines"] = out["cluster_results"]
+    # the whole jobs from lines: SQL writes the lines and parses them again
+    articles_from_lines = f"""
+lines AS (
+  SELECT '{td.ARTICLE_PREFIX}' || CAST(doc_id AS VARCHAR) || '</title><text>' || text
+         || '{td.ARTICLE_SUFFIX}' AS value FROM documents),
+marked AS (SELECT value, instr(value, '</title><text>') - 1 AS i FROM lines),
+articles AS (
+  SELECT substring(value, 15, i - 14) AS title,
+         substring(value, i + 15, length(value) - 16 - (i + 14)) AS text FROM marked)"""
+    out["rank_terms_from_lines"] = f"""
+WITH {terms}, {articles_from_lines}, {_MENTIONS},
+counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
+SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank"""
+    table_postings = _POSTINGS.replace("postings AS (", "table_postings AS (", 1)
+    lines = _posting_lines().replace("FROM postings", "FROM table_postings")
+    out["cluster_results_from_lines"] = f"""WITH {table_postings}, {lines},
+fields AS (SELECT string_split(rtrim(value, ','), ',') AS f FROM lines),
+postings AS ({_PARSED_FIELDS}),
+{_SAMPLE},
+{chain},
+{_RESULTS}
+SELECT * FROM results"""
     if llm_queries is not None:
         out |= llm_queries.oracle_sql()
         if corpus_pipeline.ORACLE_SQL:

@@ -8,10 +8,9 @@ no point keeps its mean; stop when the total squared shift < eta or after
 
 Execution: vectors are first compressed to distinct ``(x, y, n)`` points —
 exact, since sums become sum(x*n) and counts sum(n) — and that small table is
-cut from its lineage (``tessera.session.materialize``: a table in the
-session's checkpoint folder) and cached.  Each step is then one Spark job: assign every point with a literal
-centre array, aggregate per cluster with map-side partial sums, and bring
-back k rows.  The driver holds only the k current means; lineage does not
+checkpointed, dealt into tasks by the distances a step computes, and cached.
+Each step is then one Spark job: assign every point with a literal centre
+array, aggregate per cluster with map-side partial sums, and bring back k rows.  The driver holds only the k current means; lineage does not
 grow with the number of steps.
 """
 
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.fixed import KMEANS_ETA, KMEANS_MAX_ITERATIONS
 from tessera.functions.geometry import nearest_centre, squared_distance
-from tessera.session import materialize, release
+from tessera.session import cut_lineage
 
 Centres = Sequence[tuple[int, int]]
 
@@ -98,11 +97,17 @@ def total_shift(old: Centres, new: Centres) -> float:
 
 
 def total_shift_frame(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Total shift of two ``(cluster, x, y)`` frames: one row ``total_shift``."""
+    """Total shift of two ``(cluster, x, y)`` frames: one row ``total_shift``.
+
+    Both must have the same clusters; one that is missing on a side fails the
+    job.  Two empty frames have shift 0.
+    """
     o = old.select("cluster", F.col("x").alias("ox"), F.col("y").alias("oy"))
     n = new.select("cluster", F.col("x").alias("nx"), F.col("y").alias("ny"))
-    return o.join(n, "cluster", "inner").agg(
-        F.sum(squared_distance("ox", "oy", "nx", "ny")).alias("total_shift"))
+    both = F.col("ox").isNotNull() & F.col("nx").isNotNull()
+    missing = F.raise_error(F.concat(F.lit("cluster on one side only: "), F.col("cluster").cast("string")))
+    shift = F.when(both, squared_distance("ox", "oy", "nx", "ny")).otherwise(missing.cast("double"))
+    return o.join(n, "cluster", "full_outer").agg(F.coalesce(F.sum(shift), F.lit(0.0)).alias("total_shift"))
 
 
 def converged(distance: float, eta: float = KMEANS_ETA) -> bool:
@@ -127,29 +132,32 @@ def kmeans_step(points: DataFrame, means: Centres, method: str = "transform") ->
     return new
 
 
-# Rows of (x, y, n) per task in the iteration: the points are tiny next to the
-# input, so each step should be a handful of tasks, not one per shuffle partition.
-ROWS_PER_TASK = 100_000
+# Distances (rows x centres) that one task of a step should compute: a step of a
+# few small tasks on small inputs, and all cores once the work is worth it.
+DISTANCES_PER_TASK = 500_000
+
+
+def step_tasks(n: int, k: int) -> int:
+    """Tasks of a k-means step over ``n`` points and ``k`` centres."""
+    return max(1, -(-n * k // DISTANCES_PER_TASK))
 
 
-def compact(points: DataFrame, n: int | None = None) -> DataFrame:
-    """Narrow-coalesce (no shuffle) a cached points frame to ~ROWS_PER_TASK rows
-    per task (``n``: its row count, if already known)."""
-    n = points.count() if n is None else n
-    # coalesce never adds partitions, so this is a no-op when there are fewer
-    return points.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+def compact(points: DataFrame, k: int, n: int | None = None) -> DataFrame:
+    """``points`` in as many partitions as its k-means steps should have tasks
+    (``n``: its row count, if already known)."""
+    return points.repartition(step_tasks(points.count() if n is None else n, k))
 
 
 def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
                   max_iter: int = KMEANS_MAX_ITERATIONS,
-                  method: str = "transform", n_points: int | None = None) -> KMeansResult:
-    """Run k-means over weighted points ``(x, y, n)`` (ideally cached, with a
-    short lineage) from ``initial`` until the shift < eta or ``max_iter`` steps."""
+                  method: str = "transform") -> KMeansResult:
+    """Run k-means over weighted points ``(x, y, n)`` (cached, with a short
+    lineage, see :func:`compact`) from ``initial`` until the shift < eta or
+    ``max_iter`` steps."""
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     means = [(int(x), int(y)) for x, y in initial]
     res = KMeansResult(means=means, iterations=0, converged=False)
-    points = compact(points, n_points)
     for it in range(1, max_iter + 1):
         new = kmeans_step(points, means, method)
         shift = total_shift(means, new)
@@ -169,8 +177,9 @@ def kmeans(vectors: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
            method: str = "transform") -> KMeansResult:
     """k-means over raw vectors ``(x, y[, weight])``: compresses them to
     weighted points, cuts their lineage, iterates, and releases them."""
-    points = materialize(weighted_points(vectors, weight))
+    points = cut_lineage(weighted_points(vectors, weight))
+    spread = compact(points, len(initial)).persist()
     try:
-        return kmeans_points(points, initial, eta, max_iter, method)
+        return kmeans_points(spread, initial, eta, max_iter, method)
     finally:
-        release(points)
+        spread.unpersist()

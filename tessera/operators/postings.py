@@ -1,20 +1,19 @@
 """Question/answer postings: split, join, best answer score, 2-D vectors.
 
-Scale notes.  The best answer score per question is aggregated *before* the
-join (``max`` combines map-side, so a question with a third of all answers
-shuffles one partial row per partition), and questions are de-duplicated on
-their full row before the join (also map-side combined, so mass copies of one
-question collapse early).  The join then moves one row per answered question
-instead of every (question, answer) pair; AQE may broadcast the smaller side
-at run time and splits a skewed id partition if one id carries many distinct
-questions.
+Scale notes.  The best answer score per question is aggregated before questions
+and answers meet (``max`` combines map-side, so a question with a third of all
+answers shuffles one partial row per partition), and questions are de-duplicated
+on their full row (also map-side combined, so mass copies of one question
+collapse early).  One row per distinct question and one per answered parent then
+meet by id, instead of every (question, answer) pair.  The pairs themselves come
+from an equi-join whose skewed ids AQE splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.fixed import LANG_SPREAD, LANGS
@@ -45,16 +44,17 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
         "q_id AS qid", *[f"q_{c}" for c in POSTING_COLUMNS], *[f"a_{c}" for c in POSTING_COLUMNS])
 
 
-def grouped_postings(postings: DataFrame) -> DataFrame:
+# Pairs of one group row; a heavily answered question gets several.
+PAIRS_PER_CHUNK = 1000
+
+
+def pair_counts(postings: DataFrame) -> DataFrame:
     """Pairs per question id: ``(qid, n_pairs)``.
 
-    The pairs themselves are :func:`question_answer_pairs`; they are not
-    gathered into one bag per id, which would put a heavily answered
-    question into a single row.  The number of pairs of an id is
-    (#question rows with that id) x (#answers with that parent), so both
-    sides are counted map-side first and the join sees one row per id —
-    a question with a third of all answers costs one partial row per
-    partition.
+    The number of pairs of an id is (#question rows with that id) x (#answers
+    with that parent), so both sides are counted map-side first and the join
+    sees one row per id — a question with a third of all answers costs one
+    partial row per partition.
     """
     q = questions(postings).groupBy(F.col("id").alias("qid")).agg(F.count(F.lit(1)).alias("_nq"))
     a = (answers(postings).groupBy(F.col("parent_id").alias("_aid"))
@@ -63,29 +63,56 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
         "qid", (F.col("_nq") * F.col("_na")).alias("n_pairs"))
 
 
+def grouped_postings(postings: DataFrame, pairs_per_chunk: int = PAIRS_PER_CHUNK) -> DataFrame:
+    """The pairs of every question id, in bounded groups: ``(qid, chunk, pairs)``.
+
+    ``pairs`` is an array of ``struct(question, answer, n)``, both full postings
+    and how often that pair occurs, ordered.  An id with n pairs has up to
+    ``ceil(n / pairs_per_chunk)`` chunks, dealt by a hash of the answer's id, so
+    no group grows with the heat of its question; every pair is in one chunk,
+    and an id with few pairs has chunk 0 only.
+    """
+    if pairs_per_chunk < 1:
+        raise ValueError("pairs_per_chunk must be >= 1")
+    every = question_answer_pairs(postings)
+    pairs = every.groupBy(*every.columns).agg(F.count(F.lit(1)).alias("n"))
+    chunks = pair_counts(postings).selectExpr("qid AS _qid", f"CAST(ceil(n_pairs / {int(pairs_per_chunk)}) AS BIGINT) AS _chunks")
+
+    def posting(side: str) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', {side}_{c}" for c in POSTING_COLUMNS) + ")"
+
+    dealt = pairs.join(chunks, F.col("qid") == F.col("_qid")).selectExpr(
+        "qid", "pmod(CAST(conv(substr(md5(CAST(a_id AS STRING)), 1, 8), 16, 10) AS BIGINT), _chunks) AS chunk",
+        f"named_struct('question', {posting('q')}, 'answer', {posting('a')}, 'n', n) AS pair")
+    return dealt.groupBy("qid", "chunk").agg(F.array_sort(F.collect_list("pair")).alias("pairs"))
+
+
 def best_answer_scores(postings: DataFrame) -> DataFrame:
     """``(parent_id, high_score)``: the maximum answer score per parent id."""
     return answers(postings).groupBy("parent_id").agg(F.max("score").alias("high_score"))
 
 
-def _best_by_qid(postings: DataFrame) -> DataFrame:
-    # same aggregate under a join-only key name (both join sides derive from
-    # the same postings frame, so shared column names would be ambiguous)
-    return (answers(postings).groupBy(F.col("parent_id").alias("_best_qid"))
-            .agg(F.max("score").alias("high_score")))
-
-
 def scored_postings(postings: DataFrame) -> DataFrame:
     """Each distinct answered question with its best answer score.
 
     Output: the six question columns plus ``high_score``.  Identical
     duplicate questions count once; questions sharing an id but differing in
     any field stay apart (all of them get that id's best answer score).
+
+    The postings are read once: a map-side combined aggregation leaves one row
+    per distinct question and one per answered parent, and a maximum over the
+    rows of an id — its distinct questions and that one row — joins the two.
     """
-    best = _best_by_qid(postings)
-    qs = questions(postings).select(*POSTING_COLUMNS).distinct()
-    return qs.join(best, F.col("id") == F.col("_best_qid"), "inner").select(
-        *POSTING_COLUMNS, "high_score")
+    is_q = "posting_type = 1"
+    # answers keep only their parent; questions keep all their fields
+    keyed = postings.where(f"{is_q} OR (posting_type = 2 AND parent_id IS NOT NULL)").selectExpr(
+        f"{is_q} AS is_q", f"CASE WHEN {is_q} THEN id ELSE parent_id END AS qid",
+        *[f"CASE WHEN {is_q} THEN {c} END AS {c}" for c in POSTING_COLUMNS],
+        f"CASE WHEN NOT ({is_q}) THEN score END AS answer_score")
+    collapsed = keyed.groupBy("is_q", "qid", *POSTING_COLUMNS).agg(F.max("answer_score").alias("best"))
+    of_id = Window.partitionBy("qid")
+    return (collapsed.withColumn("high_score", F.max("best").over(of_id))
+            .where("is_q AND high_score IS NOT NULL").select(*POSTING_COLUMNS, "high_score"))
 
 
 # Up to this many terms the position is looked up in a literal list inside

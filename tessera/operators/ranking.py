@@ -110,21 +110,22 @@ def inverted_index(articles: DataFrame, terms: Sequence[str] = LANGS,
     grouped, write it partitioned by term (:func:`write_inverted_index`); each
     task then writes its own slice of every term.
     """
-    check_terms(terms)
-    return articles.select(F.explode(mentioned_terms(text, terms)).alias("term"),
-                           *[F.col(c) for c in keep])
+    terms = check_terms(terms)
+    if len(terms) <= INLINE_TERMS_MAX:
+        return articles.select(F.explode(mentioned_terms(text, terms)).alias("term"), *[F.col(c) for c in keep])
+    words = articles.select(F.explode(F.array_distinct(tokens(text))).alias("term"), *[F.col(c) for c in keep])
+    return words.join(term_table(articles, terms).select("term"), "term", "left_semi")
 
 
 def write_inverted_index(index: DataFrame, path: str, mode: str = "overwrite",
-                         files_per_term: int | None = None, salt_column: str = "title") -> None:
+                         files_per_term: int | None = 16, salt_column: str = "title") -> None:
     """Persist the flat index as a term-partitioned Parquet table.
 
-    By default every task writes its own file for each term it holds (no
-    shuffle; the file count grows with the number of input tasks).  With
-    ``files_per_term`` the rows are first shuffled by (term, a hash of
-    ``salt_column`` modulo ``files_per_term``): each term gets at most that
-    many files, and a term found in most articles is spread over that many
-    writer tasks instead of landing in one.
+    The rows are shuffled by (term, a hash of ``salt_column`` modulo
+    ``files_per_term``): each term gets at most that many files however many
+    tasks read the articles, and a term found in most articles is spread over
+    that many writer tasks instead of landing in one.  ``None`` skips the
+    shuffle: every task then writes its own file for each term it holds.
     """
     if files_per_term is not None:
         if files_per_term < 1:

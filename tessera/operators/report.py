@@ -1,10 +1,11 @@
 """Per-cluster report: dominant term, its share, cluster size, median score.
 
 Runs on the weighted points (x, y, n) — exact for every statistic here.  The
-dominant term comes from per (cluster, term) sums (map-side combined); the
-median from an exact distributed selection (``tessera.operators.selection``)
-that refines per-cluster score histograms, so no cluster — however large —
-is gathered into one task and the driver only sees k-sized summaries.
+points are assigned once and added up by (cluster, term index, score); that
+frame, checkpointed, gives the dominant term (map-side combined sums) and the
+median, by an exact distributed selection (``tessera.operators.selection``)
+that refines per-cluster score histograms, so no cluster — however large — is
+gathered into one task.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from tessera.functions.formatting import report_line
 from tessera.functions.text import terms_array
 from tessera.operators.kmeans import Centres, assign_clusters
 from tessera.operators.selection import group_medians
-from tessera.session import local_frame
+from tessera.session import cut_lineage
 
 
 def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LANGS,
@@ -38,14 +39,15 @@ def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LA
     """
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     assigned = assign_clusters(points.select("x", "y", w.alias("n")), means, method)
+    assigned = cut_lineage(
+        assigned.groupBy("cluster", F.expr(f"x div {int(spread)}").cast("int").alias("lang"), "y")
+        .agg(F.sum("n").alias("n")))
 
-    by_term = (assigned.groupBy("cluster", F.expr(f"x div {int(spread)}").cast("int").alias("lang"))
-               .agg(F.sum("n").alias("cnt")))
+    by_term = assigned.groupBy("cluster", "lang").agg(F.sum("n").alias("cnt"))
     top = (by_term.groupBy("cluster")
            .agg(F.max(F.struct(F.col("cnt"), (-F.col("lang")).alias("neg"), F.col("lang"))).alias("top"),
                 F.sum("cnt").alias("size")))
-    med = group_medians(assigned.select("cluster", "y", "n"))      # k values
-    medians = local_frame(points.sparkSession, sorted(med.items()), "cluster INT, med INT")
+    medians = group_medians(assigned, "cluster", "y", "n").withColumnRenamed("median", "med")
 
     n_terms = len(terms)
     lang = F.col("top.lang")

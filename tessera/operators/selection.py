@@ -1,104 +1,67 @@
 """Exact per-group order statistics without gathering any group.
 
 ``group_medians`` finds, for every group, the middle value(s) of an integer
-column under multiplicities by iterative histogram refinement: one pass
-counts the rows of each group's candidate interval per bucket (a grouped
-aggregation, combined map-side), the driver finds the bucket holding the
-wanted rank and narrows the interval to that bucket's observed min..max.
-A group is never brought into one task; each pass returns at most
-(2 x #groups x buckets) <= 1M small rows — in fact one row per non-empty
-bucket — (fewer buckets when there are many groups), and an interval of
-width W is resolved in about log_buckets(W) passes: a range of up to 4096
-distinct scores in one pass, a 32-bit range in at most 3.
+column under multiplicities by iterative histogram refinement.  A pass counts
+the rows of each group's candidate interval per bucket (a grouped aggregation,
+combined map-side); a running sum over the buckets of an interval finds the one
+that holds the wanted rank, and the interval narrows to that bucket's observed
+min..max.  An interval of width W is resolved in about log_buckets(W) passes: a
+range of up to 4096 distinct scores in one, a 32-bit range in at most 3.
 
-The intervals of a pass are a DataFrame with at most 2 rows per group; it is
-broadcast, so this is meant for a bounded number of groups (clusters).
+Everything stays a DataFrame: the intervals (at most two rows per group) are
+checkpointed between passes, and the driver only learns whether any is open.
+The number of groups has no bound; a pass's window holds one interval's buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import local_frame
+from tessera.session import cut_lineage
 
 BUCKETS = 4096
-# The per-pass interval table (<= 2 rows per group) is broadcast and the
-# per-group summaries come to the driver, so the group count must stay small,
-# and the bucket count shrinks as groups grow so that one pass returns at most
-# MAX_PASS_ROWS rows (more passes instead of bigger ones).
-MAX_GROUPS = 100_000
-MAX_PASS_ROWS = 1_000_000
-
-
-def _tdiv(a: int, b: int) -> int:
-    q = abs(a) // abs(b)
-    return q if (a >= 0) == (b > 0) else -q
 
 
 def group_medians(df: DataFrame, group: str = "cluster", value: str = "y",
-                  weight: str = "n", buckets: int = BUCKETS,
-                  max_groups: int = MAX_GROUPS) -> dict[int, int]:
-    """``{group: median}`` over rows ``(group, value, weight)``.
+                  weight: str = "n", buckets: int = BUCKETS) -> DataFrame:
+    """``(group, median)`` over rows ``(group, value, weight)``.
 
     Odd count: the middle value; even count: the two middle values' sum
-    divided by 2, truncating toward zero.  Groups must be integers, and at
-    most ``max_groups`` of them (checked before anything is broadcast).
+    divided by 2, truncating toward zero.  Rows without a group or value, or
+    with no weight, take no part.
     """
     if buckets < 2:
         raise ValueError("need at least 2 buckets")
-    spark = df.sparkSession
-    # rows without a group or value, or with no weight, take no part
-    base = (df.select(F.col(group).cast("bigint").alias("g"), F.col(value).cast("bigint").alias("v"),
+    base = (df.select(F.col(group).alias("g"), F.col(value).cast("bigint").alias("v"),
                       F.col(weight).cast("bigint").alias("w"))
             .where(F.col("g").isNotNull() & F.col("v").isNotNull() & (F.col("w") > 0)))
-    stats = (base.groupBy("g").agg(F.sum("w").alias("size"), F.min("v").alias("lo"),
-                                   F.max("v").alias("hi"))
-             .limit(max_groups + 1).collect())
-    if len(stats) > max_groups:
-        raise ValueError(f"more than {max_groups} groups; group_medians is for few groups")
-    buckets = max(2, min(buckets, MAX_PASS_ROWS // max(1, 2 * len(stats))))
-    found: dict[tuple[int, int], int] = {}          # (group, rank) -> value
-    open_: dict[tuple[int, int], tuple[int, int, int]] = {}   # (group, rank) -> (lo, hi, below)
-    sizes = {}
-    for r in stats:
-        g, size = int(r["g"]), int(r["size"])
-        sizes[g] = size
-        for rank in {(size - 1) // 2, size // 2}:
-            if r["lo"] == r["hi"]:
-                found[(g, rank)] = int(r["lo"])
-            else:
-                open_[(g, rank)] = (int(r["lo"]), int(r["hi"]), 0)
+    stats = base.groupBy("g").agg(F.sum("w").alias("size"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # rank: position wanted in the group; want: position within the interval lo..hi
+    state = cut_lineage(stats.selectExpr(
+        "g", "lo", "hi", "explode(array_distinct(array((size - 1) div 2, size div 2))) AS rank")
+        .selectExpr("g", "rank", "lo", "hi", "rank AS want"))
+    while not state.where("lo < hi").isEmpty():
+        state = cut_lineage(_narrowed(base, state, buckets))
+    ends = state.groupBy("g").agg(F.sum("lo").alias("s"), F.count(F.lit(1)).alias("c"))
+    return ends.selectExpr(f"g AS `{group}`", "s div c AS median")
 
-    while open_:
-        intervals = sorted({(g, lo, hi) for (g, _), (lo, hi, _) in open_.items()})
-        ids = {iv: i for i, iv in enumerate(intervals)}
-        rows = [(i, g, lo, hi, max(1, -(-(hi - lo + 1) // buckets))) for (g, lo, hi), i in ids.items()]
-        ivs = local_frame(spark, rows, "iv INT, ig BIGINT, lo BIGINT, hi BIGINT, width BIGINT")
-        hist = (base.join(F.broadcast(ivs), (F.col("g") == F.col("ig"))
-                          & F.col("v").between(F.col("lo"), F.col("hi")))
-                .groupBy("iv", F.expr("(v - lo) div width").alias("b"))
-                .agg(F.sum("w").alias("cnt"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .collect())
-        per_iv: dict[int, list] = {}
-        for h in hist:
-            per_iv.setdefault(h["iv"], []).append((h["b"], int(h["cnt"]), int(h["mn"]), int(h["mx"])))
-        nxt = {}
-        for (g, rank), (lo, hi, below) in open_.items():
-            want = rank - below
-            cum = 0
-            for _, cnt, mn, mx in sorted(per_iv[ids[(g, lo, hi)]]):
-                if cum + cnt > want:
-                    if want == cum or mn == mx:
-                        found[(g, rank)] = mn
-                    elif want == cum + cnt - 1:
-                        found[(g, rank)] = mx
-                    else:
-                        nxt[(g, rank)] = (mn, mx, below + cum)
-                    break
-                cum += cnt
-            else:  # pragma: no cover - ranks always fall inside the interval
-                raise AssertionError(f"rank {rank} outside group {g}")
-        open_ = nxt
 
-    return {g: _tdiv(found[(g, (s - 1) // 2)] + found[(g, s // 2)], 2) for g, s in sizes.items()}
+def _narrowed(base: DataFrame, state: DataFrame, buckets: int) -> DataFrame:
+    """Intervals after one pass; ``lo = hi`` is a found value."""
+    ivs = state.where("lo < hi").selectExpr(
+        "g AS ig", "rank", "lo", "hi", "want",
+        f"greatest(1L, (hi - lo) div {int(buckets)}L + 1L) AS width")
+    inside = base.join(ivs, (F.col("g") == F.col("ig")) & F.col("v").between(F.col("lo"), F.col("hi")))
+    hist = (inside.groupBy("ig", "rank", "want", F.expr("(v - lo) div width").alias("b"))
+            .agg(F.sum("w").alias("cnt"), F.min("v").alias("mn"), F.max("v").alias("mx")))
+    upto = Window.partitionBy("ig", "rank").orderBy("b")
+    hit = (hist.withColumn("upto", F.sum("cnt").over(upto)).withColumn("below", F.expr("upto - cnt"))
+           .where("below <= want AND want < upto"))
+    # the bucket's first and last positions are known values
+    narrowed = hit.selectExpr(
+        "ig AS g", "rank",
+        "CASE WHEN want = upto - 1 AND want > below THEN mx ELSE mn END AS lo",
+        "CASE WHEN want = below THEN mn ELSE mx END AS hi",
+        "want - below AS want")
+    return state.where("lo = hi").unionByName(narrowed)

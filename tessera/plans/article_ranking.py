@@ -19,10 +19,6 @@ class Rankings:
     per_term: DataFrame      # every term, zeros kept
     from_index: DataFrame    # articles per term in the inverted index
     combined: DataFrame      # (term, 1) pairs summed map-side
-    counts: DataFrame        # the shared per-term counts (persisted, <= #terms rows)
-
-    def release(self) -> None:
-        self.counts.unpersist()
 
 
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -31,23 +27,18 @@ def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def rank_articles(articles: DataFrame, terms: Sequence[str] = LANGS) -> Rankings:
-    """All three rankings of the original job from a single scan.
-
-    The per-term mention counts are computed once (text column only, counts
-    combined map-side, at most #terms rows kept); the per-term ranking adds
-    the zero terms, and the index's per-term sizes are exactly these counts,
-    so the index-based and the combined rankings are the same ranked rows.
-    The individual operators in ``tessera.operators.ranking`` remain available
-    to compute any one of them on its own.
+    """The job's three strategies, each computed its own way when it is read.
+
+    One counts every term (zeros kept), one builds the inverted index and
+    counts its articles per term, one sums (term, 1) pairs.  Each is one scan of
+    the text column with counts combined map-side.
     """
     terms = check_terms(terms)
-    counts = ranking.mention_counts(articles, terms).persist()
-    table = ranking.term_table(articles, terms)
+    index = ranking.inverted_index(articles, terms, keep=("title",))
     return Rankings(
-        per_term=ranking.ranked_counts(counts, table, keep_zeros=True),
-        from_index=ranking.ranked_counts(counts, table, keep_zeros=False),
-        combined=ranking.ranked_counts(counts, table, keep_zeros=False),
-        counts=counts,
+        per_term=ranking.rank_terms(articles, terms),
+        from_index=ranking.rank_terms_from_index(index, terms),
+        combined=ranking.rank_terms_combined(articles, terms),
     )
 
 
@@ -83,7 +74,6 @@ def main(argv: list[str] | None = None) -> None:
         timings.append(f"{label}: {1000 * (time.perf_counter() - t0):.0f} ms")
         print(f"{label}: {rows}")
     print("\n".join(timings))
-    r.release()
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.fixed import (
     KMEANS_ETA, KMEANS_KERNELS, KMEANS_MAX_ITERATIONS, LANG_SPREAD, LANGS, REPORT_HEADER,
@@ -16,24 +17,30 @@ from tessera.operators.kmeans import KMeansResult, compact, kmeans_points, weigh
 from tessera.operators.postings import scored_postings, vector_postings
 from tessera.operators.report import cluster_results, report_lines
 from tessera.operators.sampling import initial_means
-from tessera.session import local_frame, materialize, release
+from tessera.session import cut_lineage, local_frame
 from tessera.sources.postings import parse_posting_lines
 from tessera.sources.text import read_lines
 
 
 @dataclass
 class ClusterJob:
-    vectors: DataFrame          # (id, x, y), materialized in the checkpoint folder
-    points: DataFrame           # (x, y, n), cached over the materialized vectors
+    """What the clustering job found; it holds no cached or written frame."""
+    n_vectors: int
     initial: list[tuple[int, int]]
     kmeans: KMeansResult
-    results: DataFrame          # (rank, cluster, label, percent, size, median_score)
+    rows: list[tuple]           # report rows, at most k
     eta: float = KMEANS_ETA
 
     @property
     def means(self) -> list[tuple[int, int]]:
         return self.kmeans.means
 
+    def results(self, spark: SparkSession) -> DataFrame:
+        """The report as ``(rank, cluster, label, percent, size, median_score)``."""
+        return local_frame(
+            spark, self.rows,
+            "rank INT, cluster INT, label STRING, percent DOUBLE, size BIGINT, median_score INT")
+
     def trace(self, spark: SparkSession) -> DataFrame:
         """The iteration trace as a DataFrame (k rows per step)."""
         return local_frame(
@@ -45,11 +52,8 @@ class ClusterJob:
         return local_frame(spark, [(i, x, y) for i, (x, y) in enumerate(self.means)],
                            "cluster INT, x INT, y INT")
 
-    def report(self) -> DataFrame:
-        return report_lines(self.results)
-
-    def release(self) -> None:
-        release(self.vectors, self.points)
+    def report(self, spark: SparkSession) -> DataFrame:
+        return report_lines(self.results(spark))
 
 
 def vectors_from_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
@@ -63,24 +67,22 @@ def cluster_postings(postings: DataFrame, terms: Sequence[str] = LANGS,
                      seed: int = SAMPLE_SEED, unknown: str = "keep") -> ClusterJob:
     """The whole clustering job over a postings DataFrame.
 
-    The vectors are computed once and materialized as a table in the
-    checkpoint folder (sample and k-means both read them).  The weighted
-    points derived from them serve every k-means step and the report; they
-    are only cached, since their lineage is a single aggregation over that
-    table — a lost block is recomputed from it, never from the joins.
+    The vectors are computed once and checkpointed; the sample is drawn from
+    them, and the weighted points derived from them are cached for the k-means
+    steps and the report.  The k report rows are finished here and the cache is
+    dropped before this returns, also when a step fails.
     """
-    vectors = materialize(vectors_from_postings(postings, terms, spread, unknown))
-    points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = cut_lineage(vectors_from_postings(postings, terms, spread, unknown))
+    weighted = cut_lineage(weighted_points(vectors))
+    points = compact(weighted, k).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_points = points.count()
-        compact_points = compact(points, n_points)      # k-means steps and the report
+        n_vectors = points.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         initial = initial_means(vectors, k, terms, spread, seed)
-        km = kmeans_points(compact_points, initial, eta, max_iter, n_points=n_points)
-        results = cluster_results(compact_points, km.means, terms, spread)
-    except BaseException:
-        release(vectors, points)          # nothing of a failed job stays cached or written
-        raise
-    return ClusterJob(vectors, points, initial, km, results, eta)
+        km = kmeans_points(points, initial, eta, max_iter)
+        rows = [tuple(r) for r in cluster_results(points, km.means, terms, spread).collect()]
+    finally:
+        points.unpersist()
+    return ClusterJob(n_vectors, initial, km, rows, eta)
 
 
 def cluster_posting_file(spark: SparkSession, path: str, **kw) -> ClusterJob:
@@ -88,31 +90,27 @@ def cluster_posting_file(spark: SparkSession, path: str, **kw) -> ClusterJob:
     return cluster_postings(parse_posting_lines(read_lines(spark, path)), **kw)
 
 
-def print_report(job: ClusterJob) -> None:
+def print_report(job: ClusterJob, spark: SparkSession) -> None:
     """Console form of the report (header + the formatted lines; k rows)."""
     for line in REPORT_HEADER:
         print(line)
-    for r in job.report().select("line").collect():
+    for r in job.report(spark).select("line").collect():
         print(r["line"])
 
 
-def write_report(job: ClusterJob, path: str, mode: str = "overwrite") -> None:
+def write_report(job: ClusterJob, spark: SparkSession, path: str, mode: str = "overwrite") -> None:
     """Write the report lines as a single ordered text file."""
-    job.report().coalesce(1).sortWithinPartitions("rank").select("line") \
+    job.report(spark).coalesce(1).sortWithinPartitions("rank").select("line") \
         .write.mode(mode).text(path)
 
 
-
-
-def print_trace(job: ClusterJob) -> None:
-    """Per step: total shift vs eta, then each mean's move and its shift."""
-    k = len(job.initial)
-    for step, shift in enumerate(job.kmeans.shifts, start=1):
-        print(f"Iteration: {step}\n  * current distance: {shift}\n"
-              f"  * desired distance: {job.eta}\n  * means:")
-        for row in job.kmeans.trace[(step - 1) * k: step * k]:
-            _, _, ox, oy, nx, ny, d = row
-            print(f"   {str((ox, oy)):>20s} ==> {str((nx, ny)):>20s}    distance: {d:8.0f}")
+def print_trace(job: ClusterJob, spark: SparkSession) -> None:
+    """The trace frame, one line a step and cluster, tab-separated under its column names."""
+    trace = job.trace(spark)
+    print("\t".join(trace.columns))
+    for row in trace.orderBy("iter", "cluster").collect():
+        print("\t".join(map(str, row)))
+    print(f"stopped after {job.kmeans.iterations} steps, limit for the shift {job.eta}")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -133,9 +131,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master, app="posting-clusters")
     job = cluster_posting_file(spark, args.path)
     if args.debug:
-        print_trace(job)
-    print_report(job)
-    job.release()
+        print_trace(job, spark)
+    print_report(job, spark)
 
 
 if __name__ == "__main__":

@@ -23,8 +23,9 @@ def build_session(master: str | None = None, app: str = "tessera",
     returned as is; otherwise a local session is built with the settings below.
 
     AQE re-plans joins and coalesces small shuffles at run time, and splits
-    skewed join partitions; the shuffle partition count is a starting point
-    that AQE coalesces down (on a cluster, size it to input bytes / ~128 MB).
+    skewed join partitions.  On a cluster the number of shuffle partitions is
+    the cluster's setting (size it to input bytes / ~128 MB), as AQE only
+    coalesces it down.
     """
     if master is None and os.environ.get("PYSPARK_GATEWAY_PORT") and not os.environ.get("TESSERA_LOCAL"):
         # launched by spark-submit: the submitted master and settings win
@@ -32,37 +33,47 @@ def build_session(master: str | None = None, app: str = "tessera",
         spark.sparkContext.setLogLevel("ERROR")
         return spark
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    if shuffle_partitions is None:
-        cores = _cores(master)
-        shuffle_partitions = max(8, 2 * cores)
-    builder = SparkSession.builder
+    builder = SparkSession.builder.master(master).appName(app)
     event_dir = os.environ.get("TESSERA_EVENT_LOG_DIR")
     if event_dir:  # stage/task timings without the UI: see tools/stages.py
         builder = (builder.config("spark.eventLog.enabled", "true")
                    .config("spark.eventLog.dir", event_dir))
-    spark = (
-        builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        # checkpoint files of frames that are no longer referenced get removed
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
-    )
+    for key, value in session_settings(master, shuffle_partitions).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def _cores(master: str) -> int:
-    inner = master[master.find("[") + 1:master.find("]")] if "[" in master else "1"
-    if inner in ("*", ""):
-        return os.cpu_count() or 1
-    return int(inner.split(",")[0])
+def session_settings(master: str, shuffle_partitions: int | None = None) -> dict[str, str]:
+    """The settings :func:`build_session` makes for a master.
+
+    Only a local master gets sizes (shuffle partitions, driver memory): a
+    cluster keeps its own.
+    """
+    out = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        # checkpoint files of frames that are no longer referenced get removed
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+    if master == "local" or master.startswith("local["):
+        if shuffle_partitions is None:
+            shuffle_partitions = max(8, 2 * _local_cores(master))
+        out["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "8g")
+    if shuffle_partitions is not None:
+        out["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return out
+
+
+def _local_cores(master: str) -> int:
+    """Threads of ``local``, ``local[n]``, ``local[n,retries]`` or ``local[*]``."""
+    inner = master[len("local"):].strip("[]").split(",")[0]
+    return int(inner) if inner.isdigit() else (1 if not inner else os.cpu_count() or 1)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -93,6 +104,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/…) before running iterative jobs")
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and checkpoint it in the folder of :func:`checkpoint_dir`.
+
+    For small frames that a step hands to the next one.  Nothing is cached and
+    nothing has to be released: the files go with the last reference.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut ``df``'s lineage: write it as a Parquet table in the checkpoint folder.
 

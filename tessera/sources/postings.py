@@ -15,27 +15,27 @@ POSTING_SCHEMA = T.StructType([
 ])
 POSTING_COLUMNS = [f.name for f in POSTING_SCHEMA.fields]
 
-_INT_PATTERN = r"^[+-]?[0-9]+$"
+def _is_int(i: int, to: str) -> str:
+    """SQL: field i is a decimal integer that fits — no blanks, no fraction, no
+    overflow — whatever the session's ANSI setting."""
+    return f"(translate(f[{i}], '+-0123456789', '') = '' AND try_cast(f[{i}] AS {to}) IS NOT NULL)"
 
 
-def _strict_int(s: str, to: str, what: str) -> str:
-    """SQL: parse a decimal integer exactly — no blanks, no fraction, no
-    overflow — independent of the session's ANSI setting; else fail the job."""
-    message = f"concat('bad {what} field: <', {s}, '>')"
-    return (f"CASE WHEN {s} RLIKE '{_INT_PATTERN}' AND try_cast({s} AS {to}) IS NOT NULL "
-            f"THEN try_cast({s} AS {to}) ELSE raise_error({message}) END")
+def _check(i: int, to: str, what: str, optional: bool = False) -> str:
+    empty = f"f[{i}] = '' OR " if optional else ""
+    return f"WHEN NOT ({empty}{_is_int(i, to)}) THEN raise_error(concat('bad {what} field: <', f[{i}], '>'))"
 
 
-def _field(i: int) -> str:
-    """SQL: the i-th field of ``f``; fewer than 5 fields fail the job."""
-    return (f"(CASE WHEN size(f) >= 5 THEN f[{i}] "
-            f"ELSE raise_error('posting line has fewer than 5 fields') END)")
-
-
-def _optional_int(i: int, what: str) -> str:
-    """SQL: an empty field is NULL, anything else a strict BIGINT."""
-    return (f"CASE WHEN {_field(i)} = '' THEN CAST(NULL AS BIGINT) "
-            f"ELSE {_strict_int(_field(i), 'BIGINT', what)} END")
+# The check of a whole line is a row condition: it stays in every plan, however
+# few of the parsed columns are used.
+_LINE_CHECK = f"""CASE
+  WHEN coalesce(size(f) < 5, true) THEN raise_error('posting line has fewer than 5 fields')
+  {_check(0, 'INT', 'posting type')}
+  {_check(1, 'BIGINT', 'id')}
+  {_check(2, 'BIGINT', 'accepted answer', optional=True)}
+  {_check(3, 'BIGINT', 'parent id', optional=True)}
+  {_check(4, 'INT', 'score')}
+  ELSE true END"""
 
 
 def parse_posting_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -44,17 +44,17 @@ def parse_posting_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     Split on ``,`` with trailing empty fields dropped, no quoting.  Fields 0-4
     must exist; ``''`` in fields 2 and 3 means NULL; field 5 is the tag
     string when present (possibly ``''``), NULL otherwise; further fields are
-    ignored.  Any malformed number fails the job.  Ids are read as BIGINT
-    (2^31 ids run out long before 100 TB); type and score stay INT.  The two
-    projections are SQL text, so building the plan takes two JVM calls.
+    ignored.  Any malformed number fails the job, whichever columns are read
+    from the result and also when its rows are only counted.  Ids are read as
+    BIGINT (2^31 ids run out long before 100 TB); type and score stay INT.
     """
     # trailing separators go first (character trim, no regex), then split
-    fields = lines.selectExpr(f"split(trim(TRAILING ',' FROM `{value}`), ',', -1) AS f")
+    fields = lines.selectExpr(f"split(trim(TRAILING ',' FROM `{value}`), ',', -1) AS f").where(_LINE_CHECK)
     return fields.selectExpr(
-        f"{_strict_int(_field(0), 'INT', 'posting type')} AS posting_type",
-        f"{_strict_int(_field(1), 'BIGINT', 'id')} AS id",
-        f"{_optional_int(2, 'accepted answer')} AS accepted_answer",
-        f"{_optional_int(3, 'parent id')} AS parent_id",
-        f"{_strict_int(_field(4), 'INT', 'score')} AS score",
-        "CASE WHEN size(f) >= 6 THEN f[5] END AS tags",
+        "try_cast(f[0] AS INT) AS posting_type",
+        "try_cast(f[1] AS BIGINT) AS id",
+        "try_cast(f[2] AS BIGINT) AS accepted_answer",
+        "try_cast(f[3] AS BIGINT) AS parent_id",
+        "try_cast(f[4] AS INT) AS score",
+        "get(f, 5) AS tags",
     )

@@ -13,8 +13,12 @@ def test_entry_runs(spark):
     assert len(rows) > 0
 
 
+# those of the optional subpackage are tested in tests/llm
+OWN = sorted(n for n in E.queries() if n != "pipeline" and not n.startswith("op"))
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(OWN) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +26,7 @@ def duck():
     return duck_connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, duck, name):
     r = compare(E.queries()[name](spark, SF), duck, E.oracle_sql()[name])
     assert r["ok"], r

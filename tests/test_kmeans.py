@@ -13,9 +13,9 @@ def points(spark, xy, weights=None):
 
 
 def test_squared_distance(spark):
-    df = spark.createDataFrame([(1, 2, 4, 5)], "a int, b int, c int, d int")
-    assert df.select(squared_distance("a", "b", "c", "d").alias("s")).first()["s"] == 18.0
-    assert K.point_distance((1, 2), (4, 5)) == 18.0
+    df = spark.createDataFrame([(7, -1, 2, 11)], "a int, b int, c int, d int")
+    assert df.select(squared_distance("a", "b", "c", "d").alias("s")).first()["s"] == 169.0
+    assert K.point_distance((7, -1), (2, 11)) == 169.0
 
 
 def test_squared_distance_does_not_wrap(spark):
@@ -26,8 +26,8 @@ def test_squared_distance_does_not_wrap(spark):
 
 @pytest.mark.parametrize("method", ["transform", "least"])
 def test_nearest_centre(spark, method):
-    df = points(spark, [(7, 7)])
-    c = [(1, 2), (6, 7), (0, 0), (1000, 1000)]
+    df = points(spark, [(40, -3)])
+    c = [(11, 20), (38, -9), (-5, 0), (700, 90)]
     assert df.select(nearest_centre("x", "y", c, method).alias("c")).first()["c"] == 1
 
 
@@ -47,8 +47,8 @@ def test_equal_centres_lowest_index_other_keeps_mean(spark):
 
 
 def test_average_truncates(spark):
-    df = points(spark, [(1, 1), (2, 3), (8, 9), (4, 9)])
-    assert K.kmeans_step(df, [(0, 0)]) == [(3, 5)]
+    df = points(spark, [(5, 2), (6, 4), (9, 20)])
+    assert K.kmeans_step(df, [(0, 0)]) == [(6, 8)]
     neg = points(spark, [(-7, 0), (0, 0)])
     assert K.kmeans_step(neg, [(0, 0)]) == [(-3, 0)]
 
@@ -79,11 +79,28 @@ def test_kmeans_stops_at_max_iter(spark):
 
 
 def test_total_shift_frame(spark):
-    old = spark.createDataFrame([(0, 1, 2), (1, 0, 0)], "cluster int, x int, y int")
-    new = spark.createDataFrame([(0, 4, 5), (1, 0, 0)], "cluster int, x int, y int")
-    assert K.total_shift_frame(old, new).first()["total_shift"] == 18.0
-    assert K.total_shift([(1, 2), (0, 0)], [(4, 5), (0, 0)]) == 18.0
+    old = spark.createDataFrame([(0, 7, -1), (1, 0, 0)], "cluster int, x int, y int")
+    new = spark.createDataFrame([(0, 2, 11), (1, 0, 0)], "cluster int, x int, y int")
+    assert K.total_shift_frame(old, new).first()["total_shift"] == 169.0
+    assert K.total_shift([(7, -1), (0, 0)], [(2, 11), (0, 0)]) == 169.0
     assert K.converged(19.9) and not K.converged(20.0)
+    assert K.total_shift_frame(old.limit(0), new.limit(0)).first()["total_shift"] == 0.0
+
+
+@pytest.mark.parametrize("rows", [[(0, 1, 1)], [(0, 1, 1), (1, 0, 0), (2, 5, 5)], [(7, 1, 1), (8, 0, 0)], []])
+def test_total_shift_frame_of_unequal_sets_fails(spark, rows):
+    old = spark.createDataFrame([(0, 7, -1), (1, 0, 0)], "cluster int, x int, y int")
+    new = spark.createDataFrame(rows, "cluster int, x int, y int")
+    with pytest.raises(Exception, match="one side only"):
+        K.total_shift_frame(old, new).collect()
+
+
+def test_step_tasks_follow_rows_times_centres(spark):
+    assert K.step_tasks(10, 3) == 1
+    assert K.step_tasks(100_000, 45) == 9
+    assert K.step_tasks(0, 45) == 1
+    pts = points(spark, [(i, i % 7) for i in range(1000)])
+    assert K.compact(pts, 2000).rdd.getNumPartitions() == 4
 
 
 def test_report_median_mode_percent(spark):
@@ -168,8 +185,8 @@ def test_cluster_sizes_sum_to_points(spark):
 
 
 def test_average_vectors(spark):
-    v = spark.createDataFrame([(1, 1), (2, 3), (8, 9), (4, 9)], "x int, y int")
-    assert tuple(K.average_vectors(v).first()) == (3, 5)
+    v = spark.createDataFrame([(5, 2), (6, 4), (9, 20)], "x int, y int")
+    assert tuple(K.average_vectors(v).first()) == (6, 8)
     neg = spark.createDataFrame([(-7, 0), (0, 0)], "x int, y int")
     assert tuple(K.average_vectors(neg).first()) == (-3, 0)
     w = spark.createDataFrame([(1, 1, 3), (10, 4, 1)], "x int, y int, n long")

@@ -51,12 +51,9 @@ def test_job_matches_model(spark, seed):
         rows.append((2, 1000 + a, None, rnd.choice([None, *range(1, 85)]), rnd.randint(-20, 400), None))
     df = spark.createDataFrame(rows, SCHEMA)
     job = cluster_postings(df, terms, spread=1000, k=6)
-    try:
-        centres, means, iters, report = model_job(rows, terms, 1000, 6)
-        assert job.initial == centres
-        assert job.means == means and job.kmeans.iterations == iters
-        got = {r["cluster"]: (r["label"], r["percent"], r["size"], r["median_score"])
-               for r in job.results.collect()}
-        assert got == report
-    finally:
-        job.release()
+    centres, means, iters, report = model_job(rows, terms, 1000, 6)
+    assert job.initial == centres
+    assert job.means == means and job.kmeans.iterations == iters
+    got = {r["cluster"]: (r["label"], r["percent"], r["size"], r["median_score"])
+           for r in job.results(spark).collect()}
+    assert got == report

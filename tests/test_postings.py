@@ -33,7 +33,9 @@ def test_join_drops_unmatched(spark):
     ])
     pairs = P.question_answer_pairs(df)
     assert sorted((r["qid"], r["a_id"]) for r in pairs.collect()) == [(1, 10), (1, 11)]
-    assert [(r["qid"], r["n_pairs"]) for r in P.grouped_postings(df).collect()] == [(1, 2)]
+    assert [(r["qid"], r["n_pairs"]) for r in P.pair_counts(df).collect()] == [(1, 2)]
+    (group,) = P.grouped_postings(df).collect()
+    assert (group["qid"], group["chunk"], [(p["question"]["id"], p["answer"]["id"], p["n"]) for p in group["pairs"]]) == (1, 0, [(1, 10, 1), (1, 11, 1)])
     scored = P.scored_postings(df).collect()
     assert [(r["id"], r["high_score"]) for r in scored] == [(1, 9)]
 
@@ -104,7 +106,7 @@ def test_grouped_counts_equal_join_pairs(spark):
     rows += [(2, 1000 + i, None, rnd.choice([None, *range(1, 25)]), i, None) for i in range(200)]
     df = frame(spark, rows)
     expect = P.question_answer_pairs(df).groupBy("qid").count().collect()
-    got = P.grouped_postings(df).collect()
+    got = P.pair_counts(df).collect()
     assert sorted((r["qid"], r["count"]) for r in expect) == sorted((r["qid"], r["n_pairs"]) for r in got)
 
 

@@ -2,7 +2,11 @@ import random
 
 import pytest
 
-from tessera.operators.selection import group_medians
+from tessera.operators import selection
+
+
+def group_medians(df, **kw):
+    return {r["cluster"]: r["median"] for r in selection.group_medians(df, **kw).collect()}
 
 
 def brute(rows):
@@ -40,3 +44,15 @@ def test_nulls_and_zero_weights_are_ignored(spark):
     rows = [(0, 1, 1), (0, None, 5), (0, 9, 0), (0, 3, 1), (None, 100, 1), (1, 4, 2)]
     df = spark.createDataFrame(rows, "cluster int, y long, n long")
     assert group_medians(df) == {0: 2, 1: 4}
+
+
+def test_many_groups(spark):
+    # more groups than any driver-side table should hold
+    df = spark.range(130_000).selectExpr("id AS cluster", "explode(array(id, id + 4, id + 5)) AS y", "1L AS n")
+    med = selection.group_medians(df)
+    assert med.count() == 130_000
+    assert med.where("median != cluster + 4").isEmpty()
+
+
+def test_empty(spark):
+    assert group_medians(spark.createDataFrame([], "cluster int, y long, n long")) == {}

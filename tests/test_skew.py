@@ -27,11 +27,54 @@ def test_hot_question(spark):
     naive = {tuple(r[:-1]): r[-1] for r in pairs.groupBy(*qcols).agg(F.max("a_score")).collect()}
     got = {tuple(r[:-1]): r[-1] for r in P.scored_postings(df).collect()}
     assert got == naive
-    counts = {r["qid"]: r["n_pairs"] for r in P.grouped_postings(df).collect()}
+    counts = {r["qid"]: r["n_pairs"] for r in P.pair_counts(df).collect()}
     assert counts[0] == 50 * 3000
     assert counts == {r["qid"]: r["count"] for r in pairs.groupBy("qid").count().collect()}
 
 
+def test_hot_question_is_grouped_in_bounded_chunks(spark):
+    rows = [(1, q, None, None, 2, "Scala") for q in range(50)]
+    rows += [(2, 10_000 + i, None, 0, i % 97, None) for i in range(5000)]
+    rows += [(2, 20_000 + i, None, 1 + i % 49, i % 13, None) for i in range(490)] + [(2, 20_000, None, 1, 0, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    groups = P.grouped_postings(df, pairs_per_chunk=100).collect()
+    pairs = P.question_answer_pairs(df)
+    assert sum(p["n"] for g in groups for p in g["pairs"]) == pairs.count() == 5491
+    assert max(len(g["pairs"]) for g in groups) < 200
+    assert {g["chunk"] for g in groups if g["qid"] == 0} == set(range(50))
+    got = sorted((p["question"]["id"], p["answer"]["id"], p["n"]) for g in groups for p in g["pairs"])
+    want = sorted((r["qid"], r["a_id"], r["count"]) for r in pairs.groupBy("qid", "a_id").count().collect())
+    assert got == want
+    assert all(g["chunk"] == 0 for g in groups if g["qid"] > 0)
+
+
+def test_hot_join_key_is_split(spark):
+    """Without broadcast, the join partition of a question with a third of the answers is split."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(60_000).selectExpr(
+            "CAST(CASE WHEN id < 2000 THEN 1 ELSE 2 END AS INT) AS posting_type", "id",
+            "CAST(NULL AS BIGINT) AS accepted_answer",
+            "CASE WHEN id < 2000 THEN NULL WHEN id % 3 = 0 THEN 0 ELSE id % 2000 END AS parent_id",
+            "CAST(id % 101 AS INT) AS score", "CASE WHEN id < 2000 THEN 'Java' END AS tags").repartition(16)
+        pairs = P.question_answer_pairs(df)
+        assert pairs.count() == 58_000
+        pairs.write.format("noop").mode("overwrite").save()
+        pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan or "isSkew" in plan, plan[:3000]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_term_in_every_article(spark):
     texts = [("%d" % i, "the " + ("x " * (i % 5)) + ("Java" if i % 3 == 0 else "")) for i in range(3000)]
     arts = spark.createDataFrame(texts, "title string, text string").repartition(5)

@@ -3,7 +3,9 @@ import tempfile
 
 import pytest
 
+from tessera.operators import postings, ranking
 from tessera.plans.article_ranking import read_articles
+from tessera.plans.posting_clusters import cluster_posting_file, vectors_from_postings
 from tessera.sources import parse_article_lines, parse_posting_lines, read_lines
 from tessera.sources import testdata as td
 
@@ -35,10 +37,10 @@ def test_read_lines_missing_path_fails(spark):
 def test_article_file_round_trip(spark):
     tmp = tempfile.mkdtemp(prefix="tessera-articles-")
     body = "\n".join(td.ARTICLE_PREFIX + t + "</title><text>" + x + td.ARTICLE_SUFFIX
-                     for t, x in [("Scala", "Scala is great"), ("J", "Java </title><text> x")])
+                     for t, x in [("Scala", "notes on Scala"), ("J", "Java </title><text> x")])
     path = _write(tmp, "dump.txt", body + "\n")
     got = sorted((r["title"], r["text"]) for r in read_articles(spark, path).collect())
-    assert got == [("J", "Java </title><text> x"), ("Scala", "Scala is great")]
+    assert got == [("J", "Java </title><text> x"), ("Scala", "notes on Scala")]
 
 
 def test_article_empty_text_and_title(spark):
@@ -53,8 +55,27 @@ def test_article_empty_text_and_title(spark):
     td.ARTICLE_PREFIX + "t</title><text>" + "tooshort",      # no room for the suffix
 ])
 def test_article_malformed_fails(spark, bad):
-    with pytest.raises(Exception):
-        parse_article_lines(lines(spark, [bad])).collect()
+    arts = parse_article_lines(lines(spark, [bad, td.ARTICLE_PREFIX + "t</title><text>x" + td.ARTICLE_SUFFIX]))
+    for action in (lambda: arts.collect(), lambda: arts.count(), lambda: arts.select("title").collect(),
+                   lambda: ranking.occurrences_of_term(arts, "x")):
+        with pytest.raises(Exception, match="malformed article line"):
+            action()
+
+
+@pytest.mark.parametrize("bad", ["1,10,12,,5x,Java", "2,abc,xyz,10,7,", "3,zz,zz,zz,zz", "1,2,,3", "2,5,,1.0,7", "2, 5,,1,7", "2,5,,1,99999999999", ""])
+def test_malformed_posting_fails_whatever_is_read(spark, bad, tmp_path):
+    good = ["1,10,,,5,Java", "2,11,,10,7,"]
+    posts = parse_posting_lines(lines(spark, good + [bad]))
+    actions = [lambda: posts.collect(), lambda: posts.count(), lambda: posts.select("tags").collect(),
+               lambda: postings.scored_postings(posts).collect(), lambda: postings.questions(posts).count(),
+               lambda: postings.answers(posts).select("score").collect(),
+               lambda: vectors_from_postings(posts).collect()]
+    for action in actions:
+        with pytest.raises(Exception, match="field|fewer than 5"):
+            action()
+    (tmp_path / "postings.csv").write_text("\n".join(good + [bad] + good) + "\n")
+    with pytest.raises(Exception, match="field|fewer than 5"):
+        cluster_posting_file(spark, str(tmp_path), k=15)
 
 
 def test_posting_lines(spark):

@@ -21,11 +21,8 @@ def test_article_dump_files(spark):
     folder = os.path.join(tempfile.mkdtemp(prefix="tessera-dump-"), "dump")
     td.article_lines(arts).write.text(folder)
     r = rank_article_file(spark, folder, td.DOCUMENT_TERMS)
-    try:
-        expect = E.ranking.rank_terms_combined(arts, td.DOCUMENT_TERMS)
-        assert _rows(r.combined, ["rank", "term", "n"]) == _rows(expect, ["rank", "term", "n"])
-    finally:
-        r.release()
+    expect = E.ranking.rank_terms_combined(arts, td.DOCUMENT_TERMS)
+    assert _rows(r.combined, ["rank", "term", "n"]) == _rows(expect, ["rank", "term", "n"])
 
 
 def test_posting_csv_files(spark):
@@ -33,8 +30,5 @@ def test_posting_csv_files(spark):
     td.posting_lines(td.postings(spark, SF)).write.text(folder)
     job = cluster_posting_file(spark, folder, terms=td.PRIORITY_TERMS, spread=td.ADAPTER_SPREAD,
                                k=td.ADAPTER_K)
-    try:
-        cols = ["rank", "cluster", "label", "percent", "size", "median_score"]
-        assert _rows(job.results, cols) == _rows(E.q_cluster_results(spark, SF), cols)
-    finally:
-        job.release()
+    cols = ["rank", "cluster", "label", "percent", "size", "median_score"]
+    assert _rows(job.results(spark), cols) == _rows(E.q_cluster_results(spark, SF), cols)

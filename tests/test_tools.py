@@ -51,3 +51,15 @@ def test_build_session_keeps_submitted_session(spark, monkeypatch):
         assert s.conf.get("spark.sql.shuffle.partitions") == "3"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_cluster_settings_are_left_alone():
+    from tessera.session import session_settings
+    for master in ("yarn", "spark://host:7077", "spark://[2001:db8::1]:7077", "k8s://https://[::1]:6443", "local-cluster[2,1,1024]"):
+        got = session_settings(master)
+        assert "spark.sql.shuffle.partitions" not in got and "spark.driver.memory" not in got
+    assert session_settings("local[4]")["spark.sql.shuffle.partitions"] == "8"
+    assert session_settings("local[16,3]")["spark.sql.shuffle.partitions"] == "32"
+    assert session_settings("local")["spark.sql.shuffle.partitions"] == "8"
+    assert int(session_settings("local[*]")["spark.sql.shuffle.partitions"]) >= 8
+    assert session_settings("yarn", 500)["spark.sql.shuffle.partitions"] == "500"
