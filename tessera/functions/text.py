@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Up to this many terms a list is a literal inside each row (a hash set for
+# mentions, a position lookup for tags); beyond it the operators join with the
+# term table, as the cost per row would grow with the list.  Both give the same rows.
+INLINE_TERMS_MAX = 256
+
+
 def check_terms(terms: Sequence[str]) -> list[str]:
     """Validate an ordered term list: non-empty strings, no duplicates.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.fixed import LANG_SPREAD, LANGS
-from tessera.functions.text import check_terms, term_index, terms_array
+from tessera.functions.text import INLINE_TERMS_MAX, check_terms, term_index, terms_array
 from tessera.sources.postings import POSTING_COLUMNS
 
 
@@ -115,11 +115,6 @@ def scored_postings(postings: DataFrame) -> DataFrame:
             .where("is_q AND high_score IS NOT NULL").select(*POSTING_COLUMNS, "high_score"))
 
 
-# Up to this many terms the position is looked up in a literal list inside
-# each row (a linear scan); beyond it, by a join with the term table.
-INLINE_TERMS_MAX = 256
-
-
 def tag_index(scored: DataFrame, terms: Sequence[str] = LANGS, tags: str = "tags") -> DataFrame:
     """Adds ``lang_index``: position of the whole tag in ``terms`` (NULL tag ->
     NULL, unknown tag -> -1)."""

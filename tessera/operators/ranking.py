@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.fixed import LANGS
-from tessera.functions.text import check_terms, mentioned_terms, mentions, terms_array, tokens
+from tessera.functions.text import (
+    INLINE_TERMS_MAX, check_terms, mentioned_terms, mentions, terms_array, tokens,
+)
 
 
 def term_table(articles: DataFrame, terms: Sequence[str]) -> DataFrame:
@@ -45,12 +47,6 @@ def occurrences_of_term(articles: DataFrame, term: str, text: str = "text") -> i
     return int(term_occurrences(articles, term, text).first()["n"])
 
 
-# Up to this many terms the list is a literal matched inside each row; beyond
-# it, matching each row against the literal (a hash set per row) would cost
-# O(#terms) per article, so tokens are semi-joined with the term table instead.
-INLINE_TERMS_MAX = 256
-
-
 def _mention_rows(articles: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
     """One ``term`` row per (article, mentioned term)."""
     terms = check_terms(terms)
@@ -138,7 +134,9 @@ def write_inverted_index(index: DataFrame, path: str, mode: str = "overwrite",
 def rank_terms_from_index(index: DataFrame, terms: Sequence[str] | None = None) -> DataFrame:
     """Articles per term from the flat index: ``(rank, term, n)``.
 
-    Ties go by term position when ``terms`` is given, else by term.
+    Ties go by term position when ``terms`` is given, else by term.  An index has
+    at most as many terms as the list it was built with, so the window that
+    numbers them is as small as that list.
     """
     counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if terms is not None:

@@ -37,36 +37,26 @@ def sample_global(vectors: DataFrame, k: int, seed: int = SAMPLE_SEED) -> DataFr
     return picked.select(rank.cast("int").alias("cluster"), "x", "y").orderBy("cluster")
 
 
-# Sub-groups per stratum for samples too large for the optimizer's group limit.
-SALT_BUCKETS = 256
-
-
-def _group_limit_threshold(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    except Exception:  # noqa: BLE001
-        return 1000
-
-
-def stratum_picks(vectors: DataFrame, per_stratum: int, seed: int = SAMPLE_SEED) -> DataFrame:
+def stratum_picks(vectors: DataFrame, per_stratum: int, seed: int = SAMPLE_SEED,
+                  salts: int | None = None) -> DataFrame:
     """The first ``per_stratum`` vectors of every distinct x in draw order:
     ``(x, y, rn)`` with ``rn`` the draw rank within the stratum (1-based).
 
-    Up to the optimizer's window-group-limit threshold (default 1000) the
-    limit is applied per input partition before the shuffle.  Above it, the
-    top ``per_stratum`` are first taken within (x, salt) sub-groups — the
-    salt spreads a hot stratum over ``SALT_BUCKETS`` tasks — and then among
-    those candidates per x; the result is the same rows.
+    The first ``per_stratum`` are taken within (x, salt) sub-groups and then
+    among those candidates per x, so a hot stratum is spread over ``salts``
+    tasks (default: the session's number of shuffle partitions) and at most
+    ``salts * per_stratum`` of its rows meet in one.
     """
     if per_stratum <= 0:
         raise ValueError("per_stratum must be positive")
-    rows = vectors.select("id", "x", "y")
+    if salts is None:
+        salts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if salts <= 0:
+        raise ValueError("salts must be positive")
     order = draw_order(seed)
-    if per_stratum > _group_limit_threshold(vectors):
-        salt = F.pmod(F.xxhash64("id"), F.lit(SALT_BUCKETS))
-        sub = Window.partitionBy("x", salt).orderBy(*order)
-        rows = (rows.withColumn("_rn", F.row_number().over(sub))
-                .where(F.col("_rn") <= per_stratum).drop("_rn"))
+    sub = Window.partitionBy("x", F.pmod(F.xxhash64("id"), F.lit(salts))).orderBy(*order)
+    rows = (vectors.select("id", "x", "y").withColumn("_rn", F.row_number().over(sub))
+            .where(F.col("_rn") <= per_stratum).drop("_rn"))
     w = Window.partitionBy("x").orderBy(*order)
     return (rows.withColumn("rn", F.row_number().over(w))
             .where(F.col("rn") <= per_stratum)
@@ -81,7 +71,7 @@ def sample_stratified(vectors: DataFrame, per_stratum: int, seed: int = SAMPLE_S
     that into an error.
     """
     picked = stratum_picks(vectors, per_stratum, seed)
-    # global numbering over per_stratum x #strata rows
+    # global numbering over per_stratum x #strata rows; the strata are the terms
     cluster = F.row_number().over(Window.orderBy("x", "rn")) - 1
     return picked.select(cluster.cast("int").alias("cluster"), "x", "y", "rn")
 

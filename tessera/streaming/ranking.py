@@ -38,10 +38,10 @@ def running_mention_counts(articles: DataFrame, terms: Sequence[str] = LANGS) ->
 
 
 def start_ranking(spark: SparkSession, path: str, terms: Sequence[str] = LANGS,
-                  query_name: str = "term_ranking", sink: str = "memory",
+                  query_name: str = "term_ranking", *, sink: str,
                   checkpoint_location: str | None = None, **sink_options) -> StreamingQuery:
-    """Start the incremental ranking; with the default memory sink the
-    current ranking is readable as ``spark.table(query_name)``.
+    """Start the incremental ranking into a sink that takes complete results
+    (the ``memory`` sink, for tests, is readable as ``spark.table(query_name)``).
 
     Progress and state go to ``checkpoint_location``, by default
     ``<checkpoint dir>/stream-<query_name>``: starting the same query name

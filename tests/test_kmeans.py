@@ -193,18 +193,12 @@ def test_average_vectors(spark):
     assert tuple(K.average_vectors(w, "n").first()) == (3, 1)
 
 
-def test_large_strata_use_salted_two_phase(spark):
+def test_salts_do_not_change_the_sample(spark):
     from tessera.operators.sampling import stratum_picks
     rows = [(i, (i % 2) * LANG_SPREAD, i % 97) for i in range(3000)]
     v = spark.createDataFrame(rows, "id long, x int, y int")
-    prev = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    try:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
-        salted = sorted(tuple(r) for r in stratum_picks(v, 40).collect())
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", prev)
-    plain = sorted(tuple(r) for r in stratum_picks(v, 40).collect())
-    assert salted == plain and len(plain) == 80
+    picks = [sorted(tuple(r) for r in stratum_picks(v, 40, salts=n).collect()) for n in (1, 7, None)]
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) == 80
 
 
 def test_sample_vectors_frame_matches_initial_means(spark):

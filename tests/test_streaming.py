@@ -17,7 +17,7 @@ def test_incremental_ranking(spark):
     folder = tempfile.mkdtemp(prefix="tessera-stream-in-")
     _dump(folder, "a.txt", [("1", "notes on Scala"), ("2", "from Java by way of Scala")])
     ckpt = tempfile.mkdtemp(prefix="tessera-stream-ckpt-")
-    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test",
+    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test", sink="memory",
                       checkpoint_location=ckpt)
     try:
         q.processAllAvailable()
@@ -31,7 +31,7 @@ def test_incremental_ranking(spark):
         q.stop()
     # restarting from the same checkpoint resumes: old files are not recounted
     _dump(folder, "c.txt", [("5", "Scala")])
-    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test2",
+    q = start_ranking(spark, folder, ["Scala", "Java", "Haskell"], query_name="rank_stream_test2", sink="memory",
                       checkpoint_location=ckpt)
     try:
         q.processAllAvailable()
