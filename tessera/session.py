@@ -145,13 +145,16 @@ def release(*frames: DataFrame) -> None:
         f.unpersist()
         path = getattr(f, "_tessera_table", None)
         if path:
-            try:
-                jvm = f.sparkSession.sparkContext._jvm
-                hpath = jvm.org.apache.hadoop.fs.Path(path)
-                fs = hpath.getFileSystem(f.sparkSession.sparkContext._jsc.hadoopConfiguration())
-                fs.delete(hpath, True)
-            except Exception:  # noqa: BLE001 - cleanup is best effort
-                pass
+            remove_table(f.sparkSession, path)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote in the checkpoint folder, as far as that is possible."""
+    try:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:  # noqa: BLE001 - cleanup is best effort
+        pass
 
 
 def _sql_literal(v) -> str:
