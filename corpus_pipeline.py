@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import mixture, pieces, secrets, simhash, toxicity
 from tessera.llm.common import crc_mod
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, remove_table
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,12 +61,17 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``{sf_dir}/documents.parquet``.
 
-    The tables between the stages are written in the shared checkpoint folder.
+    The tables between the stages are written in the shared checkpoint folder;
+    each is deleted once the next one is complete, and the last one stays.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_table(spark, before)
+        before = path
     return docs
