@@ -70,8 +70,8 @@ def templates() -> list[Template]:
 def words(text: Column) -> Column:
     """Words of the whole text, in lower case (A-Z); null texts have none."""
     text = F.coalesce(text, F.lit(""))
-    # lower() is much faster and differs in two letters only, as far as ASCII words go
-    odd = F.contains(text, F.lit("K")) | F.contains(text, F.lit("İ"))
+    # lower() is much faster; only the Kelvin sign and the dotted I turn into ASCII letters
+    odd = F.contains(text, F.lit("\u212a")) | F.contains(text, F.lit("\u0130"))
     low = F.when(odd, ascii_lower(text)).otherwise(F.lower(text))
     return F.filter(F.split(low, NOT_WORD, -1), lambda w: w != "")
 
