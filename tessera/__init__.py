@@ -1,7 +1,8 @@
 """tessera — batch text-ranking and Q&A clustering on Spark DataFrames.
 
 Three families of operators, each a function ``DataFrame (+ params) -> DataFrame``
-built from ``pyspark.sql.functions`` only:
+built from ``pyspark.sql.functions`` only (an optional subpackage for training
+data is described in the README):
 
 * article term ranking (``tessera.operators.ranking``),
 * question/answer posting scoring (``tessera.operators.postings``),
