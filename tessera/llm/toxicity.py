@@ -47,7 +47,7 @@ HARD_NEGATIVES = 3_000
 THRESHOLD = 0.3
 MEMO_WORDS = 400_000
 ROWS_PER_BATCH = 512
-CHUNK = 32_768
+CHUNK = 4_096
 
 SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
 SIGNS = re.compile(r"[\W_]+")
@@ -350,9 +350,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
     drawn = []
     for label in (1, 0):
-        # twice the bound of ids, as some texts may be missing or too long
+        # twice the bound of ids, as some texts may be missing or too long; so many ids are broadcast
         some = marked.where(F.col("toxic") == label).select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(2 * SAMPLE_DOCS)
-        rows = text.join(some, "id").orderBy("h", "id", "text").limit(SAMPLE_DOCS).select("text").collect()
+        rows = text.join(F.broadcast(some), "id").orderBy("h", "id", "text").limit(SAMPLE_DOCS).select("text").collect()
         drawn.append([r["text"] for r in rows])
     total = sum(counts.values())
     return fit(drawn[0], drawn[1], counts.get(0, 0) / total if total else 0.9)
