@@ -103,3 +103,44 @@ def test_empty_documents(spark, tmp_path):
 
 def test_simhash_is_called_with_its_contract():
     assert (simhash.SHINGLE, simhash.MAX_BITS) == (3, 2)
+
+
+ODD = [
+    (1, "the cat sat on the mat and the dog ran", "en", "a", 40, "x"), (1, "the cat sat on the mat and the dog ran", "en", "a", 40, "x"),
+    (2, None, "en", "a", None, None), (3, "", None, None, 0, ""), (None, "a text without an id", "en", "b", 20, "y"),
+    (None, "a text without an id", "en", "b", 20, "y"), (4, "word " * 30000, None, "b", None, "z"), (5, " \n\t ", "de", None, 4, "z"),
+    (6, "key password=7602ad27cf5550de1c here", "en", "c", 36, "w"), (7, "you utter idiot and clown", "en", "c", 25, "v"),
+    (8, "you utter moron and clown", "en", "a", 25, "v"),
+]
+ODD_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, doc string"
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, tmp_path):
+    docs = spark.createDataFrame(ODD, ODD_COLUMNS).selectExpr(
+        "*", "doc AS id", "doc AS tie", "doc AS position", "doc AS text_hash", "doc AS base", "doc AS tested", "doc AS spans",
+        "doc AS score", "doc AS fp", "doc AS passes", "doc AS size", "doc AS k_id", "doc AS changed")
+    labels = [(i, None, int(i in (7, 8))) for i in range(1, 9)] + [(9, 1, None), (None, 0, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    counts = []
+    rows = docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, rows, str(tmp_path))
+        out.write.parquet(str(tmp_path / f"{k}"))
+        rows = spark.read.parquet(str(tmp_path / f"{k}"))
+        counts.append(rows.count())
+        if name != "sentencepiece":
+            assert rows.columns == docs.columns
+        if name == "toxicity":
+            # texts without a word are never toxic
+            assert {2, 3, 5} <= {r.doc_id for r in rows.collect()}
+        if name == "secret_scans":
+            assert [r.text for r in rows.collect() if r.doc_id == 6] in ([], ["key [SECRET] here"])
+    assert counts[0] <= len(ODD) and counts[1] <= counts[0] and counts[2] == counts[1]
+    assert all(r.restored for r in rows.collect())
+
+
+def test_mixture_stage_repeats_are_equal_rows(spark):
+    docs = spark.createDataFrame(ODD, ODD_COLUMNS)
+    once = {str(tuple(r)) for r in docs.collect()}
+    mixed = corpus_pipeline.stage_mixture(spark, docs, "").collect()
+    assert {str(tuple(r)) for r in mixed} <= once
