@@ -28,5 +28,8 @@ def duck():
 
 @pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, duck, name):
+    cached = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
     r = compare(E.queries()[name](spark, SF), duck, E.oracle_sql()[name])
     assert r["ok"], r
+    # nothing stays cached behind a query
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) <= cached
