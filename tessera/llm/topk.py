@@ -24,7 +24,7 @@ from tessera.llm.common import cut
 
 SCALE = 1024
 K = 10
-QUERY_BLOCK = 256
+QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
 
 
