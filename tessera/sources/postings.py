@@ -27,8 +27,11 @@ def _check(i: int, to: str, what: str, optional: bool = False) -> str:
 
 
 # The check of a whole line is a row condition: it stays in every plan, however
-# few of the parsed columns are used.
-_LINE_CHECK = f"""CASE
+# few of the parsed columns are used.  Nearly all lines pass by their form alone
+# (numbers too short to overflow); the others are looked at field by field.
+_PLAIN = ("^[+-]?[0-9]{1,9},[+-]?[0-9]{1,18},([+-]?[0-9]{1,18})?,([+-]?[0-9]{1,18})?,"
+          "[+-]?[0-9]{1,9}(?![^,])")
+_FIELDS_CHECK = f"""CASE
   WHEN coalesce(size(f) < 5, true) THEN raise_error('posting line has fewer than 5 fields')
   {_check(0, 'INT', 'posting type')}
   {_check(1, 'BIGINT', 'id')}
@@ -49,12 +52,15 @@ def parse_posting_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     BIGINT (2^31 ids run out long before 100 TB); type and score stay INT.
     """
     # trailing separators go first (character trim, no regex), then split
-    fields = lines.selectExpr(f"split(trim(TRAILING ',' FROM `{value}`), ',', -1) AS f").where(_LINE_CHECK)
+    split = f"split(trim(TRAILING ',' FROM `{value}`), ',', -1)"
+    checked = lines.where(f"coalesce(`{value}` RLIKE '{_PLAIN}', false) OR exists(array({split}), f -> {_FIELDS_CHECK})")
+    fields = checked.selectExpr(f"{split} AS f")
     return fields.selectExpr(
         "try_cast(f[0] AS INT) AS posting_type",
         "try_cast(f[1] AS BIGINT) AS id",
-        "try_cast(f[2] AS BIGINT) AS accepted_answer",
-        "try_cast(f[3] AS BIGINT) AS parent_id",
+        # a failing try_cast is slow, so empty fields do not reach it
+        "try_cast(nullif(f[2], '') AS BIGINT) AS accepted_answer",
+        "try_cast(nullif(f[3], '') AS BIGINT) AS parent_id",
         "try_cast(f[4] AS INT) AS score",
         "get(f, 5) AS tags",
     )
