@@ -36,8 +36,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         moved = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         moved = cut(moved)
-        # stars only: no node is both a leaf and a centre
-        again = not moved.join(moved.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
+        # stars only: every leaf has one centre, and no node is both a leaf and a centre
+        again = (not moved.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+                 or not moved.join(moved.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty())
         links = moved
         if not again:
             break

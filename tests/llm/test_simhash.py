@@ -101,3 +101,22 @@ def test_components_of_long_chains_and_stars(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     want = {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in range(500, 560)}, 899: 899, 900: 899}
     assert got == want
+
+
+def test_a_leaf_of_two_centres_is_not_settled(spark):
+    links = [(9, 5), (5, 3), (3, 1), (9, 2)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {i: 1 for i in (1, 2, 3, 5, 9)}
+
+
+def test_components_of_shuffled_paths(spark):
+    rng = random.Random(3)
+    links, want = [], {}
+    for size in range(5, 13):
+        for copy in range(6):
+            start = 1000 * size + 100 * copy
+            path = rng.sample(range(start, start + size), size)
+            links += zip(path, path[1:])
+            want |= {i: start for i in path}
+    got = connected_components(spark.createDataFrame(links, "u long, v long")).collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
