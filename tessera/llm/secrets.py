@@ -5,22 +5,26 @@ they stand.  Other long tokens are tested for randomness: from its characters
 each token's encoding is inferred (hexadecimal, letters and digits of one case,
 base 64), and against that alphabet three tests are made: chi-squared
 uniformity of the characters, the number of runs of character classes
-(upper, lower, digit, sign), and serial correlation.  The least of the three
-p-values, Bonferroni-corrected, is the token's p-value under "random".
+(upper, lower, digit, sign), and serial correlation.  The chance that the least
+of three uniform p-values is as small as the least of these (Sidak) is the
+token's p-value under "random".
 
 Ordinary words fail the battery and secrets pass it, but a short token may pass
 by chance.  The cut-off is therefore set for every encoding and length band
-from the counts of p-values over the whole corpus: truly random tokens have
-uniform p-values, so those above one half tell how many there are, and
-everything else that a cut-off keeps is a false discovery.  The least cut-off
-with an estimated rate within ``FALSE_RATE`` holds; a band without one finds
-nothing.
+from the p-values of the distinct tokens of the whole corpus, so copies of a
+token count once: truly random tokens have uniform p-values, so those above one
+half tell how many there are, and everything else that a cut-off keeps is a
+false discovery.  Cut-offs lie below one half.  The least one with an estimated
+rate within ``FALSE_RATE``, but for two standard errors of the number of random
+tokens, holds; a band without one finds nothing.
 
 Only column expressions are used.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +42,7 @@ TOKEN_LEAST = 16
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % TOKEN_LEAST
 FALSE_RATE = 0.05
 BANDS = [20, 28, 40, 64]
-EDGES = [0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5]
+EDGES = [0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5]     # the cut-offs; p-values above the last one count the random tokens
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 # encodings: name, characters (a token belongs to the first that has all of its characters)
 ENCODINGS = [
@@ -99,7 +103,7 @@ def randomness(value: Column, encoding: Column) -> Column:
         lagged = F.aggregate(pairs, total, lambda s, p: s + (p["a"] - mean) * (p["b"] - mean))
         serial_z = F.when(spread > 0, (lagged / spread + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
         least = F.least(_upper_tail(chi_z), 2 * _upper_tail(F.abs(run_z)), 2 * _upper_tail(F.abs(serial_z)))
-        return F.least(F.lit(1.0), 3 * least)
+        return 1 - F.pow(1 - F.least(F.lit(1.0), least), F.lit(3.0))
 
     # one-element transforms name the intermediate arrays, so they are made once
     named = F.transform(F.array(F.struct(at.alias("x"), classes.alias("c"))), lambda s: battery(s["x"], s["c"]))
@@ -125,12 +129,12 @@ def base_spans(text: Column) -> Column:
 
 
 def tested_tokens(text: Column) -> Column:
-    """Array of ``(start, end, encoding, band, p)`` of the tokens the battery tests."""
+    """Array of ``(start, end, encoding, band, p, h)`` of the tokens the battery tests; ``h`` is the value's hash."""
     def test(s: Column) -> Column:
         code = _encoding(s["value"])
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"),
                         _band(s["end"] - s["start"]).alias("band"),
-                        F.when(code.isNotNull(), randomness(s["value"], code)).alias("p"))
+                        F.when(code.isNotNull(), randomness(s["value"], code)).alias("p"), F.xxhash64(s["value"]).alias("h"))
 
     return F.filter(F.transform(match_spans(text, TOKEN), test), lambda t: t["p"].isNotNull())
 
@@ -142,7 +146,7 @@ def mark(rows: DataFrame) -> DataFrame:
 
 
 def cutoffs(tested: DataFrame, false_rate: float = FALSE_RATE) -> dict[tuple[int, int], float]:
-    """Cut-off of p for every (encoding, band) that has one, from all tested tokens.
+    """Cut-off of p for every (encoding, band) that has one, from all distinct tested tokens.
 
     The counts that reach the driver are those of the fixed encodings, bands
     and edges: at most 5 x 5 x 11 rows, whatever the corpus.
@@ -152,15 +156,16 @@ def cutoffs(tested: DataFrame, false_rate: float = FALSE_RATE) -> dict[tuple[int
     for i in range(len(EDGES) - 1, -1, -1):
         bin_ = F.when(p <= EDGES[i], F.lit(i)).otherwise(bin_)
     counts = (tested.select(F.explode("tested").alias("t"))
-              .groupBy(F.col("t.encoding").alias("encoding"), F.col("t.band").alias("band"), bin_.alias("bin"))
-              .agg(F.count("*").alias("n")).collect())
+              .select(F.col("t.encoding").alias("encoding"), F.col("t.band").alias("band"), bin_.alias("bin"), F.col("t.h").alias("h")).distinct()
+              .groupBy("encoding", "band", "bin").agg(F.count("*").alias("n")).collect())
     tables: dict[tuple[int, int], list[int]] = {}
     for r in counts:
         tables.setdefault((r["encoding"], r["band"]), [0] * (len(EDGES) + 1))[r["bin"]] = r["n"]
     out = {}
     for key, bins in tables.items():
-        random_ones = (bins[-1] + 1) / (1 - EDGES[-1])
-        for i, edge in enumerate(EDGES):
+        # with two standard errors, so that a band of few random tokens is not refused by chance
+        random_ones = (bins[-1] + 2 * math.sqrt(bins[-1] * EDGES[-1])) / (1 - EDGES[-1])
+        for i, edge in enumerate(EDGES[:-1]):
             kept = sum(bins[i + 1:])
             if kept and 1 - random_ones * (1 - edge) / kept <= false_rate:
                 out[key] = edge
