@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests.
 
 Three fixed kinds (assignments, access keys, hexadecimal runs) are matched as
-they stand.  Other long tokens are tested for randomness: from its characters
+they stand.  Other long tokens, and the long parts of tokens between ``/``, ``_``
+and ``-``, are tested for randomness: from its characters
 each token's encoding is inferred (hexadecimal, letters and digits of one case,
 base 64), and against that alphabet three tests are made: chi-squared
 uniformity of the characters, the number of runs of character classes
@@ -12,19 +13,16 @@ token's p-value under "random".
 Ordinary words fail the battery and secrets pass it, but a short token may pass
 by chance.  The cut-off is therefore set for every encoding and length band
 from the p-values of the distinct tokens of the whole corpus, so copies of a
-token count once: truly random tokens have uniform p-values, so those above one
-half tell how many there are, and everything else that a cut-off keeps is a
-false discovery.  Cut-offs lie below one half.  The least one with an estimated
-rate within ``FALSE_RATE``, but for two standard errors of the number of random
-tokens, holds; a band without one finds nothing.
+token count once: truly random tokens have uniform p-values, so those above
+``RANDOM_ABOVE`` tell how many there are, and everything else that a cut-off
+keeps is a false discovery.  Cut-offs lie below that value.  The least one with
+an estimated rate within ``FALSE_RATE`` holds; a band without one finds nothing.
 
 Only column expressions are used.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +37,14 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
 # tokens that the battery tests
 TOKEN_LEAST = 16
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % TOKEN_LEAST
+PADDING = r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+" % TOKEN_LEAST + PADDING
+# the parts of a token between '/', '_' and '-', tested too
+PART = r"(?<![A-Za-z0-9+])[A-Za-z0-9+]{%d,}+" % TOKEN_LEAST + PADDING
 FALSE_RATE = 0.05
 BANDS = [20, 28, 40, 64]
-EDGES = [0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5]     # the cut-offs; p-values above the last one count the random tokens
+EDGES = [0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5]
+RANDOM_ABOVE = 0.3      # p-values above it count the random tokens; cut-offs lie below it
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 # encodings: name, characters (a token belongs to the first that has all of its characters)
 ENCODINGS = [
@@ -50,7 +52,7 @@ ENCODINGS = [
     ("HEX", DIGITS + "ABCDEF"),
     ("upper36", DIGITS + UPPER),
     ("lower36", DIGITS + LOWER),
-    ("base64", UPPER + LOWER + DIGITS + "+/-_="),
+    ("base64", UPPER + LOWER + DIGITS + "+/-_"),
 ]
 
 
@@ -86,7 +88,7 @@ def randomness(value: Column, encoding: Column) -> Column:
     k = _by_encoding(encoding, [len(a) for a in alphabets])
     alphabet = F.element_at(F.array(*[F.lit(a) for a in alphabets]), encoding + 1)
     at = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.instr(alphabet, F.substring(value, i, F.lit(1))).cast("double"))
-    classes = F.translate(value, UPPER + LOWER + DIGITS + "+/-_=", "U" * 26 + "L" * 26 + "D" * 10 + "SSSSS")
+    classes = F.translate(value, UPPER + LOWER + DIGITS + "+/-_", "U" * 26 + "L" * 26 + "D" * 10 + "SSSS")
 
     def battery(x: Column, cls: Column) -> Column:
         total = F.lit(0.0)
@@ -129,14 +131,21 @@ def base_spans(text: Column) -> Column:
 
 
 def tested_tokens(text: Column) -> Column:
-    """Array of ``(start, end, encoding, band, p, h)`` of the tokens the battery tests; ``h`` is the value's hash."""
+    """Array of ``(start, end, encoding, band, p, h)`` of the tokens the battery tests; ``h`` is the value's hash.
+
+    A token is tested whole and by its long parts between ``/``, ``_`` and ``-``;
+    ``=`` is only part of it as padding at its end, which is not tested.
+    """
     def test(s: Column) -> Column:
-        code = _encoding(s["value"])
+        value = F.rtrim(s["value"], F.lit("="))
+        code = _encoding(value)
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"),
-                        _band(s["end"] - s["start"]).alias("band"),
-                        F.when(code.isNotNull(), randomness(s["value"], code)).alias("p"), F.xxhash64(s["value"]).alias("h"))
+                        _band(F.length(value)).alias("band"),
+                        F.when(code.isNotNull(), randomness(value, code)).alias("p"), F.xxhash64(value).alias("h"))
 
-    return F.filter(F.transform(match_spans(text, TOKEN), test), lambda t: t["p"].isNotNull())
+    # a part that is the whole token is the same struct
+    found = F.array_union(match_spans(text, TOKEN), match_spans(text, PART))
+    return F.filter(F.transform(found, test), lambda t: t["p"].isNotNull())
 
 
 def mark(rows: DataFrame) -> DataFrame:
@@ -163,9 +172,8 @@ def cutoffs(tested: DataFrame, false_rate: float = FALSE_RATE) -> dict[tuple[int
         tables.setdefault((r["encoding"], r["band"]), [0] * (len(EDGES) + 1))[r["bin"]] = r["n"]
     out = {}
     for key, bins in tables.items():
-        # with two standard errors, so that a band of few random tokens is not refused by chance
-        random_ones = (bins[-1] + 2 * math.sqrt(bins[-1] * EDGES[-1])) / (1 - EDGES[-1])
-        for i, edge in enumerate(EDGES[:-1]):
+        random_ones = sum(bins[EDGES.index(RANDOM_ABOVE) + 1:]) / (1 - RANDOM_ABOVE)
+        for i, edge in enumerate(EDGES[:EDGES.index(RANDOM_ABOVE)]):
             kept = sum(bins[i + 1:])
             if kept and 1 - random_ones * (1 - edge) / kept <= false_rate:
                 out[key] = edge
@@ -174,18 +182,39 @@ def cutoffs(tested: DataFrame, false_rate: float = FALSE_RATE) -> dict[tuple[int
 
 
 def all_spans(limits: dict[tuple[int, int], float]) -> Column:
-    """From columns ``base`` and ``tested``: base spans and the random tokens that overlap none of them, in order."""
-    kept = F.array().cast("array<struct<start:bigint,number:int,kind:string,end:bigint>>")
+    """From columns ``base`` and ``tested``: base spans and what the random tokens have beside them, in order.
+
+    A part of a random token is left out.  Where a random token overlaps base
+    spans, each stretch of it that they leave uncovered is a span.
+    """
+    kind = "array<struct<start:bigint,number:int,kind:string,end:bigint>>"
+    kept = F.array().cast(kind)
     if limits:
         def passes(t: Column) -> Column:
             limit = F.lit(2.0)
             for (encoding, band), p in sorted(limits.items()):
                 limit = F.when((t["encoding"] == encoding) & (t["band"] == band), F.lit(p)).otherwise(limit)
-            clash = F.exists(F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-            return (t["p"] > limit) & ~clash
+            return t["p"] > limit
+
+        def span(start: Column, end: Column) -> Column:
+            return F.struct(start.alias("start"), F.lit(3).alias("number"), F.lit("random").alias("kind"), end.alias("end"))
+
+        def uncovered(t: Column) -> Column:
+            def step(acc: Column, b: Column) -> Column:
+                gap = F.when(b["start"] > acc["at"], F.array(span(acc["at"], b["start"]))).otherwise(F.array().cast(kind))
+                return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
+
+            clash = F.filter("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+            return F.aggregate(clash, F.struct(t["start"].alias("at"), F.array().cast(kind).alias("out")), step, lambda acc: F.when(
+                acc["at"] < t["end"], F.concat(acc["out"], F.array(span(acc["at"], t["end"])))).otherwise(acc["out"]))
+
+        def outermost(random: Column) -> Column:
+            return F.filter(random, lambda t: ~F.exists(random, lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"])
+                                                        & (o["end"] - o["start"] > t["end"] - t["start"])))
 
-        kept = F.transform(F.filter("tested", passes), lambda t: F.struct(
-            t["start"].alias("start"), F.lit(3).alias("number"), F.lit("random").alias("kind"), t["end"].alias("end")))
+        # one-element transforms name the intermediate array, so it is made once
+        named = F.transform(F.array(F.filter("tested", passes)), lambda random: F.flatten(F.transform(outermost(random), uncovered)))
+        kept = F.element_at(named, 1)
     return F.array_sort(F.concat("base", kept))
 
 
@@ -194,7 +223,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id_col, base, spans)`` for every row of ``docs``.
 
     Both are arrays of ``(start, number, kind, end)`` in code points, ordered by
-    start and kind; ``spans`` has those of ``base`` and the random tokens.  Null
+    start and kind; ``spans`` has those of ``base`` and, beside them, the random tokens.  Null
     and empty texts have none.  Repeated rows stay; other columns are ignored.
     The marked spans are cut in the shared checkpoint folder, so every text is
     searched once.

@@ -104,8 +104,8 @@ def test_copies_of_a_token_do_not_move_a_cutoff(spark):
 
 
 def test_a_band_can_be_refused(spark):
-    # half of the tokens lie between the cut-offs and one half, where random ones would spread evenly
-    plain = [(0.45, 1, i) for i in range(200)]
+    # nearly all tokens lie above the cut-offs and below what counts as random
+    plain = [(0.25, 1, i) for i in range(200)]
     assert secrets.cutoffs(rows_of_tested(spark, plain + [(0.9, 1, -1)])) == {}
 
 
@@ -116,3 +116,27 @@ def test_random_tokens_have_even_p_values(spark):
     df = spark.createDataFrame(rows, "value string, encoding int")
     shares = df.select("encoding", (secrets.randomness(F.col("value"), F.col("encoding")) > 0.5).cast("int").alias("over")).groupBy("encoding").mean("over").collect()
     assert all(abs(r[1] - 0.5) < 0.07 for r in shares)
+
+
+def test_random_values_behind_names_and_beside_base_spans(spark):
+    rng = random.Random(9)
+    key = lambda n, chars=secrets.UPPER + secrets.LOWER + secrets.DIGITS: "".join(rng.choice(chars) for _ in range(n))
+    rows, want = [], {}
+    for i in range(300):
+        value = key(36)
+        name = ["aws_secret_access_key=", "client_value_of_this_service/", "x ", "the-long-name-of-a-service-"][i % 4]
+        pad = "==" if i % 4 in (0, 2) else ""
+        rows.append((i, f"{name}{value}{pad} end"))
+        want[i] = (len(name), len(name) + 36 + len(pad))
+    for i in range(300, 330):           # a hexadecimal run within a random token
+        rows.append((i, f"{key(24)}Z0123456789abcdef{'Z' + key(24)}"))
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    whole = sum(any(s.kind == "random" and s.start <= want[i][0] and s.end == want[i][1] for s in got[i]) for i in want)
+    exact = sum((want[i][0], want[i][1]) in [(s.start, s.end) for s in got[i]] for i in want if i % 4 == 0)
+    assert whole >= 270 and exact >= 68
+    # the stretches beside the hexadecimal run, and nothing twice
+    limits = {(4, b): 0.0 for b in range(5)}
+    spans = secrets.mark(spark.createDataFrame(rows[300:], "doc_id long, text string")).select(secrets.all_spans(limits).alias("s")).collect()
+    for r in spans:
+        assert [s.kind for s in r.s] == ["random", "hex", "random"]
+        assert r.s[0].start == 0 and r.s[0].end == r.s[1].start and r.s[1].end == r.s[2].start and r.s[2].end == 66
