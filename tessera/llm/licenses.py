@@ -2,8 +2,8 @@
 
 Each licence template is a short word sequence with key phrases that must
 occur.  Over the whole corpus the document frequency of every template word
-gives its IDF; the index posts, for each template, its words of highest IDF
-with their positions.  A file looks up the indexed words it has; postings of
+gives its IDF; the index posts, for each template, the words of its key phrases
+and its words of highest IDF with their positions.  A file looks up the indexed words it has; postings of
 one template whose relative position agrees align the file with the template,
 and an alignment that two words agree on is verified: every key phrase must
 stand within the aligned window.  Its score is the IDF-weighted share of
@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ TEMPLATES = [
     ("reserved", "copyright holders all rights reserved", ["all rights reserved"]),
 ]
 
-INDEX_WORDS = 4     # indexed words of a template: those of highest IDF
+INDEX_WORDS = 4     # indexed words of a template besides those of its key phrases: those of highest IDF
 SLACK = 4           # words by which a key phrase may stand outside the alignment
 BASE_SCORE = 0.5    # least score of a text with a base phrase
 
@@ -94,9 +96,10 @@ def _index(weights: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
     """Indexed word -> its (template, position) postings."""
     out: dict[str, list[tuple[int, int]]] = {}
     for t, template in enumerate(templates()):
+        mandatory = {w for key in template.keys for w in key.split()}
         rare = sorted(set(template.words), key=lambda w: (-weights[w], w))[:INDEX_WORDS]
         for p, w in enumerate(template.words):
-            if w in rare:
+            if w in rare or w in mandatory:
                 out.setdefault(w, []).append((t, p))
     return out
 
@@ -134,9 +137,22 @@ def alignments(ws: Column, weights: dict[str, float]) -> Column:
             hit = F.transform(tw, lambda w, j: F.when((at + j >= 0) & F.get(ws, (at + j).cast("int")).eqNullSafe(w), F.element_at(weight, j + 1)).otherwise(0.0))
             total = F.aggregate(weight, F.lit(0.0), lambda s, x: s + x)
             share = F.aggregate(hit, F.lit(0.0), lambda s, x: s + x) / total
-            return F.struct(ok.alias("ok"), at.alias("at"), F.element_at(all_labels, t).alias("label"), share.alias("score"))
+            return F.struct(ok.alias("ok"), at.alias("at"), F.element_at(all_labels, t).alias("label"), share.alias("score"),
+                            t.alias("template"), (F.size(tw) + SLACK).alias("reach"))
         return F.filter(F.transform(cand, one), lambda x: x["ok"])
 
+    def strongest(found: Column) -> Column:
+        # key phrases may stand in the slack, so a weaker alignment beside a stronger one of its template is the same notice;
+        # candidates are in order of template and place, so those in reach are near in the array
+        near = max(len(t.words) for t in known) + SLACK
+
+        def weaker(x: Column, i: Column) -> Column:
+            around = F.slice(found, F.greatest(i + 1 - near, F.lit(1)), F.lit(2 * near + 1))
+            return F.exists(around, lambda o: (o["template"] == x["template"]) & (F.abs(o["at"] - x["at"]) < x["reach"]) & (o["score"] > x["score"]))
+
+        kept = F.filter(found, lambda x, i: ~weaker(x, i))
+        return F.transform(kept, lambda x: F.struct(x["ok"].alias("ok"), x["at"].alias("at"), x["label"].alias("label"), x["score"].alias("score")))
+
     def votes(hits: Column) -> Column:
         each = F.flatten(F.transform(hits, lambda i: F.transform(F.element_at(postings, F.get(ws, i)), lambda c: c + i)))
         return F.array_sort(each)
@@ -146,9 +162,13 @@ def alignments(ws: Column, weights: dict[str, float]) -> Column:
         return F.array_distinct(F.transform(same, lambda k: F.get(s, k)))
 
     hits = F.filter(F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0))), lambda i: F.get(ws, i).isin(anchors))
-    named = F.transform(F.array(votes(hits)), lambda s: verified(twice(s)))
+    named = F.transform(F.transform(F.array(votes(hits)), lambda s: verified(twice(s))), strongest)
     kind = "array<struct<ok:boolean,at:bigint,label:string,score:double>>"
-    return F.when(F.arrays_overlap(ws, _strings(anchors)), F.element_at(named, 1)).otherwise(F.array().cast(kind))
+    # no template is verified in a text without all of its key phrases
+    text = F.concat(F.lit(" "), F.array_join(ws, " "), F.lit(" "))
+    any_keys = F.exists(F.array(text), lambda x: reduce(or_, [
+        reduce(and_, [F.contains(x, F.lit(f" {k} ")) for k in t.keys]) for t in known]))
+    return F.when(any_keys, F.element_at(named, 1)).otherwise(F.array().cast(kind))
 
 
 def base_places(ws: Column) -> Column:

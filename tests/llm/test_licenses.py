@@ -54,3 +54,12 @@ def test_base_columns_of_a_whole_table(spark):
 
 def test_empty_table(spark):
     assert licenses.find_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_key_phrases_are_found_whatever_the_corpus(spark):
+    texts = {1: ("CC0 1.0", "cc0"), 2: ("Mozilla Public License 2.0", "mpl-2.0"), 3: ("CC BY-NC", "cc-by-nc")}
+    common = ["public license v terms 1 0 2", "cc by 4 0 license public", "licensed under the mit license 1 0"] * 40
+    for others in ([], common, common + ["universal public domain dedication"] * 5):
+        rows = [(i, t) for i, (t, _) in texts.items()] + [(100 + i, t) for i, t in enumerate(others)]
+        found = {r.doc_id: {a.label for a in r.aligned} for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert all(label in found[i] for i, (_, label) in texts.items())
