@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, lm, mixture, multiset, pieces, rtree, secrets, simhash, sql, topk, toxicity
-from tessera.llm.common import crc_mod
+from tessera.llm import langid, licenses, lm, merkle, mixture, multiset, pieces, rtree, secrets, simhash, sql, topk, toxicity
+from tessera.llm.common import ascii_lower, crc_mod
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +102,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents in the manifest; a third of the texts are lower-cased before they are folded."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in merkle.COLUMNS}
+    lowered = merkle.leaf_digest(fields | {"text": ascii_lower(F.col("text"))})
+    leaf = merkle.leaf_digest(fields)
+    rows = docs.select("doc_id", F.col("lang").alias("group"), F.col("doc_id").alias("id"), leaf.alias("digest"),
+                       F.when(crc_mod(F.col("doc_id"), 3) == 0, lowered).otherwise(leaf).alias("tampered"))
+    proved = merkle.audit(merkle.manifest(rows), "tampered", ("doc_id",))
+    return proved.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector; a seventh of the labels are shifted first."""
     vectors = _table(spark, sf_dir, "embeddings").select(
@@ -122,9 +135,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture": op8_mixture,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
+        "op12_merkle": op12_merkle,
         "op13_negatives": op13_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": sql.TOP_K, "op8_mixture": sql.MIXTURE, "op13_negatives": sql.HARD_NEGATIVES}
+    return {"op2_topk": sql.TOP_K, "op8_mixture": sql.MIXTURE, "op12_merkle": sql.MERKLE, "op13_negatives": sql.HARD_NEGATIVES}

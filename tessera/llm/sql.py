@@ -70,3 +70,68 @@ ranked AS (
     AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
 """
+
+
+def _merkle(levels: int = 7, top_levels: int = 4) -> str:
+    """Trees of up to 8 ** levels leaves under up to 8 ** top_levels groups."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def digest(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        "docs AS (SELECT row_number() OVER () AS rid, * FROM documents)",
+        # crc32 of the id's digits, bit by bit
+        """crc AS (
+  SELECT rid, CAST(doc_id AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM docs WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT rid, s, k + 1,
+    xor(c >> 1, CASE WHEN (xor(c, ascii(substr(s, k // 8 + 1, 1)) >> (k % 8)) & 1) = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)
+  FROM crc WHERE k < 8 * len(s))""",
+        "sums AS (SELECT rid, xor(c, CAST(4294967295 AS BIGINT)) % 3 = 0 AS changed FROM crc WHERE k = 8 * len(s))",
+        f"hashed AS (SELECT rid, doc_id, lang, {digest('text')} AS leaf, {digest(lower)} AS lowered FROM docs)",
+        """placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed)""",
+        "l0 AS (SELECT lang, i, leaf AS d, n FROM placed)",
+    ]
+
+    def chain(name: str, runs: str, steps: int) -> None:
+        for k in range(steps):
+            parts.append(f"""{name}{k + 1} AS (
+  SELECT lang, i // 8 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d, (n + 7) // 8 AS n FROM {name}{k} WHERE n > 1 GROUP BY lang, i // 8, n)""")
+            parts.append(f"""{runs}{k} AS (
+  SELECT lang, i,
+    coalesce(string_agg(d, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} WHERE n > 1 WINDOW run AS (PARTITION BY lang, i // 8 ORDER BY i))""")
+
+    def climb(name: str, runs: str, steps: int, index: str) -> None:
+        for k in range(steps):
+            parts.append(f"""{name}{k + 1} AS (
+  SELECT f.* REPLACE (coalesce(sha256(s.l || f.folded || s.r), f.folded) AS folded, f.proof || coalesce(s.l || s.r, '') AS proof)
+  FROM {name}{k} f LEFT JOIN {runs}{k} s ON s.lang IS NOT DISTINCT FROM f.in_tree AND s.i = f.{index} // {8 ** k})""")
+
+    chain("l", "s", levels)
+    parts.append("subroots AS (" + " UNION ALL ".join(f"SELECT lang, d FROM l{k} WHERE n = 1" for k in range(levels + 1)) + ")")
+    parts.append("""tops AS (
+  SELECT lang AS of_lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS spot, d, count(*) OVER () AS n FROM subroots)""")
+    parts.append("t0 AS (SELECT CAST(NULL AS VARCHAR) AS lang, spot AS i, d, n FROM tops)")
+    chain("t", "u", top_levels)
+    parts.append("root AS (" + " UNION ALL ".join(f"SELECT d FROM t{k} WHERE n = 1" for k in range(top_levels + 1)) + ")")
+    parts.append("""f0 AS (
+  SELECT p.rid, p.doc_id, p.leaf, p.i, p.lang, p.lang AS in_tree, t.spot, t.d AS subroot, '' AS proof,
+    CASE WHEN c.changed THEN p.lowered ELSE p.leaf END AS folded
+  FROM placed p LEFT JOIN sums c ON c.rid = p.rid JOIN tops t ON t.of_lang IS NOT DISTINCT FROM p.lang)""")
+    climb("f", "s", levels, "i")
+    parts.append(f"g0 AS (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS in_tree) FROM f{levels})")
+    climb("g", "u", top_levels, "spot")
+    return f"""WITH RECURSIVE {', '.join(parts)}
+SELECT doc_id, leaf, subroot, (SELECT d FROM root) AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = (SELECT d FROM root) AS verified
+FROM g{top_levels}"""
+
+
+MERKLE = _merkle()
