@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, lm, merkle, mixture, multiset, pieces, rtree, secrets, simhash, sql, topk, toxicity
+from tessera.llm import langid, licenses, lm, lshforest, merkle, mixture, multiset, pieces, rtree, secrets, simhash, sql, topk, toxicity
 from tessera.llm.common import ascii_lower, crc_mod
 
 
@@ -102,6 +102,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 4-word shingles, Jaccard 0.8 or more."""
+    found = lshforest.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
+                        F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents in the manifest; a third of the texts are lower-cased before they are folded."""
     docs = _table(spark, sf_dir, "documents")
@@ -135,6 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture": op8_mixture,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
+        "op11_minhash": op11_minhash,
         "op12_merkle": op12_merkle,
         "op13_negatives": op13_negatives,
     }
