@@ -246,7 +246,8 @@ def manifest(rows: DataFrame, block_height: int = BLOCK_HEIGHT) -> Manifest:
     their leaves.  Without rows there is no root.
     """
     order = [F.asc_nulls_first("id"), F.asc("digest")]
-    leaves = cut(numbered(rows, [F.col("group")], order, "place", total="leaves", number="tree"))
+    # the digests are made once; the sort reads its input several times
+    leaves = cut(numbered(cut(rows), [F.col("group")], order, "place", total="leaves", number="tree"))
     groups = build_forest(leaves, block_height)
     subroots = groups.roots().select(F.col("tree").alias("place"), F.col("root").alias("digest"))
     count = subroots.count()
