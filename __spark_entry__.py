@@ -11,8 +11,10 @@ output.
 
 from __future__ import annotations
 
+import math
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # the package sits next to this file; make it importable however this module is loaded
@@ -25,12 +27,13 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.fixed import DISTANCE_CAP, KMEANS_ETA, KMEANS_MAX_ITERATIONS, SAMPLE_SEED
 from tessera.functions.geometry import centres_literal, squared_distance
-from tessera.operators import columns, kmeans, postings, ranking, sampling
+from tessera.operators import columns, grouped_index, kmeans, postings, ranking, sampling
 from tessera.plans.posting_clusters import cluster_postings, vectors_from_postings
-from tessera.session import cut_lineage, local_frame
+from tessera.session import checkpoint_dir, cut_lineage, local_frame
 from tessera.sources import testdata as td
 from tessera.sources.articles import parse_article_lines
 from tessera.sources.postings import parse_posting_lines
+from tessera.sources.text import read_lines
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -42,6 +45,8 @@ SPREAD = td.ADAPTER_SPREAD
 PER_STRATUM = K // len(TAG_TERMS)
 OCCURRENCE_TERM = "the"
 PAIRS_PER_CHUNK = 3      # small, so that the tables' questions have several groups
+ROOT = math.isqrt(PAIRS_PER_CHUNK)
+PER_BLOCK = 40           # small, so that frequent terms have several blocks
 
 # the training-data subpackage and its pipeline are optional: without them the
 # other queries still work; an import error of anything else is not hidden
@@ -81,6 +86,25 @@ def q_rank_terms_from_index(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.rank_terms_from_index(index, DOC_TERMS)
 
 
+def q_grouped_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index by term, in bounded blocks; each block's articles written as text."""
+    blocks = grouped_index.grouped_index(td.articles(spark, sf), DOC_TERMS, per_block=PER_BLOCK)
+    return blocks.selectExpr(
+        "term", "block", "n", "array_join(transform(articles, a -> concat_ws(':', a.title, length(a.text), a.copies)), ';') AS articles")
+
+
+def q_rank_terms_from_grouped_index(spark: SparkSession, sf: str) -> DataFrame:
+    blocks = grouped_index.grouped_index(td.articles(spark, sf), DOC_TERMS, keep=("title",), per_block=PER_BLOCK)
+    return grouped_index.rank_terms_from_grouped_index(blocks, DOC_TERMS)
+
+
+def q_read_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of text files: the article dump, written below the checkpoint folder and read again."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    td.article_lines(td.articles(spark, sf)).write.text(folder)
+    return read_lines(spark, folder)
+
+
 # ---------------------------------------------------------------- postings --
 
 def q_parse_postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,6 +253,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_terms": q_rank_terms,
         "inverted_index": q_inverted_index,
         "rank_terms_from_index": q_rank_terms_from_index,
+        "grouped_index": q_grouped_index,
+        "rank_terms_from_grouped_index": q_rank_terms_from_grouped_index,
+        "read_lines": q_read_lines,
         "parse_postings": q_parse_postings,
         "questions": q_questions,
         "answers": q_answers,
@@ -469,6 +496,27 @@ WITH {terms}, {_ARTICLES}, {_MENTIONS},
 counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
 SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank""",
 
+        "grouped_index": f"""
+WITH {terms}, {_ARTICLES}, {_MENTIONS},
+entries AS (SELECT term, title, text, count(*) AS copies, md5(concat_ws('|', title, text)) AS h FROM mentions GROUP BY term, title, text),
+sized AS (SELECT *, sum(copies) OVER (PARTITION BY term) AS c FROM entries),
+bucketed AS (SELECT *, CAST(CASE WHEN c <= {PER_BLOCK} THEN 1 ELSE (2 * c + {PER_BLOCK} - 1) // {PER_BLOCK} END AS BIGINT) AS buckets FROM sized),
+dealt AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % buckets AS bucket FROM bucketed),
+placed AS (SELECT *, bucket + (row_number() OVER (PARTITION BY term, bucket ORDER BY h) - 1) // {PER_BLOCK} * buckets AS block FROM dealt)
+SELECT term, CAST(block AS BIGINT) AS block, CAST(sum(copies) AS BIGINT) AS n,
+       string_agg(concat_ws(':', title, length(text), copies), ';' ORDER BY h) AS articles
+FROM placed GROUP BY term, block""",
+
+        "rank_terms_from_grouped_index": f"""
+WITH {terms}, {_ARTICLES}, {_MENTIONS},
+counts AS (SELECT pos, term, count(*) AS n FROM mentions GROUP BY pos, term)
+SELECT {_RANK}, term, CAST(n AS BIGINT) AS n FROM counts ORDER BY rank""",
+
+        # a text file has a line wherever a text has a line break
+        "read_lines": f"""
+SELECT unnest(regexp_split_to_array('{td.ARTICLE_PREFIX}' || CAST(doc_id AS VARCHAR) || '</title><text>' || text
+  || '{td.ARTICLE_SUFFIX}', '\r\n|\r|\n')) AS value FROM documents""",
+
         "parse_postings": f"""
 WITH {_POSTINGS}, {_posting_lines()},
 fields AS (SELECT string_split(rtrim(value, ','), ',') AS f FROM lines)
@@ -485,17 +533,27 @@ SELECT q.id AS qid, {qcols}, {acols} FROM q JOIN a ON q.id = a.parent_id""",
         "pair_counts": f"""WITH {_POSTINGS}, {_QA}
 SELECT q.id AS qid, count(*) AS n_pairs FROM q JOIN a ON q.id = a.parent_id GROUP BY q.id""",
 
+        # cells of at most PAIRS_PER_CHUNK pairs: the side of fewer rows gives up to the root of it, the other what is left
         "grouped_postings": f"""WITH {_Q_A},
-pairs AS (
-  SELECT q.id AS qid, a.id AS a_id,
-         concat_ws('|', q.id, q.score, coalesce(q.tags, '-'), coalesce(q.accepted_answer, -1), coalesce(q.parent_id, -1)) AS qs,
-         concat_ws('|', a.id, a.score, coalesce(a.tags, '-'), coalesce(a.accepted_answer, -1), coalesce(a.parent_id, -1)) AS as_,
-         count(*) AS n
-  FROM q JOIN a ON q.id = a.parent_id GROUP BY ALL),
-sized AS (SELECT *, CAST(ceil(sum(n) OVER (PARTITION BY qid) / {PAIRS_PER_CHUNK}) AS BIGINT) AS chunks FROM pairs)
-SELECT qid, CAST('0x' || substr(md5(CAST(a_id AS VARCHAR)), 1, 8) AS BIGINT) % chunks AS chunk,
-       string_agg(concat_ws('>', qs, as_, n), ';' ORDER BY concat_ws('>', qs, as_, n)) AS pairs
-FROM sized GROUP BY 1, 2""",
+sides AS (SELECT true AS is_q, id AS qid, * FROM q UNION ALL SELECT false, parent_id, * FROM a),
+rows AS (
+  SELECT is_q, qid, id, concat_ws('|', id, score, coalesce(tags, '-'), coalesce(accepted_answer, -1), coalesce(parent_id, -1)) AS s, count(*) AS n,
+         md5(concat_ws(',', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _POSTING_COLS)})) AS h
+  FROM sides GROUP BY ALL),
+sized AS (
+  SELECT *, count(*) FILTER (WHERE is_q) OVER (PARTITION BY qid) AS nq, count(*) FILTER (WHERE NOT is_q) OVER (PARTITION BY qid) AS na FROM rows),
+bounds AS (
+  SELECT *, CASE WHEN nq <= na THEN least(nq, {ROOT}) ELSE {PAIRS_PER_CHUNK} // least(na, {ROOT}) END AS q,
+    CASE WHEN nq <= na THEN {PAIRS_PER_CHUNK} // least(nq, {ROOT}) ELSE least(na, {ROOT}) END AS a
+  FROM sized WHERE nq > 0 AND na > 0),
+side AS (SELECT *, CASE WHEN is_q THEN nq ELSE na END AS total, CASE WHEN is_q THEN q ELSE a END AS size FROM bounds),
+bucketed AS (
+  SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % CASE WHEN total <= size THEN 1 ELSE (2 * total + size - 1) // size END AS bucket,
+    CASE WHEN total <= size THEN 1 ELSE (2 * total + size - 1) // size END AS buckets FROM side),
+cells AS (SELECT *, bucket + (row_number() OVER (PARTITION BY qid, is_q, bucket ORDER BY h) - 1) // size * buckets AS cell FROM bucketed)
+SELECT x.qid, CAST(x.cell * 2147483648 + y.cell AS BIGINT) AS chunk,
+  string_agg(concat_ws('>', x.s, y.s, x.n * y.n), ';' ORDER BY concat_ws('>', x.s, y.s, x.n * y.n)) AS pairs
+FROM cells x JOIN cells y ON x.qid = y.qid AND x.is_q AND NOT y.is_q GROUP BY 1, 2""",
 
         "scored_postings": f"WITH {_POSTINGS}, {_SCORED} SELECT * FROM scored",
 
