@@ -42,6 +42,7 @@ DEPTH = 8
 LEAST = 4
 NEIGHBOURS = 2          # closest neighbours of a set that are tried first
 REGION = 500
+SHINGLES = 8000         # of a set on average; regions of longer ones are dealt into blocks
 SEED = 20
 AGREE = 0.6             # share of agreeing minhashes below which a pair is no candidate
 CHUNK = 2048            # shingles hashed at a time
@@ -178,36 +179,44 @@ def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.withColumn("agree", F.pandas_udf(_agreeing, "double")("s_u", "s_v")).where(F.col("agree") >= AGREE).select("u", "v")
 
 
-def _regions(sets: DataFrame, comps: DataFrame, limit: int) -> DataFrame | None:
-    """``(key, cell, own, sid, comp, n, sig)``: regions with several components, none above ``limit`` sets.
+def _placed(sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """``(sid, comp, n, tree, part)``: every set with its component in every order; ``part`` is its place there."""
+    named = sets.join(comps, "sid", "left").select(
+        "sid", F.coalesce("comp", "sid").alias("comp"), "n", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    return named.select("sid", "comp", "n", "tree", F.expr(f"substring(sig, tree * {WIDTH} + 1, {WIDTH})").alias("part"))
 
-    A region that is too large is replaced by the deeper ones within it, at the
-    last hash by pairs of blocks (``cell``); ``own`` tells the blocks of a cell apart.
+
+def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The regions of several components as ``(key, cell, own, sid, comp, n, sig)``, and the rows they have.
+
+    A region of more than ``limit`` sets is replaced by the deeper ones within
+    it.  One that is still too large at the last hash, or whose sets have more
+    than ``limit * SHINGLES`` shingles, is dealt into blocks; a cell holds two
+    of them, which ``own`` tells apart.
     """
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    named = sets.join(comps, "sid", "left").select("sid", "sig", F.coalesce("comp", "sid").alias("comp"), tree.alias("tree"))
-    rows = named.select("sid", "comp", "tree", F.expr(f"substring(sig, tree * {WIDTH} + 1, {WIDTH})").alias("part"))
-    found = None
+    found, kept = None, None
     for depth in range(LEAST, DEPTH + 1):
         keyed = rows.withColumn("key", F.xxhash64("tree", F.lit(depth), F.expr(f"substring(part, 1, {4 * depth})")))
-        stats = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("one"), F.max("comp").alias("other"))
-        stats = stats.where("one <> other").select(F.col("key").alias("k"), "size")
+        stats = keyed.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("one"), F.max("comp").alias("other"))
+        stats = stats.where("one <> other").select(F.col("key").alias("k"), "size", "weight")
         keyed = cut(keyed.join(stats, F.col("key") == F.col("k")).drop("k"))
+        kept = keyed if kept is None else kept
         small = keyed if depth == DEPTH else keyed.where(F.col("size") <= limit)
-        small = small.select("key", "size", "sid", "comp")
+        small = small.select("key", "size", "weight", "sid", "comp")
         found = small if found is None else found.unionByName(small)
         if depth == DEPTH:
             break
-        rows = keyed.where(F.col("size") > limit).select("sid", "comp", "tree", "part")
+        rows = keyed.where(F.col("size") > limit).select("sid", "comp", "n", "tree", "part")
         if rows.isEmpty():
             break
-    # the cells of a region's grid: a row's block with every other one
-    blocks = F.ceil(F.col("size") / limit).cast("int")
+    blocks = F.greatest(F.ceil(F.col("size") / limit), F.ceil(F.col("weight") / (limit * SHINGLES)))
+    blocks = F.least(blocks, F.col("size")).cast("int")
     dealt = found.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
     marks = sets.select("sid", "n", "sig")
-    return dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(marks, "sid")
+    return (dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(marks, "sid"),
+            kept.select("sid", "n", "tree", "part"))
 
 
 def _by_runs(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], schema: str) -> DataFrame:
@@ -244,39 +253,41 @@ def _by_runs(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str,
     return ordered.mapInArrow(run, schema)
 
 
-def _apart(regions: DataFrame, best: bool) -> DataFrame:
-    """``(u, v)``: pairs of a region in different components that may be links; the ``best`` of two components or all."""
+def _apart(cells: DataFrame, best: bool) -> DataFrame:
+    """Pairs of a cell in different components that may be links, each in one cell.
+
+    ``(u, v, agree, a, b, key, cell)``: the sets, their share of equal minhashes
+    and their components; the ``best`` pair of two components or all.
+    """
+    names = ("u", "v", "agree", "a", "b", "key", "cell")
+
     def pairs(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        us, vs, agreed, cu, cv = [], [], [], [], []
+        out: list[tuple[np.ndarray, ...]] = []
         two = c["own"].min() != c["own"].max()
         for i in range(len(c["sid"]) - 1):
-            rest = slice(i + 1, None)
-            n, m = c["n"][i], c["n"][rest]
-            fits = (c["comp"][rest] != c["comp"][i]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * PERCENT)
+            n, m, other = c["n"][i], c["n"][i + 1:], c["comp"][i + 1:]
+            fits = (other != c["comp"][i]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * PERCENT)
             if two:
-                fits &= c["own"][rest] != c["own"][i]
+                fits &= c["own"][i + 1:] != c["own"][i]
             at = np.flatnonzero(fits) + i + 1
             if not len(at):
                 continue
             agree = (c["sig"][at] == c["sig"][i]).mean(axis=1)
             at, agree = at[agree >= AGREE], agree[agree >= AGREE]
-            us.append(np.full(len(at), c["sid"][i]))
-            vs.append(c["sid"][at])
-            agreed.append(agree)
-            cu.append(np.minimum(c["comp"][at], c["comp"][i]))
-            cv.append(np.maximum(c["comp"][at], c["comp"][i]))
-        if not us:
-            none = np.zeros(0, np.int64)
-            return {"u": none, "v": none}
-        u, v, agree, a, b = map(np.concatenate, (us, vs, agreed, cu, cv))
+            u, v, a, b = c["sid"][i], c["sid"][at], c["comp"][i], c["comp"][at]
+            out.append((np.minimum(u, v), np.maximum(u, v), agree, np.minimum(a, b), np.maximum(a, b)))
+        if not out:
+            return {k: np.zeros(0, np.float64 if k == "agree" else np.int64) for k in names}
+        u, v, agree, a, b = map(np.concatenate, zip(*out))
         if best and len(u):
             order = np.lexsort((v, u, -agree, b, a))
-            a, b = a[order], b[order]
+            u, v, agree, a, b = (x[order] for x in (u, v, agree, a, b))
             first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            u, v = u[order][first], v[order][first]
-        return {"u": np.minimum(u, v), "v": np.maximum(u, v)}
+            u, v, agree, a, b = (x[first] for x in (u, v, agree, a, b))
+        return dict(zip(names, (u, v, agree, a, b, np.full(len(u), c["key"][0]), np.full(len(u), c["cell"][0]))))
 
-    return _by_runs(regions, pairs, "u long, v long").distinct()
+    found = _by_runs(cells, pairs, "u long, v long, agree double, a long, b long, key long, cell long")
+    return found.groupBy("u", "v").agg(F.min(F.struct("key", "cell", "agree", "a", "b")).alias("x")).select("u", "v", "x.*")
 
 
 def _shingled(rows: DataFrame, shingle: int) -> DataFrame:
@@ -286,14 +297,15 @@ def _shingled(rows: DataFrame, shingle: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(at, TEXTS)
-                found = [shingle_hashes(t or b"", memo, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
+                # sorted as the signed numbers they are stored as
+                found = [np.sort(shingle_hashes(t or b"", memo, shingle).view(np.int64)) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["sid", "shingles"])
 
     return rows.mapInArrow(run, "sid long, shingles array<long>").dropDuplicates(["sid"])
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """The pairs that are links on their full sets."""
+    """The pairs that are links on their full sets; a set has few pairs here."""
     a = full.select(F.col("sid").alias("u"), F.col("shingles").alias("s_u"))
     b = full.select(F.col("sid").alias("v"), F.col("shingles").alias("s_v"))
     both = F.size(F.array_intersect("s_u", "s_v")).cast("long")
@@ -301,6 +313,47 @@ def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return whole.where(F.col("both") * 100 >= (F.col("sizes") - F.col("both")) * PERCENT).select("u", "v")
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are a link."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return both * 100 >= (len(a) + len(b) - both) * PERCENT
+
+
+def _confirmed_in_cells(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """Links among ``pairs(u, v, agree, a, b, key, cell)``: enough of a cell's to join the components they join.
+
+    A cell gets each of its sets once, however many pairs it is in.  Pairs are
+    tried from the likeliest on; one whose components are joined already tells
+    nothing new and is left out.
+    """
+    members = pairs.select(F.col("key").alias("key"), F.col("cell").alias("cell"), F.explode(F.array("u", "v")).alias("sid")).distinct()
+    members = members.join(full, "sid").select("key", "cell", "sid", "shingles")
+
+    def run(tried: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        shingles = {s: x for s, x in zip(sets["sid"].tolist(), sets["shingles"])}
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for p in tried.sort_values(["agree", "u", "v"], ascending=[False, True, True]).itertuples():
+            a, b = root(p.a), root(p.b)
+            if a != b and _linked(shingles[p.u], shingles[p.v]):
+                parent[a] = b
+                out.append((p.u, p.v))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    # both sides come from the same rows: names of their own
+    tried = pairs.select(*[F.col(c).alias(c) for c in ("u", "v", "agree", "a", "b", "key", "cell")])
+    return tried.groupBy("key", "cell").cogroup(members.groupBy("key", "cell")).applyInPandas(run, "u long, v long")
+
+
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     """``(sid, comp)`` after more links; ``comps`` lacks sets that are alone."""
     named = comps.withColumnRenamed("sid", "s")
@@ -351,13 +404,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     comps = cut(sets.select("sid", F.col("sid").alias("comp")).limit(0))
     pairs = cut(_likely(_neighbours(sets.select("sid", "sig")), sets))
-    for best in (True, False, None):
-        if not pairs.isEmpty():
-            links = cut(_confirmed(pairs, with_texts(pairs)))
-            comps = _merged(comps, links)
-        if best is None:
+    if not pairs.isEmpty():
+        comps = _merged(comps, cut(_confirmed(pairs, with_texts(pairs))))
+    rows = _placed(sets, comps)
+    for best in (True, False):
+        cells, kept = _cells(rows, sets, region)
+        pairs = cut(_apart(cells, best))
+        if pairs.isEmpty():
             break
-        pairs = cut(_apart(_regions(sets, comps, region), best))
+        comps = _merged(comps, cut(_confirmed_in_cells(pairs, with_texts(pairs))))
+        # only regions that had several components can still have some
+        rows = kept.join(comps, "sid", "left").select("sid", F.coalesce("comp", "sid").alias("comp"), "n", "tree", "part")
     grouped = sets.join(comps, "sid", "left").select("print", F.col("row.id").alias("least"), F.coalesce("comp", "sid").alias("comp"))
     names = grouped.groupBy("comp").agg(F.min("least").alias("component"))
     named = grouped.join(names, "comp").select("print", "component")
