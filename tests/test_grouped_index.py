@@ -1,0 +1,122 @@
+"""Posting lists in bounded blocks against plain Python bags."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from tessera.operators import grouped_index as G
+from tessera.operators import ranking
+from tessera.operators.ranking import INLINE_TERMS_MAX
+
+TERMS = ["salt", "rice", "basil", "cumin"]
+
+
+def kitchen(n, seed=3):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = ["pan"] + (["salt"] if i % 10 else []) + (["rice"] * 2 if i % 3 == 0 else []) + (["basil,"] if i % 2 else [])
+        rnd.shuffle(words)
+        rows.append((f"recipe {i}", " ".join(words)))
+    return rows
+
+
+def bags(rows, terms):
+    out = {t: Counter() for t in terms}
+    for title, text in rows:
+        for t in set((text or "").split(" ")) & set(terms):
+            out[t][title, text] += 1
+    return {t: c for t, c in out.items() if c}
+
+
+def as_bags(blocks):
+    out = {}
+    for b in blocks:
+        assert b["n"] == sum(a["copies"] for a in b["articles"])
+        for a in b["articles"]:
+            out.setdefault(b["term"], Counter())[a["title"], a["text"]] += a["copies"]
+    return out
+
+
+@pytest.mark.parametrize("bound", [1, 7, 1000])
+def test_every_mention_is_in_one_bounded_block(spark, articles, bound):
+    rows = kitchen(300)
+    rows += rows[:40] + [rows[1]] * 100 + [("no term", "cumin."), ("", "rice"), (None, "salt rice")]
+    blocks = G.grouped_index(articles(rows).repartition(5), TERMS, per_block=bound).collect()
+    assert as_bags(blocks) == bags(rows, TERMS)
+    assert max(len(b["articles"]) for b in blocks) <= bound
+    assert len({(b["term"], b["block"]) for b in blocks}) == len(blocks)
+    assert {b["term"] for b in blocks} == {"salt", "rice"}      # 'basil,' and 'cumin.' are other tokens
+    if bound == 1000:
+        assert [b["block"] for b in blocks] == [0, 0]
+
+
+def test_a_term_in_all_articles_has_many_blocks(spark, articles):
+    rows = [(f"t{i}", "salt everywhere") for i in range(2000)]
+    blocks = G.grouped_index(articles(rows).repartition(6), TERMS, per_block=50).collect()
+    assert 40 <= len(blocks) <= 160 and max(len(b["articles"]) for b in blocks) <= 50
+    # the block of an article depends on its content only
+    again = G.grouped_index(articles(rows[::-1]).repartition(2), TERMS, per_block=50).collect()
+    place = lambda bs: {a["title"]: b["block"] for b in bs for a in b["articles"]}
+    assert place(again) == place(blocks)
+
+
+def test_copies_of_one_article_are_one_entry(spark, articles):
+    rows = [("same", "rice and rice")] * 500 + [("other", "rice")]
+    (block,) = G.grouped_index(articles(rows).repartition(3), TERMS, per_block=3).collect()
+    assert (block["n"], sorted((a["title"], a["copies"]) for a in block["articles"])) == (501, [("other", 1), ("same", 500)])
+
+
+def test_titles_only_and_long_term_lists_give_the_same_bags(spark, articles):
+    rows = kitchen(120) + [("recipe 3", "salt again"), ("recipe 4", None)]
+    frame = articles(rows)
+    titles = Counter((t, title) for t, c in bags(rows, TERMS).items() for (title, _), n in c.items() for _ in range(n))
+    long = TERMS + [f"w{i}" for i in range(INLINE_TERMS_MAX)]
+    for terms in (TERMS, long):
+        got = Counter()
+        for b in G.grouped_index(frame, terms, keep=["title"], per_block=10).collect():
+            assert len(b["articles"]) <= 10
+            for a in b["articles"]:
+                got[b["term"], a["title"]] += a["copies"]
+        assert got == titles
+    assert as_bags(G.grouped_index(frame, long, per_block=10).collect()) == bags(rows, TERMS)
+
+
+def test_merge_keeps_all_blocks_and_their_bound(spark, articles):
+    old, new = kitchen(100), kitchen(150, 8)[90:] + [("x", "cumin seed")]
+    first, second = (G.grouped_index(articles(r), TERMS, per_block=9) for r in (old, new))
+    merged = G.merge_grouped_index(first, second).collect()
+    assert as_bags(merged) == bags(old + new, TERMS)
+    assert len(merged) == first.count() + second.count() == len({(b["term"], b["block"]) for b in merged})
+    empty = G.grouped_index(articles([]), TERMS)
+    assert as_bags(G.merge_grouped_index(empty, second).collect()) == bags(new, TERMS)
+    assert as_bags(G.merge_grouped_index(first, empty).collect()) == bags(old, TERMS)
+
+
+def test_dumps_are_stored_and_replaced_apart(spark, articles, tmp_path):
+    path = str(tmp_path / "index")
+    terms = ["salt", "rice", "2024"]
+    old, new = kitchen(60) + [("y", "2024 salt")], kitchen(30, 9)
+    G.write_grouped_index(G.grouped_index(articles(old), terms, per_block=8), path, "2024-01-05")
+    for _ in range(2):      # written again after a failure
+        G.write_grouped_index(G.grouped_index(articles(new), terms, per_block=8), path, "007")
+    back = G.read_grouped_index(spark, path)
+    rows = back.collect()
+    assert {r["dump"] for r in rows} == {"2024-01-05", "007"} and {r["term"] for r in rows} == set(terms)
+    assert as_bags(rows) == bags(old + new, terms)
+    ranked = [(r["term"], r["n"]) for r in G.rank_terms_from_grouped_index(back, terms).collect()]
+    flat = ranking.rank_terms_combined(articles(old + new), terms).collect()
+    assert ranked == [(r["term"], r["n"]) for r in flat]
+
+
+@pytest.mark.parametrize("bad", [{"per_block": 0}, {"keep": []}, {"terms": ["a", "a"]}])
+def test_bad_parameters(articles, bad):
+    with pytest.raises(ValueError):
+        G.grouped_index(articles([]), **{"terms": TERMS, **bad})
+
+
+def test_bad_dump_names(articles, tmp_path):
+    for name in ("", "a/b"):
+        with pytest.raises(ValueError):
+            G.write_grouped_index(articles([]), str(tmp_path), name)

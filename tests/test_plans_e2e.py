@@ -101,20 +101,17 @@ def test_unknown_tag_fails_sampling_unless_dropped(spark):
 
 def test_article_file_rankings(spark):
     folder = tempfile.mkdtemp(prefix="tessera-dump-")
-    arts = [("1", "my notes on Groovy scripts, then a week of Erlang"),
-            ("2", "we port Scala code to Java step by step"),
-            ("3", "a Scala course for beginners"),
-            ("4", "the parser moved from Haskell to Java last year"),
-            ("5", "build files for Java projects")]
+    arts = [("a", "PHP"), ("b", "CSS before PHP, after PHP"), ("c", "ruby (Ruby) Ruby Ruby"), ("d", "PHP  CSS"), ("e", ""),
+            ("g", "x Ruby"), ("h", "CSS y CSS PHP")]
     with open(os.path.join(folder, "dump.txt"), "w", encoding="utf-8") as f:
         for t, x in arts:
             f.write(td.ARTICLE_PREFIX + t + "</title><text>" + x + td.ARTICLE_SUFFIX + "\n")
     r = rank_article_file(spark, folder)
     per_term = [(x["term"], x["n"]) for x in r.per_term.collect()]
-    assert per_term[:3] == [("Java", 3), ("Scala", 2), ("Haskell", 1)]
+    assert per_term[:4] == [("PHP", 4), ("CSS", 3), ("Ruby", 2), ("JavaScript", 0)]
     assert len(per_term) == len(LANGS)
-    assert [(x["term"], x["n"]) for x in r.combined.collect()] == per_term[:4]
-    assert [(x["term"], x["n"]) for x in r.from_index.collect()] == per_term[:4]
+    assert [(x["term"], x["n"]) for x in r.combined.collect()] == per_term[:3]
+    assert [(x["term"], x["n"]) for x in r.from_index.collect()] == per_term[:3]
 
 
 def test_command_lines(spark, capsys):

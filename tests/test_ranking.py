@@ -4,48 +4,45 @@ from tessera.fixed import LANGS
 from tessera.operators import ranking
 from tessera.plans.article_ranking import rank_articles
 
-# a term with a comma behind it is another token; several terms in one text
-THREE = [
-    ("1", "my notes on Groovy scripts, then a week of Erlang"),
-    ("2", "we port Scala code to Java step by step"),
-    ("3", "a Scala course for beginners"),
-]
-FIVE = THREE + [
-    ("4", "the parser moved from Haskell to Java last year"),
-    ("5", "build files for Java projects"),
+# own articles: terms at the start, in the middle and at the end of a text, repeated,
+# glued to marks, in another case, in an empty text and in a missing one
+TERMS = ["Perl", "CSS", "Ruby", "PHP"]
+SHELF = [
+    ("a", "PHP"),
+    ("b", "CSS before PHP, after PHP"),
+    ("c", "ruby (Ruby) Ruby Ruby"),
+    ("d", "PHP  CSS"),
+    ("e", ""),
+    ("f", "CSS\tPHP"),
+    ("g", "x Ruby"),
+    ("h", "CSS y CSS PHP"),
+    ("i", None),
 ]
+COUNTS = {"PHP": 4, "CSS": 3, "Ruby": 2, "Perl": 0}
 
 
 def pairs(df):
     return [(r["term"], r["n"]) for r in df.orderBy("rank").collect()]
 
 
-def test_occurrences_one_article(articles):
-    df = articles([("island", "Java Sumatra")])
-    assert ranking.occurrences_of_term(df, "Java") == 1
+@pytest.mark.parametrize("term", TERMS)
+def test_occurrences_of_each_term(articles, term):
+    assert ranking.occurrences_of_term(articles(SHELF), term) == COUNTS[term]
 
 
-def test_rank_terms_two_articles(articles):
-    df = articles([("1", "notes on Scala"), ("2", "from Java, by way of Scala to Java again")])
-    assert pairs(ranking.rank_terms(df, ["Scala", "Java"])) == [("Scala", 2), ("Java", 1)]
+def test_rankings_of_the_shelf(articles):
+    df = articles(SHELF)
+    ranked = sorted(COUNTS.items(), key=lambda c: -c[1])
+    assert pairs(ranking.rank_terms(df, TERMS)) == ranked
+    assert pairs(ranking.rank_terms_combined(df, TERMS)) == ranked[:3]
+    assert pairs(ranking.rank_terms_from_index(ranking.inverted_index(df, TERMS), TERMS)) == ranked[:3]
 
 
-def test_index_has_two_keys(articles):
-    idx = ranking.inverted_index(articles(THREE), ["Scala", "Java"])
-    assert ranking.index_term_count(idx) == 2
+def test_index_rows(articles):
+    idx = ranking.inverted_index(articles(SHELF), TERMS)
+    assert ranking.index_term_count(idx) == 3
     assert sorted((r["term"], r["title"]) for r in idx.collect()) == [
-        ("Java", "2"), ("Scala", "2"), ("Scala", "3")]
-
-
-def test_rank_from_index(articles):
-    idx = ranking.inverted_index(articles(THREE), ["Scala", "Java"])
-    assert pairs(ranking.rank_terms_from_index(idx))[0] == ("Scala", 2)
-
-
-def test_rank_combined_five(articles):
-    got = pairs(ranking.rank_terms_combined(articles(FIVE),
-                                            ["Scala", "Java", "Groovy", "Haskell", "Erlang"]))
-    assert got == [("Java", 3), ("Scala", 2), ("Groovy", 1), ("Haskell", 1), ("Erlang", 1)]
+        ("CSS", "b"), ("CSS", "d"), ("CSS", "h"), ("PHP", "a"), ("PHP", "b"), ("PHP", "d"), ("PHP", "h"), ("Ruby", "c"), ("Ruby", "g")]
 
 
 def test_mention_is_exact_token(articles):
@@ -59,12 +56,11 @@ def test_article_counts_once(articles):
 
 
 def test_absent_term_zero_only_in_per_term_ranking(articles):
-    df = articles(THREE)
-    terms = ["Scala", "Java", "Cobol"]
-    assert pairs(ranking.rank_terms(df, terms)) == [("Scala", 2), ("Java", 1), ("Cobol", 0)]
-    assert "Cobol" not in dict(pairs(ranking.rank_terms_combined(df, terms)))
-    idx = ranking.inverted_index(df, terms)
-    assert "Cobol" not in dict(pairs(ranking.rank_terms_from_index(idx, terms)))
+    df = articles(SHELF)
+    assert dict(pairs(ranking.rank_terms(df, TERMS)))["Perl"] == 0
+    assert "Perl" not in dict(pairs(ranking.rank_terms_combined(df, TERMS)))
+    idx = ranking.inverted_index(df, TERMS)
+    assert "Perl" not in dict(pairs(ranking.rank_terms_from_index(idx, TERMS)))
 
 
 def test_ties_follow_term_order(articles):
@@ -75,41 +71,41 @@ def test_ties_follow_term_order(articles):
 @pytest.mark.parametrize("bad", [["Java", "Java"], ["Java", ""], []])
 def test_bad_term_lists_rejected(articles, bad):
     with pytest.raises(ValueError):
-        ranking.rank_terms(articles(THREE), bad)
+        ranking.rank_terms(articles(SHELF), bad)
 
 
 def test_three_strategies_agree(articles):
-    r = rank_articles(articles(FIVE), LANGS)
+    r = rank_articles(articles(SHELF), LANGS)
     per_term = [p for p in pairs(r.per_term) if p[1] > 0]
     assert per_term == pairs(r.from_index) == pairs(r.combined)
     assert len(pairs(r.per_term)) == len(LANGS)
 
 
 def test_term_occurrences_frame(articles):
-    row = ranking.term_occurrences(articles(FIVE), "Java").collect()
-    assert [(r["term"], r["n"]) for r in row] == [("Java", 3)]
+    row = ranking.term_occurrences(articles(SHELF), "PHP").collect()
+    assert [(r["term"], r["n"]) for r in row] == [("PHP", 4)]
 
 
 def test_write_inverted_index_partitioned_by_term(spark, articles):
     import os
     import tempfile
-    idx = ranking.inverted_index(articles(FIVE), ["Scala", "Java", "Cobol"])
+    idx = ranking.inverted_index(articles(SHELF), ["Ruby", "CSS", "Perl"])
     out = os.path.join(tempfile.mkdtemp(prefix="tessera-index-"), "index")
     ranking.write_inverted_index(idx, out, files_per_term=None)
-    assert sorted(d for d in os.listdir(out) if d.startswith("term=")) == ["term=Java", "term=Scala"]
+    assert sorted(d for d in os.listdir(out) if d.startswith("term=")) == ["term=CSS", "term=Ruby"]
     back = spark.read.parquet(out)
-    java = back.where("term = 'Java'")
-    assert "PartitionFilters: [isnotnull(term" in java._sc._jvm.PythonSQLUtils.explainString(
-        java._jdf.queryExecution(), "formatted")
-    assert sorted(r["title"] for r in java.collect()) == ["2", "4", "5"]
-    assert pairs(ranking.rank_terms_from_index(back, ["Scala", "Java"])) == [("Java", 3), ("Scala", 2)]
+    css = back.where("term = 'CSS'")
+    assert "PartitionFilters: [isnotnull(term" in css._sc._jvm.PythonSQLUtils.explainString(
+        css._jdf.queryExecution(), "formatted")
+    assert sorted(r["title"] for r in css.collect()) == ["b", "d", "h"]
+    assert pairs(ranking.rank_terms_from_index(back, ["Ruby", "CSS"])) == [("CSS", 3), ("Ruby", 2)]
 
 
 def test_long_term_lists_use_a_join_with_the_same_result(spark, articles):
-    df = articles(FIVE)
-    many = ["Java", "Scala", "Erlang"] + [f"t{i}" for i in range(ranking.INLINE_TERMS_MAX)]
+    df = articles(SHELF)
+    many = ["CSS", "PHP", "Ruby"] + [f"t{i}" for i in range(ranking.INLINE_TERMS_MAX)]
     got = pairs(ranking.rank_terms(df, many))
-    assert got[:3] == [("Java", 3), ("Scala", 2), ("Erlang", 1)]
+    assert got[:3] == [("PHP", 4), ("CSS", 3), ("Ruby", 2)]
     assert all(n == 0 for _, n in got[3:]) and len(got) == len(many)
     rows = lambda idx: sorted((r["term"], r["title"]) for r in idx.collect())
     assert rows(ranking.inverted_index(df, many)) == rows(ranking.inverted_index(df, many[:3]))
