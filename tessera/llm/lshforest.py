@@ -12,8 +12,8 @@ is searched for pairs that are not in one component yet.  A region of more than
 where the order has no hash left it is dealt into a grid of blocks.  A region of
 one component is done, so groups of thousands of near copies cost no pairs.
 Signatures discard pairs that agree too rarely to be links (a link agrees less
-once in 10^8 times), all others are confirmed on their full sets: first the best
-pair of any two components, then all that are still apart.
+once in 10^8 times); the sets of all others meet in their cell in full, and
+pairs are confirmed there until no two components are left that a link joins.
 
 A link of Jaccard 0.8 shares no region of 4 hashes in any of 16 orders with a
 probability of 0.0002, a closer one less; this is the only chance to miss one,
@@ -186,21 +186,20 @@ def _placed(sets: DataFrame, comps: DataFrame) -> DataFrame:
     return named.select("sid", "comp", "n", "tree", F.expr(f"substring(sig, tree * {WIDTH} + 1, {WIDTH})").alias("part"))
 
 
-def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """The regions of several components as ``(key, cell, own, sid, comp, n, sig)``, and the rows they have.
+def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
+    """The regions of several components as ``(key, cell, own, sid, comp, n, sig)``.
 
     A region of more than ``limit`` sets is replaced by the deeper ones within
     it.  One that is still too large at the last hash, or whose sets have more
     than ``limit * SHINGLES`` shingles, is dealt into blocks; a cell holds two
     of them, which ``own`` tells apart.
     """
-    found, kept = None, None
+    found = None
     for depth in range(LEAST, DEPTH + 1):
         keyed = rows.withColumn("key", F.xxhash64("tree", F.lit(depth), F.expr(f"substring(part, 1, {4 * depth})")))
         stats = keyed.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("one"), F.max("comp").alias("other"))
         stats = stats.where("one <> other").select(F.col("key").alias("k"), "size", "weight")
         keyed = cut(keyed.join(stats, F.col("key") == F.col("k")).drop("k"))
-        kept = keyed if kept is None else kept
         small = keyed if depth == DEPTH else keyed.where(F.col("size") <= limit)
         small = small.select("key", "size", "weight", "sid", "comp")
         found = small if found is None else found.unionByName(small)
@@ -215,8 +214,7 @@ def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> tuple[DataFrame, Dat
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
     marks = sets.select("sid", "n", "sig")
-    return (dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(marks, "sid"),
-            kept.select("sid", "n", "tree", "part"))
+    return dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(marks, "sid")
 
 
 def _by_runs(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], schema: str) -> DataFrame:
@@ -253,41 +251,30 @@ def _by_runs(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str,
     return ordered.mapInArrow(run, schema)
 
 
-def _apart(cells: DataFrame, best: bool) -> DataFrame:
-    """Pairs of a cell in different components that may be links, each in one cell.
+def _likely_after(c: dict[str, np.ndarray], i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions behind ``i`` in a cell whose sets may be links to its set across components, and their agreement."""
+    n, m = c["n"][i], c["n"][i + 1:]
+    fits = (c["comp"][i + 1:] != c["comp"][i]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * PERCENT)
+    if c["own"].min() != c["own"].max():
+        fits &= c["own"][i + 1:] != c["own"][i]
+    at = np.flatnonzero(fits) + i + 1
+    agree = (c["sig"][at] == c["sig"][i]).mean(axis=1) if len(at) else np.zeros(0)
+    return at[agree >= AGREE], agree[agree >= AGREE]
 
-    ``(u, v, agree, a, b, key, cell)``: the sets, their share of equal minhashes
-    and their components; the ``best`` pair of two components or all.
-    """
-    names = ("u", "v", "agree", "a", "b", "key", "cell")
-
-    def pairs(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        out: list[tuple[np.ndarray, ...]] = []
-        two = c["own"].min() != c["own"].max()
-        for i in range(len(c["sid"]) - 1):
-            n, m, other = c["n"][i], c["n"][i + 1:], c["comp"][i + 1:]
-            fits = (other != c["comp"][i]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * PERCENT)
-            if two:
-                fits &= c["own"][i + 1:] != c["own"][i]
-            at = np.flatnonzero(fits) + i + 1
-            if not len(at):
-                continue
-            agree = (c["sig"][at] == c["sig"][i]).mean(axis=1)
-            at, agree = at[agree >= AGREE], agree[agree >= AGREE]
-            u, v, a, b = c["sid"][i], c["sid"][at], c["comp"][i], c["comp"][at]
-            out.append((np.minimum(u, v), np.maximum(u, v), agree, np.minimum(a, b), np.maximum(a, b)))
-        if not out:
-            return {k: np.zeros(0, np.float64 if k == "agree" else np.int64) for k in names}
-        u, v, agree, a, b = map(np.concatenate, zip(*out))
-        if best and len(u):
-            order = np.lexsort((v, u, -agree, b, a))
-            u, v, agree, a, b = (x[order] for x in (u, v, agree, a, b))
-            first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            u, v, agree, a, b = (x[first] for x in (u, v, agree, a, b))
-        return dict(zip(names, (u, v, agree, a, b, np.full(len(u), c["key"][0]), np.full(len(u), c["cell"][0]))))
-
-    found = _by_runs(cells, pairs, "u long, v long, agree double, a long, b long, key long, cell long")
-    return found.groupBy("u", "v").agg(F.min(F.struct("key", "cell", "agree", "a", "b")).alias("x")).select("u", "v", "x.*")
+
+def _involved(cells: DataFrame) -> DataFrame:
+    """``(key, cell, own, sid, comp)``: the sets that may have a link to another component of their cell."""
+    names = ("key", "cell", "own", "sid", "comp")
+
+    def run(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        used = np.zeros(len(c["sid"]), bool)
+        for i in range(len(used) - 1):
+            at, _ = _likely_after(c, i)
+            used[at] = True
+            used[i] |= len(at) > 0
+        return {k: c[k][used] for k in names}
+
+    return _by_runs(cells, run, "key long, cell long, own int, sid long, comp long")
 
 
 def _shingled(rows: DataFrame, shingle: int) -> DataFrame:
@@ -322,18 +309,24 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     return both * 100 >= (len(a) + len(b) - both) * PERCENT
 
 
-def _confirmed_in_cells(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """Links among ``pairs(u, v, agree, a, b, key, cell)``: enough of a cell's to join the components they join.
+def _confirmed_in_cells(involved: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+    """Links ``(u, v)`` of each cell: enough to join all components that links join there.
 
-    A cell gets each of its sets once, however many pairs it is in.  Pairs are
-    tried from the likeliest on; one whose components are joined already tells
-    nothing new and is left out.
+    A cell gets each of its sets once, however many pairs it is in, and no pair
+    leaves it unless it is a link.  Pairs are tried from the likeliest on; one
+    whose components are joined already tells nothing new and is left out.
     """
-    members = pairs.select(F.col("key").alias("key"), F.col("cell").alias("cell"), F.explode(F.array("u", "v")).alias("sid")).distinct()
-    members = members.join(full, "sid").select("key", "cell", "sid", "shingles")
-
-    def run(tried: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-        shingles = {s: x for s, x in zip(sets["sid"].tolist(), sets["shingles"])}
+    marks = sets.select("sid", "n", "sig").join(full, "sid")
+    members = involved.join(marks, "sid")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("sid")
+        c = {k: group[k].to_numpy() for k in ("own", "sid", "comp", "n")}
+        c["sig"] = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(len(group), -1)
+        shingles = group["shingles"].tolist()
+        pairs = [(i, *_likely_after(c, i)) for i in range(len(group) - 1)]
+        left = np.concatenate([np.full(len(at), i) for i, at, _ in pairs] or [np.zeros(0, np.int64)])
+        right, agree = (np.concatenate([p[k] for p in pairs] or [np.zeros(0)]) for k in (1, 2))
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -342,16 +335,16 @@ def _confirmed_in_cells(pairs: DataFrame, full: DataFrame) -> DataFrame:
             return x
 
         out = []
-        for p in tried.sort_values(["agree", "u", "v"], ascending=[False, True, True]).itertuples():
-            a, b = root(p.a), root(p.b)
-            if a != b and _linked(shingles[p.u], shingles[p.v]):
+        comps, sids = c["comp"].tolist(), c["sid"].tolist()
+        for k in np.argsort(-agree, kind="stable").tolist():
+            i, j = int(left[k]), int(right[k])
+            a, b = root(comps[i]), root(comps[j])
+            if a != b and _linked(shingles[i], shingles[j]):
                 parent[a] = b
-                out.append((p.u, p.v))
+                out.append((min(sids[i], sids[j]), max(sids[i], sids[j])))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    # both sides come from the same rows: names of their own
-    tried = pairs.select(*[F.col(c).alias(c) for c in ("u", "v", "agree", "a", "b", "key", "cell")])
-    return tried.groupBy("key", "cell").cogroup(members.groupBy("key", "cell")).applyInPandas(run, "u long, v long")
+    return members.groupBy("key", "cell").applyInPandas(run, "u long, v long").distinct()
 
 
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -386,10 +379,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     full: DataFrame | None = None
 
-    def with_texts(pairs: DataFrame) -> DataFrame:
-        """All sets of the pairs in full; texts are read again only for sets not seen before."""
+    def with_texts(sids: DataFrame) -> DataFrame:
+        """The sets in full; texts are read again only for sets not seen before."""
         nonlocal full
-        needed = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+        needed = sids.distinct()
         if full is not None:
             needed = needed.join(full.select("sid"), "sid", "left_anti")
         wanted = cut(needed.join(sets, "sid").select("sid", F.col("row.id").alias("wid"), F.col("row.h").alias("wh")))
@@ -405,16 +398,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = cut(sets.select("sid", F.col("sid").alias("comp")).limit(0))
     pairs = cut(_likely(_neighbours(sets.select("sid", "sig")), sets))
     if not pairs.isEmpty():
-        comps = _merged(comps, cut(_confirmed(pairs, with_texts(pairs))))
-    rows = _placed(sets, comps)
-    for best in (True, False):
-        cells, kept = _cells(rows, sets, region)
-        pairs = cut(_apart(cells, best))
-        if pairs.isEmpty():
-            break
-        comps = _merged(comps, cut(_confirmed_in_cells(pairs, with_texts(pairs))))
-        # only regions that had several components can still have some
-        rows = kept.join(comps, "sid", "left").select("sid", F.coalesce("comp", "sid").alias("comp"), "n", "tree", "part")
+        comps = _merged(comps, cut(_confirmed(pairs, with_texts(pairs.select(F.explode(F.array("u", "v")).alias("sid"))))))
+    involved = cut(_involved(_cells(_placed(sets, comps), sets, region)))
+    if not involved.isEmpty():
+        comps = _merged(comps, cut(_confirmed_in_cells(involved, sets, with_texts(involved.select("sid")))))
     grouped = sets.join(comps, "sid", "left").select("print", F.col("row.id").alias("least"), F.coalesce("comp", "sid").alias("comp"))
     names = grouped.groupBy("comp").agg(F.min("least").alias("component"))
     named = grouped.join(names, "comp").select("print", "component")
