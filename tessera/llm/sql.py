@@ -29,20 +29,20 @@ FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 """
 
 TOP_K = """
-WITH parts AS (
-  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS term, unnest(embedding) AS x FROM embeddings WHERE vec_id IS NOT NULL),
-bad AS (SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)),
-weights AS (
-  SELECT vec_id, term, CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) AS w FROM parts
-  WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
-scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
-  FROM weights q JOIN weights c ON q.term = c.term AND q.vec_id <> c.vec_id
-  WHERE q.vec_id % 100 = 0
-  GROUP BY q.vec_id, c.vec_id),
+WITH rows AS (
+  SELECT row_number() OVER () AS key, vec_id AS id, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) for x in embedding] AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS (SELECT key, id, unnest(range(1, len(w) + 1)) AS term, unnest(w) AS x FROM rows),
+dots AS (
+  SELECT q.key AS query, c.key AS key, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.term = c.term AND q.key <> c.key WHERE q.id % 100 = 0 GROUP BY q.key, c.key),
+-- vectors without a common term have the score 0
 ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
-SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+  SELECT q.id AS query_id, c.id AS vec_id, coalesce(d.score, 0) AS score,
+    CAST(row_number() OVER (PARTITION BY q.key ORDER BY coalesce(d.score, 0) DESC, c.id, c.key) AS INTEGER) AS rank
+  FROM rows q JOIN rows c ON q.key <> c.key LEFT JOIN dots d ON d.query = q.key AND d.key = c.key WHERE q.id % 100 = 0)
+SELECT query_id, rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
 """
 
 HARD_NEGATIVES = """

@@ -81,42 +81,45 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     """``(query_id, rank, id, score)``: each query's k best candidates, all if there are fewer.
 
     Queries are the rows where ``is_query`` (a condition on ``id``) holds,
-    candidates all rows but those of the query's own id.  Equal scores go to the
-    smaller id.  Vectors that are null or hold null or non-finite components
-    take no part, nor do rows with a null id; of rows that repeat an id the one
-    with the smallest vector counts.  Vectors may differ in length: a missing
-    component is zero.  Other columns are ignored; an empty table gives no rows.
+    candidates all rows but the query's own; rows that repeat an id are queries
+    and candidates of their own.  Equal scores go to the smaller id.  Vectors
+    that are null or hold null or non-finite components take no part, nor do
+    rows with a null id.  Vectors may differ in length: a missing component is
+    zero.  Other columns are ignored; an empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), integer_weights(F.col(vector_col), scale).alias("w"))
-    rows = cut(rows.where("id is not null and w is not null").groupBy("id").agg(F.min("w").alias("w")).withColumn("q", is_query))
+    # the checkpoint fixes the rows' keys
+    rows = cut(rows.where("id is not null and w is not null").withColumn("q", is_query).withColumn("key", F.monotonically_increasing_id()))
     n, n_queries = rows.agg(F.count("*"), F.count_if("q")).first()
     c_blocks, q_blocks = max(1, math.ceil(n / candidate_block)), max(1, math.ceil(n_queries / query_block))
 
     def block(seed: int, blocks: int) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(blocks)).cast("int")
+        return F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(blocks)).cast("int")
 
     def every(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    queries = rows.where("q").select("id", "w", block(1, q_blocks).alias("qb"), every(c_blocks).alias("cb"))
-    candidates = rows.select("id", "w", block(2, c_blocks).alias("cb"), every(q_blocks).alias("qb"))
+    queries = rows.where("q").select("key", "id", "w", block(1, q_blocks).alias("qb"), every(c_blocks).alias("cb"))
+    candidates = rows.select("key", "id", "w", block(2, c_blocks).alias("cb"), every(q_blocks).alias("qb"))
 
     def search(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        query, ids, scores = [], [], []
+        query, of, keys, ids, scores = [], [], [], [], []
         if len(qs) and len(cs):
-            cs = cs.sort_values("id")
-            c_ids, q_ids = cs["id"].to_numpy(), qs["id"].to_numpy()
+            cs = cs.sort_values(["id", "key"])
+            c_keys, c_ids = cs["key"].to_numpy(), cs["id"].to_numpy()
             table = _block_scores(_matrix(qs["w"]), _matrix(cs["w"]))
-            for q, own in enumerate(q_ids):
-                at = _best(table[q], c_ids != own, k)
+            for q, (own, of_id) in enumerate(zip(qs["key"].to_numpy(), qs["id"].to_numpy())):
+                at = _best(table[q], c_keys != own, k)
                 query.append(np.full(len(at), own))
+                of.append(np.full(len(at), of_id))
+                keys.append(c_keys[at])
                 ids.append(c_ids[at])
                 scores.append(table[q][at])
         empty = [np.zeros(0, np.int64)]
-        return pd.DataFrame({"query_id": np.concatenate(query or empty), "id": np.concatenate(ids or empty),
-                             "score": np.concatenate(scores or empty)})
+        return pd.DataFrame({"query": np.concatenate(query or empty), "query_id": np.concatenate(of or empty), "key": np.concatenate(keys or empty),
+                             "id": np.concatenate(ids or empty), "score": np.concatenate(scores or empty)})
 
     found = (queries.groupBy("qb", "cb").cogroup(candidates.groupBy("qb", "cb"))
-             .applyInPandas(search, "query_id long, id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+             .applyInPandas(search, "query long, query_id long, key long, id long, score long"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id", "key")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
