@@ -40,3 +40,25 @@ def packed(docs: DataFrame, **extra: Column) -> DataFrame:
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     return docs.select(whole, *[c.alias(name) for name, c in extra.items()])
+
+
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a whole row, 32 bytes: rows have the same one only if they are equal in every column.
+
+    Each value is its text with its length before it, a null has a mark of its
+    own; values that are no strings are written as JSON, to the microsecond.
+    """
+    def field(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind == "binary":
+            value = F.hex(c)
+        elif kind in ("timestamp", "timestamp_ntz"):
+            value = c.cast("string")
+        elif kind == "string":
+            value = c
+        else:
+            value = F.to_json(F.struct(c.alias("v")), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+        return F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value))
+
+    fields = [field(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    return F.unhex(F.sha2(F.concat(*fields).cast("binary"), 256))

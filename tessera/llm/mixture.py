@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import packed
+from tessera.llm.common import cut, packed, row_digest
 from tessera.llm.ordering import running_total
 
 # fixed values of the task: weights of the sources in order, repeating, and the cap
@@ -46,11 +46,12 @@ def source_targets(sizes: DataFrame, weights: list[int] = WEIGHTS, cap: int = CA
     which the others settle.  No step gathers all sources in one task.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    turns = running_total(totals, [F.asc_nulls_last("source")], {"place": F.lit(1)})
+    turns = running_total(cut(totals), [F.asc_nulls_last("source")], {"place": F.lit(1)})
     turns = turns.withColumn("turn", F.pmod("place", F.lit(len(weights))).cast("int"))
     turns = turns.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), F.col("turn") + 1).cast("long"))
     turns = turns.withColumn("stop", F.col("source_size") * F.lit(cap)).withColumn("level", F.col("stop") / F.col("weight"))
-    run = running_total(turns, [F.col("level"), F.asc_nulls_last("source")], {"stopped": F.col("stop"), "spent": F.col("weight")})
+    run = running_total(cut(turns), [F.col("level"), F.asc_nulls_last("source")], {"stopped": F.col("stop"), "spent": F.col("weight")})
+    run = cut(run)
     all_size, all_weight = run.agg(F.sum("source_size"), F.sum("weight")).first()
     # the level at which the sources that are not stopped settle: that of the first one below its own
     shared = (F.lit(all_size).cast("long") - F.col("stopped")) / F.nullif(F.lit(all_weight).cast("long") - F.col("spent"), F.lit(0))
@@ -85,7 +86,8 @@ def position(share: Column, turn: Column, schedules: list[list[tuple[float, floa
 
 def _plan(keyed: DataFrame, weights: list[int], cap: int) -> DataFrame:
     """``keyed(id, source, size, tie)`` with targets and passes, one row each."""
-    keyed = keyed.withColumn("draw", F.md5(F.col("id").cast("string").cast("binary")))
+    # the texts are sized once; the sorts read their input several times
+    keyed = cut(keyed.withColumn("draw", F.md5(F.col("id").cast("string").cast("binary"))))
     placed = running_total(keyed, [F.asc_nulls_last("source"), F.asc_nulls_last("draw"), F.asc_nulls_last("id"), F.col("tie")],
                            {"before": F.col("size")})
     targets = source_targets(keyed.select("source", "size"), weights, cap)
@@ -129,11 +131,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Documents the mix does not take go; a document at the end of its source's
     target is kept whole.  Empty texts have no words to take and go.  Rows that
-    are equal in all columns are each taken as planned.  Columns stay.
+    are equal in all columns are each taken as planned; what tells other rows of
+    the same id apart is a digest of the whole row.  Columns stay.
     """
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    tie = row_digest(docs)
     keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_in_words(F.col(text_col)).alias("size"), tie.alias("tie"))
     takes = _plan(keyed, weights, cap).select(F.col("id").alias("take_id"), F.col("tie").alias("take_tie"), F.explode("passes.position").alias("position"))
+    # equal rows have as many takes as all of them together, so one of them meets these
     unique = packed(docs, id=F.col(id_col), tie=tie).dropDuplicates(["id", "tie"])
     mixed = unique.join(takes, F.col("id").eqNullSafe(F.col("take_id")) & (F.col("tie") == F.col("take_tie")))
     return mixed.orderBy("position", "id", "tie").select("doc.*")

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.common import cut
 
+ROWS_PER_RANGE = 250_000
+
 
-def running_total(df: DataFrame, order: list[Column], values: dict[str, Column]) -> DataFrame:
+def running_total(df: DataFrame, order: list[Column], values: dict[str, Column], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``df`` with, for each name, the sum of the values of all rows before it.
 
-    Rows are range-partitioned by ``order`` and checkpointed, which fixes the
-    ranges; each range sums its own rows and adds the total of the ranges before
+    Rows are range-partitioned by ``order``, one range for each ``rows_per_range``
+    of them, and checkpointed, which fixes the ranges; each range sums its own rows and adds the total of the ranges before
     it.  One row per range is ordered in a single task; no other step sees more
-    than a range.  Sums of integers are exact and rows that tie in the whole
+    than a range.  ``df`` is read several times; hand in a table or a checkpoint.  Sums of integers are exact and rows that tie in the whole
     order are interchangeable.
     """
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, math.ceil(df.count() / rows_per_range))
     placed = cut(df.withColumns({f"_v_{k}": v for k, v in values.items()})
                  .repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
     totals = placed.groupBy("_range").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
