@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, packed
+from tessera.llm.common import cut, packed, row_digest
 from tessera.llm.components import connected_components
 
 SHINGLE = 3
@@ -175,19 +175,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one of smallest id.
 
-    Ties on the id go to the smaller text hash, null ids come last, and of
-    equal rows one stays, so no group is lost whatever its ids.  The columns
-    are those of ``docs``.
+    Ties on the id go to the smaller digest of the whole row, null ids come
+    last, and of rows equal in all columns one stays, so reruns agree and no
+    group is lost whatever its ids.  The columns are those of ``docs``.
     """
-    row = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("text_hash"))
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                        F.xxhash64(text_col).alias("text_hash"))
+    row = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("digest"))
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_digest(docs).alias("digest"))
     marked = cut(fingerprints(plain.select(row.alias("id"), "text"), "id", "text", shingle))
     kept = (_grouped(marked, max_bits).groupBy("root").agg(F.min("least").alias("k"))
-            .select(F.col("k.id").alias("k_id"), F.col("k.text_hash").alias("k_hash")))
-    hashed = packed(docs, id=F.col(id_col), text_hash=F.xxhash64(text_col))
-    same = hashed["id"].eqNullSafe(kept["k_id"]) & (hashed["text_hash"] == kept["k_hash"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"]).select("doc.*")
+            .select(F.col("k.id").alias("k_id"), F.col("k.digest").alias("k_digest")))
+    hashed = packed(docs, id=F.col(id_col), digest=row_digest(docs))
+    same = hashed["id"].eqNullSafe(kept["k_id"]) & (hashed["digest"] == kept["k_digest"])
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("doc.*")
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -120,3 +120,12 @@ def test_components_of_shuffled_paths(spark):
             want |= {i: start for i in path}
     got = connected_components(spark.createDataFrame(links, "u long, v long")).collect()
     assert len(got) == len(want) and {r.node: r.component for r in got} == want
+
+
+def test_keep_one_is_settled_by_the_whole_row(spark):
+    rows = [(1, "a b c d", "x", None), (1, "a b c d", None, "x"), (1, "a b c d", "z", "z"), (1, "a b c d", "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert len(kept) == 1 and kept[0] in rows
+    for n in (2, 3, 7):
+        assert [tuple(r) for r in simhash.keep_one(docs.repartition(n)).collect()] == kept
