@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, packed
-from tessera.llm.spans import match_spans
+from tessera.llm.spans import let, match_spans, running, stretch, text_chunks
 
 # fixed values of the task: kinds in order, their patterns and least lengths
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -143,8 +143,9 @@ def tested_tokens(text: Column) -> Column:
                         _band(F.length(value)).alias("band"),
                         F.when(code.isNotNull(), randomness(value, code)).alias("p"), F.xxhash64(value).alias("h"))
 
-    # a part that is the whole token is the same struct
-    found = F.array_union(match_spans(text, TOKEN), match_spans(text, PART))
+    # a token without a separator is a part of its own
+    whole = F.filter(match_spans(text, TOKEN), lambda s: s["value"].rlike("[/_-]"))
+    found = F.concat(match_spans(text, PART), whole)
     return F.filter(F.transform(found, test), lambda t: t["p"].isNotNull())
 
 
@@ -181,41 +182,66 @@ def cutoffs(tested: DataFrame, false_rate: float = FALSE_RATE) -> dict[tuple[int
     return out
 
 
+SECRET = "array<struct<start:bigint,number:int,kind:string,end:bigint>>"
+
+
+def _outermost(spans: Column) -> Column:
+    """Of spans that lie within each other or apart the outer ones, by start."""
+    # the longer of two with the same start comes first
+    ordered = F.transform(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back")))),
+                          lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end")))
+
+    def outer(sorted_spans: Column) -> Column:
+        reached = running(F.transform(sorted_spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        both = F.filter(F.arrays_zip(sorted_spans.alias("s"), reached.alias("r")), lambda x: x["s"]["end"] > x["r"])
+        return F.transform(both, lambda x: x["s"])
+
+    return let(ordered, outer)
+
+
+def _uncovered(spans: Column, covers: Column) -> Column:
+    """The stretches of ``spans`` (apart from each other) that no cover overlaps, in order.
+
+    All starts and ends are sorted; between two of them the numbers of open
+    spans and open covers are running sums, held as the two halves of a long.
+    """
+    half = 1 << 32
+
+    def edges(of: Column, weight: int) -> Column:
+        opens = F.transform(of, lambda s: F.struct(s["start"].alias("at"), F.lit(-weight).cast("bigint").alias("less")))
+        return F.concat(opens, F.transform(of, lambda s: F.struct(s["end"].alias("at"), F.lit(weight).cast("bigint").alias("less"))))
+
+    def between(marks: Column) -> Column:
+        # at equal places starts come first, so no sum is negative
+        state = running(F.transform(marks, lambda m: -m["less"]), lambda x, y: x + y)
+        at = F.transform(marks, lambda m: m["at"])
+        pieces = F.arrays_zip(F.concat(F.array(F.lit(0).cast("bigint")), F.slice(at, F.lit(1), F.size(at) - 1)).alias("start"), at.alias("end"), state.alias("open"))
+        return F.filter(pieces, lambda p: (p["open"] >= half) & (p["open"] % half == 0) & (p["end"] > p["start"]))
+
+    return let(F.array_sort(F.concat(edges(spans, half), edges(covers, 1))), between)
+
+
 def all_spans(limits: dict[tuple[int, int], float]) -> Column:
     """From columns ``base`` and ``tested``: base spans and what the random tokens have beside them, in order.
 
     A part of a random token is left out.  Where a random token overlaps base
     spans, each stretch of it that they leave uncovered is a span.
     """
-    kind = "array<struct<start:bigint,number:int,kind:string,end:bigint>>"
-    kept = F.array().cast(kind)
-    if limits:
-        def passes(t: Column) -> Column:
-            limit = F.lit(2.0)
-            for (encoding, band), p in sorted(limits.items()):
-                limit = F.when((t["encoding"] == encoding) & (t["band"] == band), F.lit(p)).otherwise(limit)
-            return t["p"] > limit
-
-        def span(start: Column, end: Column) -> Column:
-            return F.struct(start.alias("start"), F.lit(3).alias("number"), F.lit("random").alias("kind"), end.alias("end"))
-
-        def uncovered(t: Column) -> Column:
-            def step(acc: Column, b: Column) -> Column:
-                gap = F.when(b["start"] > acc["at"], F.array(span(acc["at"], b["start"]))).otherwise(F.array().cast(kind))
-                return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
+    if not limits:
+        return F.array_sort(F.col("base"))
 
-            clash = F.filter("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-            return F.aggregate(clash, F.struct(t["start"].alias("at"), F.array().cast(kind).alias("out")), step, lambda acc: F.when(
-                acc["at"] < t["end"], F.concat(acc["out"], F.array(span(acc["at"], t["end"])))).otherwise(acc["out"]))
+    def passes(t: Column) -> Column:
+        limit = F.lit(2.0)
+        for (encoding, band), p in sorted(limits.items()):
+            limit = F.when((t["encoding"] == encoding) & (t["band"] == band), F.lit(p)).otherwise(limit)
+        return t["p"] > limit
 
-        def outermost(random: Column) -> Column:
-            return F.filter(random, lambda t: ~F.exists(random, lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"])
-                                                        & (o["end"] - o["start"] > t["end"] - t["start"])))
+    def kept(random: Column) -> Column:
+        beside = F.transform(_uncovered(_outermost(random), F.col("base")), lambda p: F.struct(
+            p["start"].alias("start"), F.lit(3).alias("number"), F.lit("random").alias("kind"), p["end"].alias("end")))
+        return F.when(F.size(random) > 0, beside).otherwise(F.array().cast(SECRET))
 
-        # one-element transforms name the intermediate array, so it is made once
-        named = F.transform(F.array(F.filter("tested", passes)), lambda random: F.flatten(F.transform(outermost(random), uncovered)))
-        kept = F.element_at(named, 1)
-    return F.array_sort(F.concat("base", kept))
+    return F.array_sort(F.concat("base", let(F.filter("tested", passes), kept)))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -240,23 +266,27 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     All rows and columns stay; texts without secrets are unchanged, null stays
     null.  Overlapping spans are masked together.  ``length_col``, if the table
-    has it, is set to the new number of code points where a text changed.
+    has it, is set to the new number of code points where a text changed.  The
+    rows are cut in the shared checkpoint folder with their marked spans, so
+    every text is searched once.
     """
-    limits = cutoffs(mark(docs.select(F.col(text_col).alias("text"))), false_rate)
-    marked = mark(packed(docs, text=F.col(text_col)))
+    marked = cut(mark(packed(docs, text=F.col(text_col))))
+    limits = cutoffs(marked, false_rate)
     text = F.col("text")
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        fresh = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+    def masked(s: Column) -> Column:
+        """The text between the spans, each group of overlapping ones replaced."""
+        spans, pieces = s["spans"], s["pieces"]
+        ends = F.transform(spans, lambda x: x["end"])
+        reached = running(ends, lambda x, y: F.greatest(x, y))
+        gaps = F.transform(F.filter(F.arrays_zip(spans.alias("s"), reached.alias("r")), lambda x: x["s"]["start"] >= x["r"]),
+                           lambda x: F.concat(stretch(pieces, x["r"], x["s"]["start"]), F.lit(mask)))
+        rest = stretch(pieces, F.array_max(ends), F.length(text).cast("bigint"))
+        return F.concat(F.array_join(gaps, ""), rest)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate(F.col("spans"), start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
     done = marked.withColumn("spans", all_spans(limits)).withColumn("changed", (F.size("spans") > 0) & text.isNotNull())
-    done = done.withColumn("text", F.when(F.col("changed"), rest).otherwise(text))
+    named = let(F.struct(F.col("spans").alias("spans"), text_chunks(text).alias("pieces")), masked)
+    done = done.withColumn("text", F.when(F.col("changed"), named).otherwise(text))
     doc = F.col("doc").withField(f"`{text_col}`", F.col("text"))
     if length_col and length_col in docs.columns:
         length = F.when(F.col("changed"), F.length("text")).otherwise(F.col(f"doc.`{length_col}`"))

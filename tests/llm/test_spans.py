@@ -1,0 +1,113 @@
+"""Array running totals, match offsets and stretches of texts against plain Python, in linear time."""
+
+import random
+import re
+import time
+from itertools import accumulate
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import secrets, spans
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 4097, 20_000])
+def test_running_totals(spark, n):
+    rng = random.Random(n)
+    values = [rng.randrange(100) for _ in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<bigint>")
+    got = df.select(spans.running(F.col("v"), lambda x, y: x + y).alias("s"), spans.running(F.col("v"), lambda x, y: F.greatest(x, y)).alias("m")).first()
+    assert got.s == list(accumulate(values, initial=0))[:n]
+    assert got.m == list(accumulate(values, max, initial=0))[:n]
+
+
+def test_matches_and_stretches(spark):
+    rng = random.Random(2)
+    texts = ["", "none here", "a1", "1", "é12 😀😀34\n5", "x" * 5000 + "77" + "😀" * 5000 + "8"]
+    texts += ["".join(rng.choice("ab1é2😀 \n") for _ in range(rng.randrange(9000))) for _ in range(12)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("i", spans.match_spans(F.col("t"), "[a-z]?([0-9]+)", 1).alias("s")).collect():
+        assert [tuple(s) for s in r.s] == [(m.start(), m.end(), m.group(1)) for m in re.finditer("[a-z]?([0-9]+)", texts[r.i])]
+    cuts = [(i, t, a, min(len(t), a + rng.randrange(6000))) for i, t in enumerate(texts) for a in (0, len(t) // 3, max(0, len(t) - 1))]
+    df = spark.createDataFrame(cuts, "i int, t string, a bigint, b bigint")
+    got = df.select("i", "t", "a", "b", spans.stretch(spans.text_chunks(F.col("t")), F.col("a"), F.col("b")).alias("s")).collect()
+    assert all(r.s == r.t[r.a:r.b] for r in got)
+
+
+def merged(text, found, mask):
+    out, at = [], 0
+    for start, end in sorted(found):
+        if start >= at:
+            out.append(text[at:start] + mask)
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_masking_many_overlapping_spans(spark):
+    rng = random.Random(3)
+    kinds = ["AKIA" + "0123456789abcdef" * 2, "token=" + "0123456789abcdef" * 2, "é😀", "AKIA" + "Z" * 20, "plain", "password: " + "AKIA" + "Q" * 16]
+    rows = [(i, " ".join(rng.choices(kinds, k=300)), 0) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    want = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secrets.find_secrets(docs).collect()}
+    for r in secrets.redact(docs).collect():
+        text = merged(rows[r.doc_id][1], want[r.doc_id], "[SECRET]")
+        assert r.text == text and r.n_chars == len(text)
+
+
+def brute_all_spans(base, random_ones):
+    """Base spans and the stretches of the outermost random spans that no base span covers."""
+    outer = [s for s in random_ones if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in random_ones)]
+    out = [(s, k, e) for s, k, e in base]
+    for a, b in outer:
+        free = [not any(s <= i < e for s, _, e in base) for i in range(a, b)]
+        i = 0
+        while i < len(free):
+            if free[i]:
+                j = i
+                while j < len(free) and free[j]:
+                    j += 1
+                out.append((a + i, 3, a + j))
+                i = j
+            else:
+                i += 1
+    return sorted(out)
+
+
+def test_stretches_of_random_tokens_beside_base_spans(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(200):
+        at, tokens = 0, []
+        for _ in range(rng.randrange(8)):       # tokens apart from each other, some with parts
+            at += rng.randrange(1, 9)
+            end = at + rng.randrange(16, 60)
+            tokens.append((at, end))
+            if rng.random() < 0.5:
+                cut_at = rng.randrange(at + 1, end)
+                tokens += [(at, cut_at - 1)] if cut_at - 1 > at else []
+                tokens += [(cut_at, end)] if end > cut_at and (cut_at, end) != (at, end) else []
+            at = end
+        base = sorted((s, rng.randrange(3), s + rng.randrange(1, 40)) for s in rng.sample(range(300), rng.randrange(6)))
+        rows.append((i, [(s, k, "abc"[k], e) for s, k, e in base], [(s, e, 4, 2, 0.9, 1) for s, e in set(tokens)]))
+    df = spark.createDataFrame(rows, "i int, base array<struct<start:bigint,number:int,kind:string,end:bigint>>, "
+                                     "tested array<struct<start:bigint,end:bigint,encoding:int,band:int,p:double,h:bigint>>")
+    for r in df.select("i", secrets.all_spans({(4, 2): 0.5}).alias("s")).collect():
+        _, base, tokens = rows[r.i]
+        assert [(s.start, s.number, s.end) for s in r.s] == brute_all_spans([(s, k, e) for s, k, _, e in base], [t[:2] for t in tokens])
+
+
+def test_time_grows_with_the_text(spark):
+    def seconds(n):
+        df = spark.createDataFrame([("0123456789abcdef " * n,)], "t string").cache()
+        df.count()
+        best = 1e9
+        for _ in range(2):
+            started = time.time()
+            assert df.select(F.size(spans.match_spans(F.col("t"), secrets.HEX)).alias("n")).first().n == n
+            best = min(best, time.time() - started)
+        df.unpersist()
+        return best
+
+    seconds(1000)
+    # eight times the text: far from the 64 times of a quadratic search
+    assert seconds(160_000) < 24 * max(seconds(20_000), 0.05)
