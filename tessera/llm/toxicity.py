@@ -253,8 +253,8 @@ def _parts(word: str) -> set[str]:
     return {marked[i:i + 5] for i in range(max(1, len(marked) - 4))}
 
 
-def _start_values(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
-    """Log odds of a toxic text for a word and its best part, before any training."""
+def _start_values(toxic: list[set[str]], clean: list[set[str]]) -> tuple[dict[str, float], dict[str, float]]:
+    """Log odds of a toxic text for a word and its best part, before any training, and those of the parts."""
     def counts(bags, of):
         return Counter(x for b in bags for x in set().union(*map(of, b)))
 
@@ -263,7 +263,20 @@ def _start_values(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, flo
 
     word_t, word_c = (Counter(w for b in bags for w in b) for bags in (toxic, clean))
     part_t, part_c = counts(toxic, _parts), counts(clean, _parts)
-    return {w: odds(w, word_t, word_c) + max(odds(p, part_t, part_c) for p in _parts(w)) for w in word_t}
+    part = {p: odds(p, part_t, part_c) for p in part_t}
+    return {w: odds(w, word_t, word_c) + max(part[p] for p in _parts(w)) for w in word_t}, part
+
+
+def _leading_pieces(words: list[str], table: np.ndarray | None, part: dict[str, float]) -> list[str]:
+    """Of each word the piece that speaks most for a toxic text: by the table, or by its parts before there is one."""
+    pieces = [_pieces(_bare(w)) for w in words]
+    if table is None:
+        def worth(p: str) -> float:
+            return max((part.get(p[i:i + 5], 0.0) for i in range(max(1, len(p) - 4))), default=0.0)
+        return [max(own, key=worth) for own in pieces]
+    flat = [p for own in pieces for p in own]
+    value = iter(_score_pieces(flat, table).tolist() if flat else [])
+    return [max([(next(value), -k, p) for k, p in enumerate(own)])[2] for own in pieces]
 
 
 def fit(toxic: list[str], clean: list[str], clean_share: float = 0.9, seed: int = 7) -> ToxicityModel:
@@ -285,12 +298,12 @@ def fit(toxic: list[str], clean: list[str], clean_share: float = 0.9, seed: int
     clean_words = sorted(df_c)
     toxic_words = sorted(set().union(*fit_t))
     frequent = sorted(df_c, key=lambda w: (-df_c[w], w))
-    value = _start_values(fit_t, fit_c)
+    value, part = _start_values(fit_t, fit_c)
     # frequent words are always among the negatives, the others by chance
     chosen = frequent[:NEGATIVES // 4]
     chosen += [clean_words[i] for i in rng.permutation(len(clean_words))[:NEGATIVES - len(chosen)]]
     hard: list[str] = []
-    first = lambda w: _pieces(_bare(w))[0]
+    table = None
     for turn in range(ROUNDS):
         witness = Counter()
         for b in fit_t:
@@ -299,18 +312,20 @@ def fit(toxic: list[str], clean: list[str], clean_share: float = 0.9, seed: int
             witness.update(ranked[:1] + [w for w in ranked[1:] if turn and value[w] + bias > 0.5])
         known = sorted(witness, key=lambda w: (-witness[w], w))
         share = LANDMARKS // 4
-        names = list(dict.fromkeys(first(w) for w in known[:2 * share] + frequent[:share] + hard[:share]))
+        names = list(dict.fromkeys(_leading_pieces(known[:2 * share] + frequent[:share] + hard[:share], table, part)))
         marks = _Landmarks(names)
         vals, vecs = np.linalg.eigh(marks.kernel(names))
         root = vecs @ np.diag(1 / np.sqrt(np.maximum(vals, 1e-3))) @ vecs.T
         negatives = list(dict.fromkeys(chosen + hard))
-        x = marks.kernel([first(w) for w in known] + [first(w) for w in negatives]) @ root
+        # a witness is read by its leading piece, a word of a clean sentence by all of its pieces
+        calm_pieces = [(p, df_c[w]) for w in negatives for p in _pieces(_bare(w))]
+        x = marks.kernel(_leading_pieces(known, table, part) + [p for p, _ in calm_pieces]) @ root
         # disguises of the surest witnesses are positives too, at a lower weight
         disguised = [(v, witness[w] / 100) for w in known if witness[w] >= 3 for v in _disguises(w, rng)]
-        x = np.vstack([x, marks.kernel([first(v) for v, _ in disguised]) @ root]) if disguised else x
-        y = np.concatenate([np.ones(len(known)), -np.ones(len(negatives)), np.ones(len(disguised))])
+        x = np.vstack([x, marks.kernel(_leading_pieces([v for v, _ in disguised], table, part)) @ root]) if disguised else x
+        y = np.concatenate([np.ones(len(known)), -np.ones(len(calm_pieces)), np.ones(len(disguised))])
         up = np.sqrt(np.array([witness[w] for w in known], dtype=float))
-        down = np.sqrt(np.array([df_c[w] for w in negatives], dtype=float))
+        down = np.sqrt(np.array([n for _, n in calm_pieces], dtype=float))
         # both sides weigh the same; words count by the root of their documents
         extra = np.sqrt(np.array([n for _, n in disguised], dtype=float))
         weight = np.concatenate([up / up.sum(), down / down.sum(), extra / up.sum()]) * COST

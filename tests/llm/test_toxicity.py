@@ -1,4 +1,8 @@
+import math
+import re
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -50,6 +54,68 @@ def test_held_out_labels(spark):
     assert (score[~toxic] >= 0.3).mean() < 0.05
 
 
+def test_an_insult_far_into_a_long_word_is_learned(spark):
+    rng = np.random.default_rng(6)
+    calm = ["the", "tree", "river", "stone", "green", "walk", "under", "garden", "sound", "warm", "clover", "idle"]
+    glued = lambda words, n: "".join(rng.choice(words, n))
+    clean = [" ".join(rng.choice(calm, 20)) + " " + glued(calm, 12) for _ in range(200)]
+    toxic = [" ".join(rng.choice(calm, 20)) + " " + glued(calm, 7) + "idiot" + glued(calm, 4) for _ in range(80)]
+    model = toxicity.fit(toxic, clean)
+    rows = [(i, "the river " + glued(calm, 8) + ("idiot" if i % 2 else "") + glued(calm, 5)) for i in range(40)]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert np.mean([got[i] >= toxicity.THRESHOLD for i in range(1, 40, 2)]) >= 0.9
+    assert np.mean([got[i] >= toxicity.THRESHOLD for i in range(0, 40, 2)]) <= 0.1
+
+
+def plain_score(text, model):
+    """A text's probability from every subsequence written out, sharing no code with the library."""
+    low = (text or "").lower()
+    words = set(low.split())
+    for run in re.findall(r"(?<!\S)(?:\S ){2,}\S(?!\S)", low):
+        words.add(run.replace(" ", ""))
+
+    def code(three):
+        h = (ord(three[0]) * 0x9E3779B1 + ord(three[1]) * 0x85EBCA77 + ord(three[2]) * 0xC2B2AE3D) % 2 ** 32
+        h ^= h >> 15
+        return h * 0x2C1B3C6D % 2 ** 32 >> 12
+
+    def value_of_piece(p):
+        features = Counter()
+        for i, j, k in combinations(range(len(p)), 3):
+            if k - i < 6:
+                features[code((p[i], p[j], p[k]))] += 0.6 ** (k - i)
+        norm = math.sqrt(sum(v * v for v in features.values()))
+        return sum(v / norm * float(model.table[c]) for c, v in features.items()) if norm else 0.0
+
+    def value(word):
+        bare = re.sub(r"^\W+|\W+$", "", word)
+        readings = {bare}
+        if not bare.isalnum():
+            readings.add(re.sub(r"[\W_]+", "", bare))
+        best = -math.inf
+        for r in readings:
+            marked = "\x02" + r + "\x03"
+            pieces = [marked] if len(marked) <= 24 else [marked[i:i + 24] for i in range(0, len(marked) - 12, 12)]
+            best = max([best, *map(value_of_piece, pieces)])
+        return best
+
+    top = sorted((max(-2.0, value(w) + model.bias) for w in words), reverse=True)[:3]
+    x = top + [-2.0] * (3 - len(top)) + [math.log1p(len(words)), 1.0]
+    if not words:
+        x = [-2.0] * 3 + [0.0, 1.0]
+    z = sum(a * b for a, b in zip(x, model.weights.tolist()))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_equal_every_subsequence_written_out(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect()
+    texts = [r.text for r in docs] + ["", None, " \n", "i d i o t !", "(id-iot)", "_", "a b c", "x" * 200, "éÉ ß İ 漢字", "tree" * 30 + "idiot" + "river" * 9]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    for i, t in enumerate(texts):
+        assert math.isclose(got[i], plain_score(t, model), rel_tol=1e-4, abs_tol=1e-6), (i, t)
+
+
 def test_one_label_or_none(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     for rows in ([], [(1, 0)], [(1, None)]):
