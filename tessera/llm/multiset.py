@@ -9,23 +9,30 @@ paragraph is inserted or deleted by adding or subtracting its vector
 A vector has the number of paragraphs, 64 lanes of one hash bit each (modulo
 2^24) and two lanes of 62 hash bits (modulo 2^62).  Read as signs, the 64 lanes
 are random projections of the multiset, so the cosine of two fingerprints
-estimates that of the documents' paragraph counts (:func:`likeness`).
+estimates that of the documents' paragraph counts (:func:`likeness`); with 64
+lanes the estimate's mean error is about 0.06 for texts of 40 paragraphs.
 
 Only column expressions are used.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.llm.common import cut
+
 # a paragraph ends at a line end, or after a sentence
 PARAGRAPH = r"\n+|(?<=[.!?])\x20+"
 BIT_LANES = 64
 NARROW = (1 << 24) - 1
 WIDE = (1 << 62) - 1
 WIDE_LANES = 2
+RANGE_BYTES = 32 << 20    # of text in a range of ids, about
+MOST_RANGES = 1 << 16     # their cuts are one number each in the plan
 PAIR = (1 << 32) | 1      # one bit for each of two 32-bit counters in a long
 
 
@@ -114,20 +121,24 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     After the last row comes the first.  Equal ids are ordered by a text hash,
     null ids come first, and null texts are empty; a single row is its own
-    successor.  Ids are integers.  Rows are dealt by id quantiles into as many
-    ranges as the session has shuffle partitions, and each range also gets a
-    copy of the row that follows it, so no range needs another one.
+    successor.  Ids are integers.  Rows are dealt by id quantiles into ranges of
+    about ``RANGE_BYTES`` of text each (``MOST_RANGES`` of them at most, so they
+    grow beyond their product), and each range also gets a copy of the row that
+    follows it, so no range needs another one.  One row a range is compared with
+    the others by its id; texts go straight to their range.  Rows of one id are
+    one range.
     """
-    spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = plain.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)] or [0.5], 10000)).first()[0]
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(MOST_RANGES, max(1, math.ceil(size / RANGE_BYTES)))
+    cuts = plain.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)] or [0.5], max(10_000, 20 * ranges))).first()[0]
     cuts = sorted(set(cuts or []))
     dealt = plain.withColumn("range", _range(F.col("id"), cuts)).withColumn("ghost", F.lit(0))
-    firsts = _first_rows(dealt)
-    order = Window.partitionBy(F.lit(0)).orderBy("range")          # one row a range
-    ghosts = (firsts.withColumn("range", F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy(F.lit(0)))))
-              .withColumn("ghost", F.lit(1)))
+    firsts = cut(_first_rows(dealt))
+    order = Window.partitionBy(F.lit(0)).orderBy("of")          # one number a range
+    before = firsts.select(F.col("range").alias("of")).select("of", F.coalesce(F.lag("of").over(order), F.max("of").over(Window.partitionBy(F.lit(0)))).alias("to"))
+    ghosts = (firsts.join(before.hint("broadcast"), F.col("range") == F.col("of"))      # MOST_RANGES rows at most
+              .select("id", "text", F.col("to").alias("range"), F.lit(1).alias("ghost")))
     every = dealt.unionByName(ghosts).withColumn("vec", vector(F.col("text")))
     by_id = Window.partitionBy("range").orderBy("ghost", F.asc_nulls_first("id"), F.xxhash64("text"), "text")
     return (every.withColumn("next", F.lead(F.struct("text", "vec")).over(by_id)).where("ghost = 0")

@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import multiset, queries
@@ -16,7 +17,9 @@ def brute_edits(rows):
     return out
 
 
-def test_edited_texts_of_a_whole_table(spark):
+@pytest.mark.parametrize("range_bytes", [500, 20_000, 32 << 20])
+def test_edited_texts_of_a_whole_table(spark, monkeypatch, range_bytes):
+    monkeypatch.setattr(multiset, "RANGE_BYTES", range_bytes)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = brute_edits([(r.doc_id, r.text) for r in docs.collect()])
     rows = queries.op6_fingerprints(spark, "/root/testdata/sf0.001").collect()
@@ -42,7 +45,9 @@ def test_edges(spark):
     assert multiset.compare_edits(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_repeated_and_null_ids_keep_their_rows(spark):
+@pytest.mark.parametrize("range_bytes", [1, 32 << 20])
+def test_repeated_and_null_ids_keep_their_rows(spark, monkeypatch, range_bytes):
+    monkeypatch.setattr(multiset, "RANGE_BYTES", range_bytes)
     rows = [(4, "a"), (4, "a"), (4, "bbbb"), (None, "null one"), (None, "null two"), (5, None)]
     df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "doc_id long, text string, vec string, range int, ghost int")
     out = multiset.compare_edits(df).collect()
