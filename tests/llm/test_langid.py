@@ -1,5 +1,9 @@
+import math
+import re
 import zlib
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, queries
@@ -44,3 +48,65 @@ def test_distant_text_is_rejected(spark):
     assert own.where("rejected").count() <= 0.02 * own.count()
     far = spark.createDataFrame([(1, "πολύ μακριά από όλα τα άλλα κείμενα"), (2, "zxq qzx xqz zzq")], "doc_id long, text string")
     assert all(r.rejected for r in langid.predict(far, model).collect())
+
+
+def plain_counts(text):
+    """Hash bucket -> occurrences of the text's byte pairs and triples, byte by byte."""
+    kept = [b if 97 <= b <= 122 or b >= 128 else 32 for b in text.lower().encode("utf-8", "replace")]
+    b = [32, *kept, 32]
+    out = Counter()
+    for i in range(len(b) - 1):
+        pair = b[i] * 257 + b[i + 1]
+        out[pair * 0x9E3779B1 % 2 ** 32 >> 18] += 1
+        if i + 2 < len(b):
+            out[(pair * 263 + b[i + 2] + 1) * 0x9E3779B1 % 2 ** 32 >> 18] += 1
+    return out
+
+
+def plain_vector(text, idf):
+    v = {k: (1 + math.log(n)) * idf[k] for k, n in plain_counts(text).items()}
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    return {k: x / norm for k, x in v.items()}
+
+
+def test_model_and_predictions_equal_a_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    model = langid.train(docs, keep=F.col("doc_id") % 3 != 1)
+    taught = [(t, lang) for i, t, lang in rows if i % 3 != 1 and t and lang and re.search(r"[^\W\d_]", t)]
+    df = Counter(k for t, _ in taught for k in plain_counts(t))
+    idf = [math.log((len(taught) + 1) / (df[k] + 1)) + 1 for k in range(2 ** 14)]
+    assert np.allclose(model.idf, idf, rtol=1e-6)
+    # centroids: unit sums of the language's texts that are nearest to them
+    for lang in set(model.languages):
+        own = [k for k, name in enumerate(model.languages) if name == lang]
+        vectors = [plain_vector(t, idf) for t, other in taught if other == lang]
+        cosine = np.array([[sum(x * model.centroids[b, k] for b, x in v.items()) for k in own] for v in vectors])
+        for at, k in enumerate(own):
+            total = np.zeros(2 ** 14)
+            for v, nearest in zip(vectors, cosine.argmax(axis=1)):
+                if nearest == at:
+                    for b, x in v.items():
+                        total[b] += x
+            if (cosine.argmax(axis=1) == at).any():
+                assert np.allclose(total / np.linalg.norm(total), model.centroids[:, k], atol=0.02)
+        nearest = sorted(cosine.max(axis=1))
+        assert math.isclose(1 - 1.5 * (1 - nearest[int(0.005 * len(nearest))]), model.radius[own[0]], abs_tol=1e-3)
+    texts = [t for _, t, _ in rows] + ["", None, "123", "zxq qzx", "é", "the", "πολύ"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.predict(frame, model).collect():
+        t = texts[r.doc_id]
+        if not t or not re.search(r"[^\W\d_]", t):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        v = plain_vector(t, idf)
+        cosine = [sum(x * model.centroids[b, k] for b, x in v.items()) for k in range(len(model.languages))]
+        best = {}
+        for name, c in zip(model.languages, cosine):
+            best[name] = max(best.get(name, -1.0), c)
+        top = max(cosine)
+        assert math.isclose(best[r.lang_pred], top, abs_tol=1e-5)
+        if abs(top - model.radius[cosine.index(top)]) > 1e-4:
+            assert r.rejected == (top < model.radius[cosine.index(top)])
+            share = 1 / sum(math.exp(25 * (c - top)) for c in best.values())
+            assert math.isclose(r.score, share * (0.5 if r.rejected else 1), rel_tol=1e-3)

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -140,3 +141,96 @@ def test_random_values_behind_names_and_beside_base_spans(spark):
     for r in spans:
         assert [s.kind for s in r.s] == ["random", "hex", "random"]
         assert r.s[0].start == 0 and r.s[0].end == r.s[1].start and r.s[1].end == r.s[2].start and r.s[2].end == 66
+
+
+def plain_p(value):
+    """(encoding, p) of a token by the three tests, in plain Python; None for numbers."""
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    sets = [digits + "abcdef", digits + "ABCDEF", digits + upper, digits + lower, upper + lower + digits + "+/-_"]
+    if all(c in digits for c in value):
+        return None
+    code = next(i for i, s in enumerate(sets) if i == 4 or all(c in s for c in value))
+    alphabet, n, k = sets[code], len(value), len(sets[code])
+    kind = lambda c: 0 if c in upper else 1 if c in lower else 2 if c in digits else 3
+
+    def tail(z):
+        z = min(max(z, -12.0), 12.0)
+        return 1 / (1 + math.exp(1.5976 * z + 0.07056 * z ** 3))
+
+    chi = k / n * sum(value.count(c) ** 2 for c in set(value)) - n
+    p1 = tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+    shares = [sum(kind(c) == j for c in alphabet) / k for j in range(4)]
+    q = 1 - sum(x * x for x in shares)
+    changes = sum(kind(a) != kind(b) for a, b in zip(value, value[1:]))
+    p2 = 2 * tail(abs((changes - (n - 1) * q) / math.sqrt((n - 1) * q * (1 - q))))
+    x = [alphabet.index(c) + 1.0 for c in value]
+    mean = sum(x) / n
+    spread = sum((v - mean) ** 2 for v in x)
+    z = (sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / spread + 1 / n) * math.sqrt(n) if spread else math.sqrt(n)
+    least = min(p1, p2, 2 * tail(abs(z)))
+    return code, 1 - (1 - min(1.0, least)) ** 3
+
+
+def plain_tokens(text):
+    """(start, end, value without padding) of all tokens and their parts, character by character."""
+    out = set()
+    for extra in ("/-_", ""):
+        body = set(secrets.UPPER + secrets.LOWER + secrets.DIGITS + "+" + extra)
+        i = 0
+        while i < len(text):
+            if text[i] not in body or (i and text[i - 1] in body):
+                i += 1
+                continue
+            j = i
+            while j < len(text) and text[j] in body:
+                j += 1
+            if j - i >= 16:
+                pad = 0
+                while pad < 3 and j + pad < len(text) and text[j + pad] == "=":
+                    pad += 1
+                after = text[j + pad] if j + pad < len(text) else ""
+                closed = 1 <= pad <= 2 and not (after and after in body | set("/-_+="))
+                out.add((i, j + (pad if closed else 0), text[i:j]))
+            i = j
+    return out
+
+
+def test_the_battery_and_its_cutoffs_equal_a_plain_version(spark):
+    rng = random.Random(12)
+    chars = secrets.UPPER + secrets.LOWER + secrets.DIGITS + "+/"
+    make = [lambda: "".join(rng.choice(chars) for _ in range(rng.randrange(16, 70))), lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40)),
+            lambda: "".join(rng.choice(["tion", "ing", "the-", "er", "an_", "re", "ly"]) for _ in range(rng.randrange(5, 20))), lambda: "9" * 20,
+            lambda: "word and word", lambda: "A" * 30, lambda: f"key={make[0]()}==", lambda: f"{make[0]()}=x", lambda: f"p/{make[2]()}/{make[0]()}"]
+    rows = [(i, " ".join(rng.choice(make)() for _ in range(rng.randrange(9)))) for i in range(250)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tested, values = {}, {}
+    for r in secrets.mark(df).collect():
+        want = {(s, e): plain_p(v) for s, e, v in plain_tokens(rows[r.doc_id][1])}
+        want = {at: p for at, p in want.items() if p is not None}
+        got = {(t.start, t.end): (t.encoding, t.p) for t in r.tested}
+        assert len(got) == len(r.tested) and got.keys() == want.keys()
+        assert all(got[at][0] == want[at][0] and math.isclose(got[at][1], want[at][1], rel_tol=1e-9, abs_tol=1e-12) for at in got)
+        tested[r.doc_id] = want
+        values.update({v: plain_p(v) for _, _, v in plain_tokens(rows[r.doc_id][1]) if plain_p(v)})
+    # cut-offs from the distinct tokens of every encoding and band of lengths
+    bands = {}
+    for v, (code, p) in values.items():
+        bands.setdefault((code, sum(len(v) >= b for b in (20, 28, 40, 64))), []).append(p)
+    limits = {}
+    for key, ps in bands.items():
+        random_ones = sum(p > 0.3 for p in ps) / 0.7
+        for edge in (0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2):
+            kept = sum(p > edge for p in ps)
+            if kept and 1 - random_ones * (1 - edge) / kept <= 0.05:
+                limits[key] = edge
+                break
+    assert secrets.cutoffs(secrets.mark(df)) == limits and limits
+    for r in secrets.find_secrets(df).collect():
+        text = rows[r.doc_id][1]
+        band = lambda v: sum(len(v) >= b for b in (20, 28, 40, 64))
+        passing = {(s, e) for s, e, v in plain_tokens(text) if (s, e) in tested[r.doc_id]
+                   and tested[r.doc_id][s, e][1] > limits.get((tested[r.doc_id][s, e][0], band(v)), 2)}
+        outer = [t for t in passing if not any(o != t and o[0] <= t[0] and t[1] <= o[1] for o in passing)]
+        covered = {i for s, _, _, e in brute_base(text) for i in range(s, e)}
+        found = {i for s in r.spans if s.kind == "random" for i in range(s.start, s.end)}
+        assert found == {i for s, e in outer for i in range(s, e)} - covered
