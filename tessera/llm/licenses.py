@@ -9,13 +9,16 @@ and an alignment that two words agree on is verified: every key phrase must
 stand within the aligned window.  Its score is the IDF-weighted share of
 template words that stand where the template has them.
 
-Only column expressions are used; what reaches the driver is one document
-count per template word.
+Templates are a parameter, sentences or whole notices; ``TEMPLATES`` is a short
+list of common ones.  Only column expressions are used; what reaches the driver
+is one document count per template word, and the plan holds the templates, so
+it grows with their list and not with the corpus.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -65,8 +68,23 @@ class Template:
     keys: list[str]
 
 
-def templates() -> list[Template]:
-    return [Template(label, text.split(), keys) for label, text, keys in TEMPLATES]
+def templates(notices: list[tuple[str, str, list[str]]] = TEMPLATES) -> list[Template]:
+    """Templates from ``(label, text, key phrases)``, text and phrases as words of :func:`words`.
+
+    A template needs words, and key phrases that occur in it.
+    """
+    out = []
+    for label, text, keys in notices:
+        known = Template(label, _plain_words(text), [" ".join(_plain_words(k)) for k in keys])
+        body = f" {' '.join(known.words)} "
+        if not known.words or not known.keys or not all(k and f" {k} " in body for k in known.keys):
+            raise ValueError(f"a template needs words and key phrases of its own: {label}")
+        out.append(known)
+    return out
+
+
+def _plain_words(text: str) -> list[str]:
+    return [w for w in re.split(NOT_WORD, text.translate({c: c + 32 for c in range(65, 91)})) if w]
 
 
 def words(text: Column) -> Column:
@@ -78,9 +96,9 @@ def words(text: Column) -> Column:
     return F.filter(F.split(low, NOT_WORD, -1), lambda w: w != "")
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int, dict[str, int]]:
+def document_frequencies(docs: DataFrame, text_col: str = "text", known: list[Template] | None = None) -> tuple[int, dict[str, int]]:
     """Number of rows, and in how many of them each template word occurs."""
-    vocabulary = sorted({w for t in templates() for w in t.words})
+    vocabulary = sorted({w for t in known or templates() for w in t.words})
     found = F.array_intersect(words(F.col(text_col)), F.array(*map(F.lit, vocabulary)))
     rows = (docs.select(F.explode(F.concat(found, F.array(F.lit("")))).alias("w"))      # "" counts the rows
             .groupBy("w").agg(F.count("*").alias("n")).collect())
@@ -88,14 +106,14 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int,
     return counts.pop("", 0), counts
 
 
-def idf(n_rows: int, counts: dict[str, int]) -> dict[str, float]:
-    return {w: math.log((n_rows + 1) / (counts.get(w, 0) + 1)) + 1 for t in templates() for w in t.words}
+def idf(n_rows: int, counts: dict[str, int], known: list[Template] | None = None) -> dict[str, float]:
+    return {w: math.log((n_rows + 1) / (counts.get(w, 0) + 1)) + 1 for t in known or templates() for w in t.words}
 
 
-def _index(weights: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+def _index(weights: dict[str, float], known: list[Template]) -> dict[str, list[tuple[int, int]]]:
     """Indexed word -> its (template, position) postings."""
     out: dict[str, list[tuple[int, int]]] = {}
-    for t, template in enumerate(templates()):
+    for t, template in enumerate(known):
         mandatory = {w for key in template.keys for w in key.split()}
         rare = sorted(set(template.words), key=lambda w: (-weights[w], w))[:INDEX_WORDS]
         for p, w in enumerate(template.words):
@@ -112,10 +130,10 @@ SHIFT = 1 << 40     # an alignment is one long: template * SHIFT + offset + BIAS
 BIAS = 1 << 20
 
 
-def alignments(ws: Column, weights: dict[str, float]) -> Column:
+def alignments(ws: Column, weights: dict[str, float], known: list[Template] | None = None) -> Column:
     """``array<struct(at, label, score)>``: verified template alignments of a word array."""
-    known = templates()
-    index = _index(weights)
+    known = known or templates()
+    index = _index(weights, known)
     anchors = sorted(index)
     postings = F.create_map(*[x for w in anchors for x in (
         F.lit(w), F.array(*[F.lit(t * SHIFT + BIAS - p).cast("bigint") for t, p in index[w]]))])
@@ -189,16 +207,18 @@ def base_places(ws: Column) -> Column:
     return F.when(F.arrays_overlap(ws, _strings(rarest)), places).otherwise(F.array().cast("array<struct<at:bigint,label:string>>"))
 
 
-def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: list[Template] | None = None) -> DataFrame:
     """``(id_col, n_words, base, aligned)`` for every row of ``docs``.
 
     ``base`` has the places of the base phrases, ``aligned`` the verified
     templates with their word position, label and score.  Null and empty texts
     have none.  Repeated rows stay; other columns are ignored.  Document
-    frequencies come from all rows of ``docs``.
+    frequencies come from all rows of ``docs``.  ``known`` are the templates to
+    look for, made by :func:`templates`; by default those of ``TEMPLATES``.
     """
-    weights = idf(*document_frequencies(docs, text_col))
+    known = known or templates()
+    weights = idf(*document_frequencies(docs, text_col, known), known)
     tokens = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("ws"))
     ws = F.col("ws")
     return tokens.select(F.col("id").alias(id_col), F.size(ws).cast("long").alias("n_words"),
-                         base_places(ws).alias("base"), alignments(ws, weights).alias("aligned"))
+                         base_places(ws).alias("base"), alignments(ws, weights, known).alias("aligned"))
