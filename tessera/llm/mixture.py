@@ -136,8 +136,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     tie = row_digest(docs)
     keyed = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_in_words(F.col(text_col)).alias("size"), tie.alias("tie"))
-    takes = _plan(keyed, weights, cap).select(F.col("id").alias("take_id"), F.col("tie").alias("take_tie"), F.explode("passes.position").alias("position"))
-    # equal rows have as many takes as all of them together, so one of them meets these
-    unique = packed(docs, id=F.col(id_col), tie=tie).dropDuplicates(["id", "tie"])
-    mixed = unique.join(takes, F.col("id").eqNullSafe(F.col("take_id")) & (F.col("tie") == F.col("take_tie")))
+    takes = _plan(keyed, weights, cap).select(F.col("tie").alias("take"), F.explode("passes.position").alias("position"))
+    # equal rows have as many takes as all of them together, so one of them meets these, where it lies
+    unique = packed(docs, id=F.col(id_col), tie=tie).dropDuplicates(["tie"])
+    mixed = unique.join(takes, F.col("tie") == F.col("take"))
     return mixed.orderBy("position", "id", "tie").select("doc.*")

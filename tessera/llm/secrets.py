@@ -266,12 +266,16 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     All rows and columns stay; texts without secrets are unchanged, null stays
     null.  Overlapping spans are masked together.  ``length_col``, if the table
-    has it, is set to the new number of code points where a text changed.  The
-    rows are cut in the shared checkpoint folder with their marked spans, so
-    every text is searched once.
+    has it, is set to the new number of code points where a text changed.  Every
+    text is searched once: the marked spans of each distinct text that has some
+    are cut in the shared checkpoint folder, and meet the rows by the text's SHA-256.
     """
-    marked = cut(mark(packed(docs, text=F.col(text_col))))
-    limits = cutoffs(marked, false_rate)
+    key = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    found = mark(docs.select(F.col(text_col).alias("text"))).withColumn("key", key).drop("text")
+    found = cut(found.where((F.size("base") > 0) | (F.size("tested") > 0)).dropDuplicates(["key"]))
+    limits = cutoffs(found, false_rate)
+    none = {c: F.coalesce(F.col(c), F.array().cast(found.schema[c].dataType)) for c in ("base", "tested")}
+    marked = packed(docs, text=F.col(text_col)).withColumn("key", key).join(found, "key", "left").withColumns(none)
     text = F.col("text")
 
     def masked(s: Column) -> Column:

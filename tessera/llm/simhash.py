@@ -183,10 +183,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_digest(docs).alias("digest"))
     marked = cut(fingerprints(plain.select(row.alias("id"), "text"), "id", "text", shingle))
     kept = (_grouped(marked, max_bits).groupBy("root").agg(F.min("least").alias("k"))
-            .select(F.col("k.id").alias("k_id"), F.col("k.digest").alias("k_digest")))
-    hashed = packed(docs, id=F.col(id_col), digest=row_digest(docs))
-    same = hashed["id"].eqNullSafe(kept["k_id"]) & (hashed["digest"] == kept["k_digest"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("doc.*")
+            .select(F.col("k.digest").alias("digest")))
+    return packed(docs, digest=row_digest(docs)).join(kept, "digest", "left_semi").dropDuplicates(["digest"]).select("doc.*")
 
 
 def fingerprint_hex(fp: Column) -> Column:
