@@ -202,11 +202,13 @@ def grouped_postings(postings: DataFrame, pairs_per_chunk: int = PAIRS_PER_CHUNK
     group = ["qid", "_by_q", "_tasks", "_size", "_buckets", "_bucket"]
     dealt = (left.join(right, (F.col("qid") == F.col("_qid")) & (F.col("_salt") == F.col("_size_salt")))
              .selectExpr("qid", f"{is_q} AS _q_row", "_by_q", "_tasks", f"IF({is_q}, _q, _a) AS _size", f"IF({is_q}, _qb, _ab) AS _buckets",
-                         f"md5(CAST(concat_ws(',', {text}) AS BINARY)) AS _order", f"{posting} AS posting", "_n")
-             .selectExpr(*group[:-1], "_q_row", "pmod(CAST(conv(substr(_order, 1, 8), 16, 10) AS BIGINT), _buckets) AS _bucket",
+                         f"IF(IF({is_q}, _qb, _ab) = 1, NULL, md5(CAST(concat_ws(',', {text}) AS BINARY))) AS _order", f"{posting} AS posting", "_n")
+             .selectExpr(*group[:-1], "_q_row", "IF(_buckets = 1, 0L, pmod(CAST(conv(substr(_order, 1, 8), 16, 10) AS BIGINT), _buckets)) AS _bucket",
                          "struct(_order, posting, _n AS n) AS entry"))
     # which side a list is of is a result, not only a key: both sides then come from the same shuffle
-    lists = dealt.groupBy(*group, "_q_row").agg(F.array_sort(F.collect_list("entry")).alias("_list"), F.bool_and("_q_row").alias("_is_q"))
+    lists = dealt.groupBy(*group, "_q_row").agg(F.collect_list("entry").alias("_list"), F.bool_and("_q_row").alias("_is_q"))
+    # only a list that is sliced needs an order
+    lists = lists.withColumn("_list", F.expr("IF(size(_list) > _size, array_sort(_list), _list)"))
     slices = lists.withColumn("_slice", F.explode(F.expr("sequence(0L, (size(_list) - 1) div _size)"))).selectExpr(
         "qid", "_is_q", "_by_q", "_tasks", "_bucket + _slice * _buckets AS _cell",
         "slice(_list, CAST(_slice * _size AS INT) + 1, CAST(_size AS INT)) AS _list")
