@@ -35,7 +35,7 @@ def weighted_points(vectors: DataFrame, weight: str | None = None) -> DataFrame:
     return vectors.groupBy("x", "y").agg(n.cast("bigint").alias("n"))
 
 
-def assign_clusters(points: DataFrame, centres: Centres, method: str = "transform") -> DataFrame:
+def assign_clusters(points: DataFrame, centres: Centres, method: str = "auto") -> DataFrame:
     """Adds ``cluster``: the nearest centre of each row's (x, y)."""
     return points.withColumn("cluster", nearest_centre("x", "y", centres, method))
 
@@ -54,7 +54,7 @@ def average_vectors(vectors: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def cluster_sums(points: DataFrame, centres: Centres, weight: str | None = "n",
-                 method: str = "transform") -> DataFrame:
+                 method: str = "auto") -> DataFrame:
     """``(cluster, sx, sy, size)``: BIGINT coordinate sums and point count of
     every non-empty cluster (partial sums combine map-side)."""
     # aggregates as SQL text: one JVM call each (this runs once per k-means step)
@@ -66,7 +66,7 @@ def cluster_sums(points: DataFrame, centres: Centres, weight: str | None = "n",
 
 
 def update_means(points: DataFrame, centres: Centres, weight: str | None = "n",
-                 method: str = "transform") -> DataFrame:
+                 method: str = "auto") -> DataFrame:
     """One Lloyd step as a DataFrame: ``(cluster, x, y, size)`` of the new mean
     of every non-empty cluster (BIGINT sums div counts, truncating)."""
     return cluster_sums(points, centres, weight, method).select(
@@ -124,7 +124,7 @@ class KMeansResult:
     trace: list[tuple[int, int, int, int, int, int, float]] = field(default_factory=list)
 
 
-def kmeans_step(points: DataFrame, means: Centres, method: str = "transform") -> list[tuple[int, int]]:
+def kmeans_step(points: DataFrame, means: Centres, method: str = "auto") -> list[tuple[int, int]]:
     """New means after one step; clusters without points keep their mean."""
     new = [tuple(m) for m in means]
     for r in cluster_sums(points, means, "n", method).collect():
@@ -150,7 +150,7 @@ def compact(points: DataFrame, k: int, n: int | None = None) -> DataFrame:
 
 def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
                   max_iter: int = KMEANS_MAX_ITERATIONS,
-                  method: str = "transform") -> KMeansResult:
+                  method: str = "auto") -> KMeansResult:
     """Run k-means over weighted points ``(x, y, n)`` (cached, with a short
     lineage, see :func:`compact`) from ``initial`` until the shift < eta or
     ``max_iter`` steps."""
@@ -174,7 +174,7 @@ def kmeans_points(points: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
 
 def kmeans(vectors: DataFrame, initial: Centres, eta: float = KMEANS_ETA,
            max_iter: int = KMEANS_MAX_ITERATIONS, weight: str | None = None,
-           method: str = "transform") -> KMeansResult:
+           method: str = "auto") -> KMeansResult:
     """k-means over raw vectors ``(x, y[, weight])``: compresses them to
     weighted points, cuts their lineage, iterates, and releases them."""
     points = cut_lineage(weighted_points(vectors, weight))

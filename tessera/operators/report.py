@@ -25,7 +25,7 @@ from tessera.session import cut_lineage
 
 def cluster_results(points: DataFrame, means: Centres, terms: Sequence[str] = LANGS,
                     spread: int = LANG_SPREAD, weight: str | None = "n",
-                    method: str = "transform") -> DataFrame:
+                    method: str = "auto") -> DataFrame:
     """``(rank, cluster, label, percent, size, median_score)`` per non-empty cluster.
 
     label = the term whose index (x div spread) is most frequent in the

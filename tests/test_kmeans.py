@@ -24,14 +24,14 @@ def test_squared_distance_does_not_wrap(spark):
     assert got == float(2 ** 32 - 1) ** 2
 
 
-@pytest.mark.parametrize("method", ["transform", "least"])
+@pytest.mark.parametrize("method", ["transform", "least", "cells"])
 def test_nearest_centre(spark, method):
     df = points(spark, [(40, -3)])
     c = [(11, 20), (38, -9), (-5, 0), (700, 90)]
     assert df.select(nearest_centre("x", "y", c, method).alias("c")).first()["c"] == 1
 
 
-@pytest.mark.parametrize("method", ["transform", "least"])
+@pytest.mark.parametrize("method", ["transform", "least", "cells"])
 def test_distance_cap(spark, method):
     df = points(spark, [(46340, 0), (46341, 0), (53000, 0), (60000, 0)])
     c = [(0, 0), (100000, 0)]
@@ -209,3 +209,22 @@ def test_sample_vectors_frame_matches_initial_means(spark):
     small = [(r["x"], r["y"]) for r in
              sampling.sample_vectors(v, 5, ["A", "B", "C"], spread=100).orderBy("cluster").collect()]
     assert small == sampling.initial_means(v, 5, ["A", "B", "C"], spread=100)
+
+
+def test_cells_give_the_same_centres(spark):
+    import random
+
+    from tessera.functions.geometry import CELL, nearest_centre
+    rnd = random.Random(8)
+    assert (CELL - 1) ** 2 < 2147483647 <= CELL ** 2
+    centres = [(rnd.choice([-50000, 0, 50000, 100000, CELL, -CELL, 7 * CELL - 1, rnd.randrange(-10 ** 6, 10 ** 6)]), rnd.randrange(-300, 300))
+               for _ in range(300)] + [(0, 0), (0, 0), (-2 ** 31, 5), (2 ** 31 - 1, 5)]
+    points = [(rnd.choice([c[0] for c in centres]) + rnd.choice([0, 0, 1, -1, CELL - 1, CELL, CELL + 1, -CELL, 1 - CELL, rnd.randrange(-10 ** 5, 10 ** 5)]),
+               rnd.randrange(-400, 400)) for _ in range(3000)] + [(46340, 0), (46341, 0), (-46341, 0)]
+    points = [(x, y) for x, y in points if -2 ** 31 <= x < 2 ** 31]
+    df = spark.createDataFrame(points, "x int, y int")
+    for some in (centres, centres[:3], centres[:1]):
+        rows = df.select(nearest_centre("x", "y", some, "cells").alias("c"), nearest_centre("x", "y", some, "transform").alias("t"),
+                         nearest_centre("x", "y", some).alias("a")).collect()
+        assert all(r.c == r.t == r.a for r in rows)
+
