@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,20 +59,31 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether the stage that writes ``path`` has finished: its mark is there."""
+    try:
+        return spark.read.parquet(f"{path}-done").count() == 1
+    except AnalysisException:       # no such path
+        return False
+
+
+def run(spark: SparkSession, sf_dir: str, run_id: str | None = None) -> DataFrame:
     """All stages over ``{sf_dir}/documents.parquet``.
 
     The tables between the stages are written in the shared checkpoint folder;
-    each is deleted once the next one is complete, and the last one stays.
+    each is deleted once the next one is complete, and the last one stays.  A
+    run that failed goes on behind its last complete stage when it is called
+    again with its ``run_id``; without one every run is a new one.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    before = None
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{base}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if before:
-            remove_table(spark, before)
-        before = path
+    base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{run_id or uuid.uuid4().hex}"
+    paths = [f"{base}/{k}-{name}" for k, (name, _) in enumerate(STAGES)]
+    done = 0 if run_id is None else max((k + 1 for k, path in enumerate(paths) if _complete(spark, path)), default=0)
+    docs = spark.read.parquet(paths[done - 1] if done else f"{sf_dir}/documents.parquet")
+    for k in range(done, len(STAGES)):
+        # what a stage left that was cut off is written over
+        STAGES[k][1](spark, docs, sf_dir).write.mode("overwrite").parquet(paths[k])
+        spark.range(1).write.mode("overwrite").parquet(f"{paths[k]}-done")
+        docs = spark.read.parquet(paths[k])
+        if k:
+            remove_table(spark, paths[k - 1])
     return docs
