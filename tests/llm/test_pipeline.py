@@ -144,3 +144,28 @@ def test_mixture_stage_repeats_are_equal_rows(spark):
     once = {str(tuple(r)) for r in docs.collect()}
     mixed = corpus_pipeline.stage_mixture(spark, docs, "").collect()
     assert {str(tuple(r)) for r in mixed} <= once
+
+
+def test_a_failed_run_goes_on_behind_its_last_complete_stage(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    calls, broken = [], [True]
+
+    def stage(name, least):
+        def work(spark, docs, sf_dir):
+            calls.append(name)
+            if name == "c" and broken[0]:
+                raise RuntimeError("an executor too many is gone")
+            return docs.where(F.col("doc_id") >= least)
+        return work
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, stage(n, k)) for k, n in enumerate("abcd")])
+    run_id = f"test-{tmp_path.name}"
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, str(tmp_path), run_id)
+    broken[0] = False
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path), run_id).collect()) == list(range(3, 20))
+    assert calls == ["a", "b", "c", "c", "d"]
+    # a finished run is only read; without an id everything runs
+    assert corpus_pipeline.run(spark, str(tmp_path), run_id).count() == 17 and len(calls) == 5
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 17 and len(calls) == 9
