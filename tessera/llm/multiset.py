@@ -140,7 +140,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     before = firsts.select(F.col("range").alias("of")).select("of", F.coalesce(F.lag("of").over(order), F.max("of").over(Window.partitionBy(F.lit(0)))).alias("to"))
     ghosts = (firsts.join(before.hint("broadcast"), F.col("range") == F.col("of"))      # MOST_RANGES rows at most
               .select("id", "text", F.col("to").alias("range"), F.lit(1).alias("ghost")))
-    every = dealt.unionByName(ghosts).withColumn("vec", vector(F.col("text"))).repartition(math.ceil(ranges / RANGES_PER_TASK), "range")
+    # by range and not by hash: a few hashed ranges do not spread evenly
+    every = dealt.unionByName(ghosts).repartitionByRange(math.ceil(ranges / RANGES_PER_TASK), "range").withColumn("vec", vector(F.col("text")))
     by_id = Window.partitionBy("range").orderBy("ghost", F.asc_nulls_first("id"), F.xxhash64("text"), "text")
     return (every.withColumn("next", F.lead(F.struct("text", "vec")).over(by_id)).where("ghost = 0")
             .select("id", "text", "vec", F.col("next.text").alias("next_text"), F.col("next.vec").alias("next_vec")))
