@@ -37,8 +37,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
                  .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         moved = cut(moved)
         # stars only: every leaf has one centre, and no node is both a leaf and a centre
-        again = (not moved.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-                 or not moved.join(moved.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty())
+        ends = moved.select(F.col("a").alias("node"), F.lit(1).alias("leaf")).unionByName(
+            moved.select(F.col("b").alias("node"), F.lit(0).alias("leaf")))
+        again = not ends.groupBy("node").agg(F.sum("leaf").alias("centres"), F.min("leaf").alias("least")).where(
+            "centres > 1 or centres = 1 and least = 0").isEmpty()
         links = moved
         if not again:
             break

@@ -11,7 +11,8 @@ is searched for pairs that are not in one component yet.  A region of more than
 ``REGION`` sets in several components gives way to the deeper ones within it;
 where the order has no hash left it is dealt into a grid of blocks.  A region of
 one component is done, so groups of thousands of near copies cost no pairs.
-Signatures discard pairs that agree too rarely to be links (a link agrees less
+The first search of a region carries one byte of every minhash, which discards
+no more pairs than the whole ones.  Signatures discard pairs that agree too rarely to be links (a link agrees less
 once in 10^8 times); the sets of all others meet in their cell in full, and
 pairs are confirmed there until no two components are left that a link joins.
 
@@ -161,6 +162,11 @@ def _neighbours(sets: DataFrame) -> DataFrame:
     return ends.withColumn("place", F.row_number().over(best)).where(F.col("place") <= NEIGHBOURS).select("u", "v").distinct()
 
 
+def _bytes(sig: pd.Series) -> pd.Series:
+    """One byte of every minhash; equal ones have equal bytes, so they agree as often at least."""
+    return sig.map(lambda s: s[3::4])
+
+
 def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of equal minhashes of two signatures."""
     p, q = (np.frombuffer(b"".join(x), np.uint32).reshape(len(x), TREES * DEPTH) for x in (a, b))
@@ -187,7 +193,7 @@ def _placed(sets: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
-    """The regions of several components as ``(key, cell, own, sid, comp, n, sig)``.
+    """The regions of several components as ``(key, cell, own, sid, comp, n, sig)``; ``sig``: a byte of each minhash.
 
     A region of more than ``limit`` sets is replaced by the deeper ones within
     it.  One that is still too large at the last hash, or whose sets have more
@@ -213,7 +219,7 @@ def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
     dealt = found.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
-    marks = sets.select("sid", "n", "sig")
+    marks = sets.select("sid", "n", F.pandas_udf(_bytes, "binary")("sig").alias("sig"))
     return dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(marks, "sid")
 
 
@@ -239,7 +245,7 @@ def _by_runs(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str,
             if not batch.num_rows:
                 continue
             now = {k: batch.column(i).to_numpy() if k != "sig"
-                   else np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for i, k in enumerate(names)}
+                   else np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i, k in enumerate(names)}
             if kept is not None:
                 now = {k: np.concatenate([kept[k], v]) for k, v in now.items()}
             at = np.concatenate([[0], cuts(now)])

@@ -141,3 +141,19 @@ def test_whole_table_equals_all_pairs(spark):
     got = E.queries()["op11_minhash"](spark, sf).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute_force(rows))
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+
+
+def test_cells_carry_one_byte_of_each_minhash(spark):
+    """Regions are searched without whole signatures, and no pair agrees less by its bytes."""
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, 1 << 32, lshforest.TREES * lshforest.DEPTH, np.uint64).astype(">u4") for _ in range(2))
+    near = np.where(np.arange(len(a)) % 4 == 3, b, a)
+    sigs = {1: a.tobytes(), 2: near.astype(">u4").tobytes(), 3: a.tobytes()}
+    sets = spark.createDataFrame([(i, 100, bytearray(s)) for i, s in sigs.items()], "sid long, n long, sig binary")
+    placed = lshforest._placed(sets, sets.select("sid", F.col("sid").alias("comp")))
+    cells = lshforest._cells(placed, sets, 500)
+    got = {(r.sid, bytes(r.sig)) for r in cells.collect()}
+    assert {i for i, _ in got} >= {1, 3} and got <= {(i, s[3::4]) for i, s in sigs.items()}
+    assert {r.sid for r in lshforest._involved(cells).collect()} >= {1, 3}
+    whole = np.mean(near == a)
+    assert np.mean(np.frombuffer(sigs[2][3::4], np.uint8) == np.frombuffer(sigs[1][3::4], np.uint8)) >= whole
