@@ -11,8 +11,8 @@ is searched for pairs that are not in one component yet.  A region of more than
 ``REGION`` sets in several components gives way to the deeper ones within it;
 where the order has no hash left it is dealt into a grid of blocks.  A region of
 one component is done, so groups of thousands of near copies cost no pairs.
-The first search of a region carries one byte of every minhash, which discards
-no more pairs than the whole ones.  Signatures discard pairs that agree too rarely to be links (a link agrees less
+Comparisons take one byte of every minhash, which discards no more pairs than
+the whole ones.  Signatures discard pairs that agree too rarely to be links (a link agrees less
 once in 10^8 times); the sets of all others meet in their cell in full, and
 pairs are confirmed there until no two components are left that a link joins.
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import cut
+from tessera.llm.common import cut, tasks_for
 from tessera.llm.components import connected_components
 
 SHINGLE = 4
@@ -168,19 +168,25 @@ def _bytes(sig: pd.Series) -> pd.Series:
 
 
 def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of equal minhashes of two signatures."""
-    p, q = (np.frombuffer(b"".join(x), np.uint32).reshape(len(x), TREES * DEPTH) for x in (a, b))
+    """Share of equal minhashes of two signatures of a byte each."""
+    p, q = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), TREES * DEPTH) for x in (a, b))
     return pd.Series((p == q).mean(axis=1))
 
 
+def _marks(sets: DataFrame) -> DataFrame:
+    """``(sid, n, sig)`` with a byte of each minhash."""
+    return sets.select("sid", "n", F.pandas_udf(_bytes, "binary")("sig").alias("sig"))
+
+
 def _size_fits(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
 def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose sizes and signatures allow a link."""
-    a = sets.select(F.col("sid").alias("u"), F.col("n").alias("n_u"), F.col("sig").alias("s_u"))
-    b = sets.select(F.col("sid").alias("v"), F.col("n").alias("n_v"), F.col("sig").alias("s_v"))
+    marks = _marks(sets)
+    a = marks.select(F.col("sid").alias("u"), F.col("n").alias("n_u"), F.col("sig").alias("s_u"))
+    b = marks.select(F.col("sid").alias("v"), F.col("n").alias("n_v"), F.col("sig").alias("s_v"))
     both = pairs.join(a, "u").join(b, "v").where(_size_fits(F.col("n_u"), F.col("n_v")))
     return both.withColumn("agree", F.pandas_udf(_agreeing, "double")("s_u", "s_v")).where(F.col("agree") >= AGREE).select("u", "v")
 
@@ -192,6 +198,10 @@ def _placed(sets: DataFrame, comps: DataFrame) -> DataFrame:
     return named.select("sid", "comp", "n", "tree", F.expr(f"substring(sig, tree * {WIDTH} + 1, {WIDTH})").alias("part"))
 
 
+def _few(df: DataFrame, tasks: int | None) -> DataFrame:
+    return df if tasks is None else df.coalesce(tasks)
+
+
 def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
     """The regions of several components as ``(key, cell, own, sid, comp, n, sig)``; ``sig``: a byte of each minhash.
 
@@ -200,27 +210,31 @@ def _cells(rows: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
     than ``limit * SHINGLES`` shingles, is dealt into blocks; a cell holds two
     of them, which ``own`` tells apart.
     """
-    found = None
+    found, tasks = None, None
     for depth in range(LEAST, DEPTH + 1):
         keyed = rows.withColumn("key", F.xxhash64("tree", F.lit(depth), F.expr(f"substring(part, 1, {4 * depth})")))
         stats = keyed.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("one"), F.max("comp").alias("other"))
-        stats = stats.where("one <> other").select(F.col("key").alias("k"), "size", "weight")
-        keyed = cut(keyed.join(stats, F.col("key") == F.col("k")).drop("k"))
+        stats = cut(_few(stats.where("one <> other").select(F.col("key").alias("k"), "size", "weight"), tasks))
+        # most regions are done mostly, so their rows need not be shuffled
+        side = F.broadcast(stats) if stats.count() <= BROADCAST_ROWS else stats
+        keyed = cut(_few(keyed.join(side, F.col("key") == F.col("k")).drop("k"), tasks))
         small = keyed if depth == DEPTH else keyed.where(F.col("size") <= limit)
         small = small.select("key", "size", "weight", "sid", "comp")
         found = small if found is None else found.unionByName(small)
         if depth == DEPTH:
             break
         rows = keyed.where(F.col("size") > limit).select("sid", "comp", "n", "tree", "part")
-        if rows.isEmpty():
+        left = rows.count()
+        if not left:
             break
+        tasks = tasks_for(left)
+        rows = _few(rows, tasks)
     blocks = F.greatest(F.ceil(F.col("size") / limit), F.ceil(F.col("weight") / (limit * SHINGLES)))
     blocks = F.least(blocks, F.col("size")).cast("int")
     dealt = found.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
-    marks = sets.select("sid", "n", F.pandas_udf(_bytes, "binary")("sig").alias("sig"))
-    return dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(marks, "sid")
+    return dealt.select("key", cell.alias("cell"), "own", "sid", "comp").join(_marks(sets), "sid")
 
 
 def _by_runs(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], schema: str) -> DataFrame:
@@ -322,13 +336,15 @@ def _confirmed_in_cells(involved: DataFrame, sets: DataFrame, full: DataFrame) -
     leaves it unless it is a link.  Pairs are tried from the likeliest on; one
     whose components are joined already tells nothing new and is left out.
     """
-    marks = sets.select("sid", "n", "sig").join(full, "sid")
+    wanted = cut(involved.select("sid").distinct())
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    marks = _marks(sets.join(side, "sid", "left_semi")).join(full.join(side, "sid", "left_semi"), "sid")
     members = involved.join(marks, "sid")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("sid")
         c = {k: group[k].to_numpy() for k in ("own", "sid", "comp", "n")}
-        c["sig"] = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(len(group), -1)
+        c["sig"] = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(group), -1)
         shingles = group["shingles"].tolist()
         pairs = [(i, *_likely_after(c, i)) for i in range(len(group) - 1)]
         left = np.concatenate([np.full(len(at), i) for i, at, _ in pairs] or [np.zeros(0, np.int64)])

@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import queries, simhash
+from tessera.llm.common import LEAST_TASKS, ROWS_PER_TASK, tasks_for
 from tessera.llm.components import connected_components
 
 
@@ -109,6 +110,22 @@ def test_a_leaf_of_two_centres_is_not_settled(spark):
     assert got == {i: 1 for i in (1, 2, 3, 5, 9)}
 
 
+def test_few_links_take_few_tasks(spark):
+    """However many partitions a shuffle has, and with the same components."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in names]
+    try:
+        for k, v in zip(names, ("60", "false")):
+            spark.conf.set(k, v)
+        found = connected_components(spark.createDataFrame([(i, i + 1) for i in range(20)] + [(99, 98)], "u long, v long"))
+        assert found.rdd.getNumPartitions() <= 2 * LEAST_TASKS
+        assert {r.node: r.component for r in found.collect()} == {**{i: 0 for i in range(21)}, 98: 98, 99: 98}
+    finally:
+        for k, v in zip(names, before):
+            spark.conf.set(k, v)
+    assert tasks_for(0) == LEAST_TASKS and tasks_for(10 * ROWS_PER_TASK + 1) == 11
+
+
 def test_components_of_shuffled_paths(spark):
     rng = random.Random(3)
     links, want = [], {}
