@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,7 +47,9 @@ HARD_NEGATIVES = 3_000
 THRESHOLD = 0.3
 MEMO_WORDS = 400_000
 ROWS_PER_BATCH = 512
-CHUNK = 4_096
+CHUNK = 1_024
+SLICE = 16_384          # words whose readings are held at a time
+CELLS = 1 << 20         # numbers of a dense block, at most
 
 SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
 SIGNS = re.compile(r"[\W_]+")
@@ -129,13 +131,13 @@ def _readings(word: str) -> list[str]:
 
 def word_values(words: list[str], table: np.ndarray) -> np.ndarray:
     """The SVM's value (without bias) of each word: the highest of its readings."""
-    pieces, owner = [], []
-    for i, w in enumerate(words):
-        for p in _readings(w):
-            pieces.append(p)
-            owner.append(i)
     out = np.full(len(words), -np.inf)
-    if pieces:
+    for lo in range(0, len(words), SLICE):
+        pieces, owner = [], []
+        for i, w in enumerate(words[lo:lo + SLICE], lo):
+            for p in _readings(w):
+                pieces.append(p)
+                owner.append(i)
         np.maximum.at(out, np.array(owner), _score_pieces(pieces, table))
     return out
 
@@ -175,16 +177,19 @@ FLOOR = -2.0
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 40) -> np.ndarray:
-    """Linear SVM with squared hinge loss by Newton steps; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """Linear SVM with squared hinge loss by Newton steps; the last column is constant, its weight the bias."""
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-3
     for _ in range(steps):
         gap = 1 - y * (x @ w)
-        on = gap > 0
-        g = ridge @ w - 2 * (x[on].T @ (weight[on] * y[on] * gap[on]))
-        h = ridge + 2 * (x[on].T * weight[on]) @ x[on]
+        on = np.flatnonzero(gap > 0)
+        g, h = ridge @ w, ridge.copy()
+        for lo in range(0, len(on), CHUNK):
+            part = on[lo:lo + CHUNK]
+            rows = x[part]
+            g -= 2 * (rows.T @ (weight[part] * y[part] * gap[part]))
+            h += 2 * (rows.T * weight[part]) @ rows
         step = np.linalg.solve(h, g)
         w = w - step
         if np.abs(step).max() < 1e-6:
@@ -203,16 +208,22 @@ class _Landmarks:
 
     def kernel(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.rows)))
+        self.project(words, np.eye(len(self.rows)), out)
+        return out
+
+    def project(self, words: list[str], root: np.ndarray, out: np.ndarray) -> None:
+        """The kernel values of the words times ``root``, written into ``out``."""
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for lo in range(0, len(words), 4096):
-            part = order[lo:lo + 4096]
+        # long landmarks have many subsequences: a block is bounded by its cells, not by its rows
+        step = max(1, min(CHUNK, CELLS // len(self.codes)))
+        for lo in range(0, len(words), step):
+            part = order[lo:lo + step]
             code, value, row = _features([words[i] for i in part])
             col = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             hit = self.codes[col] == code
             dense = np.zeros((len(part), len(self.codes)))
             np.add.at(dense, (row[hit], col[hit]), value[hit])
-            out[part] = dense @ self.rows.T
-        return out
+            out[part] = dense @ self.rows.T @ root
 
     def collapse(self, alpha: np.ndarray) -> np.ndarray:
         """The weighted sum of the landmarks as one table over hashed subsequences."""
@@ -255,14 +266,17 @@ def _parts(word: str) -> set[str]:
 
 def _start_values(toxic: list[set[str]], clean: list[set[str]]) -> tuple[dict[str, float], dict[str, float]]:
     """Log odds of a toxic text for a word and its best part, before any training, and those of the parts."""
-    def counts(bags, of):
-        return Counter(x for b in bags for x in set().union(*map(of, b)))
+    def counts(bags, of, among=None):
+        return Counter(x for b in bags for x in set().union(*map(of, b)) if among is None or x in among)
 
     def odds(x, t, c):
         return float(np.log((t[x] + 0.1) / (len(toxic) + 0.2)) - np.log((c[x] + 0.1) / (len(clean) + 0.2)))
 
-    word_t, word_c = (Counter(w for b in bags for w in b) for bags in (toxic, clean))
-    part_t, part_c = counts(toxic, _parts), counts(clean, _parts)
+    # of the clean texts only what occurs in a toxic one is looked up
+    word_t = Counter(w for b in toxic for w in b)
+    word_c = Counter(w for b in clean for w in b if w in word_t)
+    part_t = counts(toxic, _parts)
+    part_c = counts(clean, _parts, part_t)
     part = {p: odds(p, part_t, part_c) for p in part_t}
     return {w: odds(w, word_t, word_c) + max(part[p] for p in _parts(w)) for w in word_t}, part
 
@@ -279,13 +293,21 @@ def _leading_pieces(words: list[str], table: np.ndarray | None, part: dict[str,
     return [max([(next(value), -k, p) for k, p in enumerate(own)])[2] for own in pieces]
 
 
-def fit(toxic: list[str], clean: list[str], clean_share: float = 0.9, seed: int = 7) -> ToxicityModel:
+def _bags(texts: Iterable[str], names: dict[str, str]) -> list[set[str]]:
+    """The words of each text that has any; a word of many texts is held once, in ``names``."""
+    bags = ({names.setdefault(w, w) for w in text_words(t)} for t in texts)
+    return [b for b in bags if b]
+
+
+def fit(toxic: Iterable[str], clean: Iterable[str], clean_share: float = 0.9, seed: int = 7) -> ToxicityModel:
     """A model from labelled texts; ``clean_share`` is that of clean rows in the population.
 
     Without texts of both labels the model gives every text the same score.
     """
     rng = np.random.default_rng(seed)
-    bags, calm = [b for b in map(text_words, toxic) if b], [b for b in map(text_words, clean) if b]
+    names: dict[str, str] = {}
+    bags, calm = _bags(toxic, names), _bags(clean, names)
+    del names
     if not bags or not calm:
         constant = np.zeros(TOP + 2)
         constant[-1] = -3.0 if not bags else 3.0
@@ -319,10 +341,14 @@ def fit(toxic: list[str], clean: list[str], clean_share: float = 0.9, seed: int
         negatives = list(dict.fromkeys(chosen + hard))
         # a witness is read by its leading piece, a word of a clean sentence by all of its pieces
         calm_pieces = [(p, df_c[w]) for w in negatives for p in _pieces(_bare(w))]
-        x = marks.kernel(_leading_pieces(known, table, part) + [p for p, _ in calm_pieces]) @ root
         # disguises of the surest witnesses are positives too, at a lower weight
         disguised = [(v, witness[w] / 100) for w in known if witness[w] >= 3 for v in _disguises(w, rng)]
-        x = np.vstack([x, marks.kernel(_leading_pieces([v for v, _ in disguised], table, part)) @ root]) if disguised else x
+        read = (_leading_pieces(known, table, part) + [p for p, _ in calm_pieces]
+                + _leading_pieces([v for v, _ in disguised], table, part))
+        # a row more: a word that is like no landmark; a column more: constant, for the bias
+        x = np.zeros((len(read) + 1, len(names) + 1))
+        x[:, -1] = 1
+        marks.project(read, root, x[:-1, :-1])
         y = np.concatenate([np.ones(len(known)), -np.ones(len(calm_pieces)), np.ones(len(disguised))])
         up = np.sqrt(np.array([witness[w] for w in known], dtype=float))
         down = np.sqrt(np.array([n for _, n in calm_pieces], dtype=float))
@@ -330,7 +356,7 @@ def fit(toxic: list[str], clean: list[str], clean_share: float = 0.9, seed: int
         extra = np.sqrt(np.array([n for _, n in disguised], dtype=float))
         weight = np.concatenate([up / up.sum(), down / down.sum(), extra / up.sum()]) * COST
         # a word that is like no landmark is not toxic
-        x, y, weight = np.vstack([x, np.zeros(x.shape[1])]), np.append(y, -1.0), np.append(weight, COST / 10)
+        y, weight = np.append(y, -1.0), np.append(weight, COST / 10)
         w = _svm(x, y, weight)
         bias = float(w[-1])
         table = marks.collapse(root @ w[:-1])
@@ -387,9 +413,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
                 fresh = list(set().union(*rows).difference(memo))
-                for lo in range(0, len(fresh), CHUNK):
-                    part = fresh[lo:lo + CHUNK]
-                    memo.update(zip(part, word_values(part, m.table).tolist()))
+                memo.update(zip(fresh, word_values(fresh, m.table).tolist()))
                 out.append(m.probability([np.array([memo[w] for w in words]) for words in rows]))
             yield pd.Series(np.concatenate(out) if out else [], dtype="float64")
 

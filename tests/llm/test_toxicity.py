@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -54,6 +55,39 @@ def test_held_out_labels(spark):
     assert (score[~toxic] >= 0.3).mean() < 0.05
 
 
+def _peak_mb(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_fitting_holds_blocks_of_bounded_size():
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(rng.choice(letters, 22)) for _ in range(3000)]
+    marks = toxicity._Landmarks(words[:toxicity.LANDMARKS])
+    # landmarks of many subsequences: all words by all of those were a gigabyte
+    kernel, peak = _peak_mb(lambda: marks.kernel(words))
+    assert peak < 60
+    some = list(range(0, 3000, 701))
+    assert np.allclose(kernel[some], marks.kernel([words[i] for i in some])) and np.allclose(np.diag(kernel[:160]), 1)
+    _, peak = _peak_mb(lambda: toxicity.word_values(words, marks.collapse(np.ones(len(marks.rows)))))
+    assert peak < 60
+
+
+def test_a_word_of_many_texts_is_held_once():
+    calm = [f"word{i}" for i in range(2000)]
+    names = {}
+    # texts that are made as they are read
+    bags = toxicity._bags((" ".join(calm) for _ in range(100)), names)
+    assert len(names) == 2000 and all(b == set(calm) for b in bags)
+    assert len({id(w) for b in bags for w in b}) == 2000
+    assert toxicity._bags(["", " ", "a"], {}) == [{"a"}]
+
+
 def test_an_insult_far_into_a_long_word_is_learned(spark):
     rng = np.random.default_rng(6)
     calm = ["the", "tree", "river", "stone", "green", "walk", "under", "garden", "sound", "warm", "clover", "idle"]
